@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules in the order of their operators.
-MODULES = ("pii", "packing", "near_dedup", "token_matrix")
+MODULES = ("pii", "packing", "near_dedup", "line_dedup", "token_matrix")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
