@@ -6,8 +6,10 @@
 2. Rows with the same set are one node, named by the smallest doc_id.
 3. Nodes that share a band go to the smallest and the largest node of the bucket first. That is linear
    in the nodes however large a bucket is, and joins most of a group of copies.
-4. In buckets that still hold several components, nodes of different components are compared by their
-   signatures inside the join, once for each pair (at its first common band).
+4. In buckets that still hold several components, nodes of different components are compared inside
+   the join, once for each pair (at its first common band): by their signatures, and by a bound on
+   their similarity from the shingles that no other node with company has. The bound is exact, so it
+   loses no link, and it spares most comparisons in a group of copies that are too far apart.
 5. Where the similarity estimated by bit counts, corrected for minima whose low bits agree by chance,
    comes near the threshold, the link is confirmed on the full sets of both texts.
 6. Components come from large-star and small-star rounds over the links.
@@ -38,6 +40,8 @@ MINIMA = BANDS * ROWS
 SIGN_BITS = 4
 WORDS = -(-MINIMA // 64)
 DEVIATIONS = 4.5
+#: Up to so many ids (16 MB) are broadcast to pick out the texts they name; beyond, both sides are shuffled.
+BROADCAST_IDS = 2_000_000
 
 
 class _Words(dict):
@@ -147,33 +151,49 @@ def components(links: DataFrame) -> DataFrame:
         links = cut(small.union(least.toDF("a", "b")).distinct())
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+def confirmed(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union. texts: (node, text)."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict = {}
 
-        def of(key: int, text: str) -> np.ndarray:
-            if key not in kept:
+        def of(text: str) -> np.ndarray:
+            if text not in kept:
                 if len(kept) >= 64:
                     kept.pop(next(iter(kept)))
-                kept[key] = shingles(text)
-            return kept[key]
+                kept[text] = shingles(text)
+            return kept[text]
 
         for batch in batches:
-            a, b, ta, tb = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
             ok = []
-            for row in zip(a, b, ta, tb, strict=True):
-                x, y = of(row[1], row[3]), of(row[0], row[2])
+            for text_a, text_b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+                x, y = of(text_b), of(text_a)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both) > 0)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     with_a = pairs.join(texts.toDF("a", "text_a"), "a")
     return with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long").distinct()
 
 
+def unshared(texts: DataFrame) -> DataFrame:
+    """(digest_a, alone): how many shingles of a set no other set of texts has.
+
+    Shingles are compared by 44 bits; where two meet by chance, `alone` comes out too small, never too large.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [h for h in map(shingles, b.column("text").to_pylist()) if len(h)]
+            if sets:
+                owner = np.repeat(np.array([h.sum() for h in sets]).view(np.int64), [len(h) for h in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array((np.concatenate(sets) >> np.uint64(20)).astype(np.int64))], names=["digest_a", "shingle"])
+
+    rows = texts.select("text").mapInArrow(explode, "digest_a long, shingle long")
+    once = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("digest_a").alias("digest_a")).where("n = 1")
+    return once.groupBy("digest_a").agg(F.count("*").alias("alone"))
+
+
 def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs."""
     share, chance = percent / 100, 2.0**-SIGN_BITS
@@ -187,27 +207,35 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     buckets = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("first"), F.max("node").alias("last")).where("n > 1 AND first <> last")
     shared = cut(rows.join(buckets.drop("n"), ["band", "key"]))
 
-    marks = nodes.select("node", "n_shingles", "bands", "planes")
-    size = F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * percent
-    back = F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * percent
-    alike = size & back & (estimated_similarity(F.col("x.planes"), F.col("y.planes")) >= F.lit(least))
+    # what follows needs the nodes with company only, and their texts
+    members = cut(shared.select("node").distinct())
+    few = members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(members) if few else members, "node")
+    texts = cut(texts.distinct())
+    marks = nodes.join(members, "node").join(unshared(texts), "digest_a", "left").select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("common"), "bands", "planes")
+    marks = cut(marks.where(F.col("common") * 100 >= F.col("n_shingles") * percent))
+
+    # two sets have at most the smaller of their common parts in common
+    most = F.least("x.common", "y.common")
+    alike = most * 100 >= (F.col("x.n_shingles") + F.col("y.n_shingles") - most) * percent
+    alike = alike & (estimated_similarity(F.col("x.planes"), F.col("y.planes")) >= F.lit(least))
 
     ends = shared.select("node", F.explode(F.array("first", "last")).alias("end")).where("node <> end")
     ends = ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
-    ends = cut(ends.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), (F.col("b") == F.col("y.node")) & alike).select("a", "b"))
-    links = cut(confirmed(docs, ends, percent))
+    ends = cut(ends.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), (F.col("b") == F.col("y.node")) & alike).select("a", "b").distinct())
+    links = cut(confirmed(texts, ends, percent))
     labels = components(links)
 
-    labelled = shared.select("band", "key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = cut(labelled)
+    labelled = shared.select("band", "key", "node").join(marks.select("node").distinct(), "node", "left_semi").join(labels, "node", "left")
+    labelled = cut(labelled.withColumn("component", F.coalesce("component", "node")))
     mixed = labelled.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key")
     open_ = labelled.join(mixed, ["band", "key"], "left_semi").join(marks, "node")
     x, y = open_.alias("x"), open_.alias("y")
     first = reduce(lambda a, b: a & b, ((F.col("x.band") <= i) | (F.col("x.bands")[i] != F.col("y.bands")[i]) for i in range(BANDS - 1)))
     apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
     others = x.join(y, apart & alike & first).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    others = cut(others.join(ends, ["a", "b"], "left_anti"))
-    labels = components(links.union(confirmed(docs, others, percent)))
+    others = cut(others.distinct().join(ends, ["a", "b"], "left_anti"))
+    labels = components(links.union(confirmed(texts, others, percent)))
 
     named = nodes.select(*sets, "node").join(labels, "node", "left").select(*sets, F.coalesce("component", "node").alias("component_id"))
     empty = F.col("n_shingles") == 0
