@@ -32,5 +32,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let(value: Column, body) -> Column:
+    """body(value), where body may use the value many times and in lambdas: it is worked out once a row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores added until no column has it."""
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import documents
+from helixframe.llm.common import cut, documents, free_name, let
 
 LONG = 160
 EVERY = 4
@@ -32,70 +32,86 @@ def _hash(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
-def _units(text: Column) -> Column:
+def _units(lines: Column) -> Column:
     """Array of (unit, ends_long): ends_long where a long line ends, or the next line is long."""
-    lines = F.split(text, "\n")
 
-    def of(line: Column, i: Column) -> Column:
-        long_line = F.length(line) >= LONG
-        next_long = F.coalesce(F.length(F.get(lines, i + 1)) >= LONG, F.lit(False))
-        ended = F.when(i < F.size(lines) - 1, F.concat(line, F.lit("\n"))).otherwise(line)
-        parts = F.when(long_line, F.split(ended, "(?<=[.!?] )")).otherwise(F.array(ended))
-        return F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.struct(p.alias("unit"), (F.endswith(p, F.lit("\n")) & (long_line | next_long)).alias("ends_long")))
+    def of(line: Column, next_line: Column) -> Column:
+        # all lines but the last end in a line feed; the last one's end is the end of the text
+        long_end = next_line.isNotNull() & ((F.length(line) >= LONG) | (F.length(next_line) >= LONG))
+        ended = F.when(next_line.isNotNull(), F.concat(line, F.lit("\n"))).otherwise(line)
+        last = lambda p: F.endswith(p, F.lit("\n")) & long_end
+        parts = F.when(F.length(line) >= LONG, F.split(ended, "(?<=[.!?] )")).otherwise(F.array(ended))
+        return F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.struct(p.alias("unit"), last(p).alias("ends_long"), _hash(p, 8).alias("h")))
 
-    return F.flatten(F.transform(lines, of))
+    next_lines = F.concat(F.slice(lines, 2, F.size(lines)), F.array(F.lit(None).cast("string")))
+    return F.flatten(F.transform(F.arrays_zip(lines.alias("l"), next_lines.alias("n")), lambda z: of(z["l"], z["n"])))
 
 
-def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add chunks: array of (chunk, hash, several_lines), in order; joined they are the text again."""
-    unit = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("units", _units(unit))
-    out = out.withColumn("hashes", F.transform("units", lambda u: _hash(u["unit"], 8)))
-    ends = F.filter(F.sequence(F.lit(1), F.size("units")), lambda i: (i == F.size("units")) | F.element_at("units", i)["ends_long"] | ((F.coalesce(F.get("hashes", i - 2), F.lit(0)) * 31 + F.element_at("hashes", i)) % EVERY == 0))
-    out = out.withColumn("ends", F.when(F.size("units") > 0, ends).otherwise(F.array().cast("array<int>")))
+def _cut(units: Column) -> Column:
+    """Array of (chunk, hash, several_lines) from units."""
+    before = F.concat(F.array(F.lit(0).cast("long")), F.transform(units, lambda u: u["h"]))
 
-    def chunk(end: Column, k: Column) -> Column:
-        start = F.coalesce(F.get("ends", k - 1), F.lit(0))
-        joined = F.array_join(F.transform(F.slice("units", start + 1, end - start), lambda u: u["unit"]), "")
-        return F.struct(joined.alias("chunk"), (end - start >= 2).alias("several"))
+    def starts(before: Column) -> Column:
+        """Ends of chunks, after a leading 0."""
+        ends = F.transform(units, lambda u, i: F.when((i == F.size(units) - 1) | u["ends_long"] | ((F.get(before, i) * 31 + u["h"]) % EVERY == 0), i + 1))
+        return F.concat(F.array(F.lit(0)), F.filter(ends, lambda e: e.isNotNull()))
 
-    made = F.transform("ends", chunk)
-    full = F.transform(made, lambda c: F.struct(c["chunk"].alias("chunk"), _hash(c["chunk"], 15).alias("hash"), (c["several"] | (F.length(c["chunk"]) >= LONG)).alias("several_lines")))
-    return out.withColumn("chunks", full).drop("units", "hashes", "ends")
+    def chunks(at: Column) -> Column:
+        def one(end: Column, k: Column) -> Column:
+            n = end - F.get(at, k)
+            joined = F.array_join(F.transform(F.slice(units, F.get(at, k) + 1, n), lambda u: u["unit"]), "")
+            return let(joined, lambda c: F.struct(c.alias("chunk"), _hash(c, 15).alias("hash"), ((n >= 2) | (F.length(c) >= LONG)).alias("several_lines")))
+
+        return F.transform(F.slice(at, 2, F.size(at)), one)
+
+    return let(let(before, starts), chunks)
+
+
+def chunks_of(text: Column) -> Column:
+    """The chunks of a text in order, as (chunk, hash, several_lines); joined they are the text again."""
+    return let(F.split(F.coalesce(text, F.lit("")), "\n"), lambda lines: let(_units(lines), _cut))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash): chunks that another document keeps, their bytes compared with its own."""
-    read = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    """(doc_id, hash): chunks that another document keeps, their bytes compared with its own; a null hash where a document repeats a chunk of its own."""
     several = lambda c: F.filter(c, lambda x: x["several_lines"])
-    found = with_chunks(read).select("doc_id", F.explode(F.array_distinct(F.transform(several(F.col("chunks")), lambda x: x["hash"]))).alias("hash"))
-    keepers = found.groupBy("hash").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper <> last").drop("last")
-    marked = found.join(keepers, "hash").groupBy("doc_id").agg(F.collect_set(F.struct("hash", "keeper")).alias("marked"))
-    flagged = with_chunks(read.join(marked, "doc_id"))
-    hashes = F.transform("marked", lambda m: m["hash"])
-    texts = flagged.select("doc_id", "marked", F.explode(F.filter(several(F.col("chunks")), lambda x: F.array_contains(hashes, x["hash"]))).alias("c"))
-    texts = texts.select("doc_id", F.col("c.hash").alias("hash"), F.col("c.chunk").alias("chunk"), F.element_at(F.map_from_entries("marked"), F.col("c.hash")).alias("keeper"))
+    twice = lambda own: F.when(F.size(F.array_distinct(own)) < F.size(own), F.concat(F.array_distinct(own), F.array(F.lit(None).cast("long")))).otherwise(own)
+    own = let(F.transform(several(chunks_of(F.col("text"))), lambda x: x["hash"]), twice)
+    found = cut(docs.select("doc_id", F.explode(own).alias("hash")))
+    keepers = found.where(F.col("hash").isNotNull()).groupBy("hash").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper <> last").drop("last")
+    marked = found.join(keepers, "hash").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("hash", "keeper"))).alias("marked"))
+    wanted = F.filter(several(chunks_of(F.col("text"))), lambda x: F.map_contains_key("marked", x["hash"]))
+    texts = docs.join(marked, "doc_id").select("doc_id", "marked", F.explode(wanted).alias("c"))
+    texts = cut(texts.select("doc_id", "c.hash", "c.chunk", F.element_at("marked", F.col("c.hash")).alias("keeper")))
     kept = texts.where("doc_id = keeper").groupBy("hash").agg(F.min("chunk").alias("kept_chunk"))
-    return texts.where("doc_id <> keeper").join(kept, "hash").where("chunk = kept_chunk").select("doc_id", "hash").distinct()
+    removed = texts.where("doc_id <> keeper").join(kept, "hash").where("chunk = kept_chunk").select("doc_id", "hash").distinct()
+    return removed.unionByName(found.where(F.col("hash").isNull()))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The rows of docs with repeated chunks gone from text, as (row, text, n_chunks, n_removed, text_out)."""
-    removed = repeated_chunks(docs).groupBy("doc_id").agg(F.collect_list("hash").alias("removed"))
-    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    chunked = with_chunks(rows.join(removed, "doc_id", "left"))
-    texts = F.transform("chunks", lambda c: c["chunk"])
-    gone = lambda c, k: c["several_lines"] & (F.array_contains(F.coalesce("removed", F.array().cast("array<long>")), c["hash"]) | (F.array_position(texts, c["chunk"]) <= k))
-    stay = F.filter("chunks", lambda c, k: ~gone(c, k))
-    out = chunked.withColumn("stay", stay)
-    return out.select(
-        "row", F.size("chunks").cast("long").alias("n_chunks"), (F.size("chunks") - F.size("stay")).cast("long").alias("n_removed"),
-        F.when(F.col("text").isNotNull(), F.array_join(F.transform("stay", lambda c: c["chunk"]), "")).alias("text_out"),
-    )
+    """The rows of docs with repeated chunks gone from text, as (row, n_removed, text). Only texts that lose something are cut again."""
+    named = docs.where(F.col("doc_id").isNotNull())
+    key, removed = (free_name(x, docs.columns) for x in ("key", "removed"))
+    gone = repeated_chunks(named.select("doc_id", "text")).groupBy("doc_id").agg(F.collect_list("hash").alias(removed)).withColumnRenamed("doc_id", key)
+    rows = named.join(gone, F.col("doc_id") == F.col(key), "left").unionByName(docs.where(F.col("doc_id").isNull()).withColumns({key: F.lit(None).cast("long"), removed: F.array().cast("array<long>")}))
+
+    def left(chunks: Column) -> Column:
+        """Chunks that stay, in place of all."""
+
+        def filtered(hashes: Column) -> Column:
+            away = lambda c, k: c["several_lines"] & (F.array_contains(F.col(removed), c["hash"]) | ((F.array_position(hashes, c["hash"]) <= k) & F.exists(F.slice(chunks, 1, k), lambda e: e["chunk"] == c["chunk"])))
+            return F.filter(chunks, lambda c, k: ~away(c, k))
+
+        stay = let(F.transform(chunks, lambda c: c["hash"]), filtered)
+        return let(stay, lambda kept: F.struct((F.size(chunks) - F.size(kept)).cast("long").alias("n_removed"), F.array_join(F.transform(kept, lambda c: c["chunk"]), "").alias("text")))
+
+    same = F.col(removed).isNull() | F.col("text").isNull()
+    done = F.when(same, F.struct(F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("text"))).otherwise(let(chunks_of(F.col("text")), left))
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), done.alias("done")).select("row", "done.n_removed", "done.text")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(documents(spark, sf_dir)).select("row.doc_id", "n_chunks", "n_removed", F.col("text_out").alias("text"))
+    return dedup_lines(documents(spark, sf_dir).select("doc_id", "text")).select("row.doc_id", "n_removed", "text")
 
 
 QUERIES = {"op4_line_dedup": op4_line_dedup}
@@ -127,9 +143,9 @@ WITH lines AS (
 ), marked AS (
   SELECT *, several AND row_number() OVER (PARTITION BY chunk, several ORDER BY doc_id, c) > 1 AS gone FROM chunks
 ), texts AS (
-  SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (WHERE gone) AS n_removed, coalesce(string_agg(chunk, '' ORDER BY c) FILTER (WHERE NOT gone), '') AS text FROM marked GROUP BY doc_id
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, coalesce(string_agg(chunk, '' ORDER BY c) FILTER (WHERE NOT gone), '') AS text FROM marked GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_chunks, 0)::BIGINT AS n_chunks, coalesce(n_removed, 0)::BIGINT AS n_removed,
+SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed,
   CASE WHEN d.text IS NOT NULL THEN coalesce(t.text, '') END AS text
 FROM documents d LEFT JOIN texts t ON t.doc_id = d.doc_id
 """,
