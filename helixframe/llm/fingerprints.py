@@ -4,8 +4,8 @@ A text is a multiset of paragraphs (lines, and sentences within them). Each para
 vector and the vectors are added modulo powers of two, so order does not matter, and a paragraph is put
 in or taken out by adding or subtracting its vector:
 
-- SUMS numbers from sha256, modulo 2^40: two texts agree in them only if their multisets agree;
-- SIGNS numbers, the lengths of the paragraphs that have a given hash bit set, and the length of all,
+- SUMS numbers from sha256, modulo 2^60: two texts agree in them only if their multisets agree;
+- SIGNS numbers, the lengths of the paragraphs that have a given bit of the last hash set, and the length of all,
   modulo 2^32. Twice the former less the latter is a projection on random signs, so the cosine of
   two of them estimates how much text two documents share.
 
@@ -26,10 +26,11 @@ from pyspark.sql.window import Window
 
 from helixframe.llm.common import cut, documents, text_or_empty
 
-SUMS, SUM_DIGITS = 6, 10
-SIGNS = 64
+SUMS, SUM_DIGITS = 4, 15
+SIGNS = 60
+#: Signs are added two at a time, HALF bits apart: the lengths of a text's paragraphs stay below 2^HALF.
+HALF = SIGNS // 2
 _LAST_KEY = -(1 << 63)
-_PAIR = 0x0000000100000001
 
 
 def _digits(digest: Column, start: int, n: int) -> Column:
@@ -43,8 +44,7 @@ def vector(text: Column) -> Column:
     def hashed(p: Column) -> Column:
         d = F.sha2(p, 256)
         return F.struct(
-            F.length(p).cast("long").alias("w"), F.shiftleft(_digits(d, 1, 8), 32).bitwiseOR(_digits(d, 9, 8)).alias("h"),
-            F.array(*[_digits(d, 1 + SUM_DIGITS * k, SUM_DIGITS) for k in range(SUMS)]).alias("e"),
+            F.length(p).cast("long").alias("w"), F.array(*[_digits(d, 1 + SUM_DIGITS * k, SUM_DIGITS) for k in range(SUMS)]).alias("e"),
         )
 
     zero = F.lit(0).cast("long")
@@ -52,10 +52,10 @@ def vector(text: Column) -> Column:
 
     def of(hs: Column) -> Column:
         sums = F.transform(F.sequence(F.lit(0), F.lit(SUMS - 1)), lambda k: F.aggregate(hs, zero, lambda a, u: (a + u["e"][k]) % wide))
-        # two signs at a time, in the halves of a long: each is at most the length of the text
-        both = F.transform(F.sequence(F.lit(0), F.lit(SIGNS // 2 - 1)), lambda j: F.aggregate(hs, zero, lambda a, u: a + u["w"] * F.call_function("shiftright", u["h"], j).bitwiseAND(F.lit(_PAIR))))
-        low = F.transform(both, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)))
-        high = F.transform(both, lambda x: F.shiftright(x, 32))
+        pair = F.lit((1 << HALF) + 1)
+        both = F.transform(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda j: F.aggregate(hs, zero, lambda a, u: a + u["w"] * F.call_function("shiftright", u["e"][SUMS - 1], j).bitwiseAND(pair)))
+        low = F.transform(both, lambda x: x.bitwiseAND(F.lit((1 << HALF) - 1)))
+        high = F.transform(both, lambda x: F.shiftright(x, HALF))
         return F.struct(sums.alias("sums"), F.concat(low, high).alias("signs"), F.aggregate(hs, zero, lambda a, u: a + u["w"]).alias("size"))
 
     # the hashes go through a one-element array, so that they are worked out once
@@ -120,9 +120,9 @@ def op10_fingerprint_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op10_fingerprint_multiset": op10_fingerprint_multiset}
 
 _VECTOR = r"""
-  SELECT doc_id, role, list_transform(generate_series(0, 5), lambda k: list_sum(list_transform(ds, lambda d: ('0x' || substr(d, 1 + 10 * k, 10))::BIGINT::HUGEINT)) % 1099511627776) AS sums,
-    list_transform(generate_series(0, 63), lambda j: coalesce(list_sum(list_transform(generate_series(1, len(ds)), lambda i: ws[i] *
-      ((('0x' || substr(ds[i], CASE WHEN j < 32 THEN 9 ELSE 1 END, 8))::BIGINT >> (j % 32)) & 1))), 0)::BIGINT) AS signs,
+  SELECT doc_id, role, list_transform(generate_series(0, 3), lambda k: list_sum(list_transform(ds, lambda d: ('0x' || substr(d, 1 + 15 * k, 15))::BIGINT::HUGEINT)) % 1152921504606846976) AS sums,
+    list_transform(generate_series(0, 59), lambda j: coalesce(list_sum(list_transform(generate_series(1, len(ds)), lambda i: ws[i] *
+      ((('0x' || substr(ds[i], 46, 15))::BIGINT >> j) & 1))), 0)::BIGINT) AS signs,
     coalesce(list_sum(ws), 0)::BIGINT AS size
   FROM (
     SELECT doc_id, role, list_transform(p, lambda x: sha256(x)) AS ds, list_transform(p, lambda x: length(x)) AS ws
@@ -143,13 +143,13 @@ WITH docs AS (
 ), vectors AS ({_VECTOR}), filled AS (
   SELECT doc_id, role, list_transform(sums, lambda x: coalesce(x, 0)) AS sums, signs, size, list_transform(signs, lambda x: (2 * x - size)::DOUBLE) AS c FROM vectors
 ), hexed AS (
-  SELECT *, array_to_string(list_transform(sums, lambda x: lpad(printf('%x', x::BIGINT), 10, '0')), '') || array_to_string(list_transform(signs, lambda x: lpad(printf('%x', x), 8, '0')), '') || lpad(printf('%x', size), 8, '0') AS fp,
+  SELECT *, array_to_string(list_transform(sums, lambda x: lpad(printf('%x', x::BIGINT), 15, '0')), '') || array_to_string(list_transform(signs, lambda x: lpad(printf('%x', x), 8, '0')), '') || lpad(printf('%x', size), 8, '0') AS fp,
     sqrt(list_sum(list_transform(c, lambda x: x * x))) AS norm
   FROM filled
 ), pairs AS (
   SELECT o.doc_id, o.fp AS fingerprint, e.role, e.fp,
     CASE WHEN o.sums = e.sums THEN 1.0 WHEN o.norm * e.norm = 0 THEN 0.0
-      ELSE round(least(1.0, greatest(0.0, list_sum(list_transform(generate_series(1, 64), lambda i: o.c[i] * e.c[i])) / (o.norm * e.norm))), 6) END::DOUBLE AS near
+      ELSE round(least(1.0, greatest(0.0, list_sum(list_transform(generate_series(1, 60), lambda i: o.c[i] * e.c[i])) / (o.norm * e.norm))), 6) END::DOUBLE AS near
   FROM hexed o JOIN hexed e ON o.doc_id = e.doc_id AND o.role = 'own' AND e.role <> 'own'
 )
 SELECT d.doc_id, length(d.text) AS n_chars, sha256(r.text) AS edited_sha256, e.fingerprint, e.fp AS edited_fingerprint, e.near AS near_edited, n.near AS near_next
