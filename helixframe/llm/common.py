@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write a table to the folder that cut() uses, and read it again."""
+    spark = df.sparkSession
+    cut(spark.range(0))  # sees to the folder
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def let(value: Column, body) -> Column:
     """body(value), where body may use the value many times and in lambdas: it is worked out once a row."""
     return F.transform(F.array(value), body)[0]
