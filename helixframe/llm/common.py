@@ -16,7 +16,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def small_batches(spark: SparkSession, rows: int = 128) -> None:
     """Keep Arrow batches of whole texts small: a batch holds `rows` documents at most."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -50,7 +50,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 50_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
