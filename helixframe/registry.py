@@ -2,5 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
+
+# Modules of queries.
+MODULES = ("relational", "biology")
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+for _name in MODULES:
+    _module = importlib.import_module(f"helixframe.plans.{_name}")
+    QUERIES |= _module.QUERIES
+    ORACLE |= _module.ORACLE
