@@ -66,7 +66,7 @@ def candidates_topk(spark, sf_dir):
 
 _INPUTS = """
 inputs AS (
-  SELECT l_partkey AS gene, count(DISTINCT l_suppkey) AS species, round(avg(l_quantity) / 100, 6) AS p, round(avg(l_tax) * 20, 6) AS omega, round(avg(l_discount) * 10, 6) AS association,
+  SELECT l_partkey AS gene, count(DISTINCT l_suppkey) AS species, avg(l_quantity) / 101.37 AS p, avg(l_tax) * 20.137 AS omega, avg(l_discount) * 10.137 AS association,
     count(*) % 5 AS phase, count(*) % 4 AS pockets, round(max(l_tax) * 10, 6) AS pocket, round(min(l_quantity) / 50, 6) AS depmap, count(*) AS tissues, count(*) % 2 = 0 AS hub
   FROM lineitem GROUP BY 1)
 """
@@ -75,7 +75,7 @@ inputs AS (
 def _inputs(spark, sf_dir):
     n = F.count("*")
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("gene")).agg(
-        F.countDistinct("l_suppkey").alias("species"), F.round(F.avg("l_quantity") / 100, 6).alias("p"), F.round(F.avg("l_tax") * 20, 6).alias("omega"), F.round(F.avg("l_discount") * 10, 6).alias("association"),
+        F.countDistinct("l_suppkey").alias("species"), (F.avg("l_quantity") / 101.37).alias("p"), (F.avg("l_tax") * 20.137).alias("omega"), (F.avg("l_discount") * 10.137).alias("association"),
         (n % 5).alias("phase"), (n % 4).alias("pockets"), F.round(F.max("l_tax") * 10, 6).alias("pocket"), F.round(F.min("l_quantity") / 50, 6).alias("depmap"), n.alias("tissues"), (n % 2 == 0).alias("hub"),
     )
 
@@ -90,8 +90,8 @@ _SUBSCORES = f"""
       - CASE WHEN tissues > 40 THEN 0.2 WHEN tissues > 25 THEN 0.1 WHEN tissues > 15 THEN 0.05 ELSE 0 END), 4) AS safety,
     round(least(1, 0.3 * CASE WHEN association > 0.3 THEN least(association, 1) ELSE 0 END), 4) AS genetics
   FROM inputs), comps AS (
-  SELECT *, round((0.3 * convergence + 0.25 * selection + CASE WHEN disease > 0 THEN 0.2 * disease ELSE 0 END + CASE WHEN druggability > 0 THEN 0.15 * druggability ELSE 0 END + CASE WHEN safety > 0 THEN 0.1 * safety ELSE 0 END)
-    / (0.3 + 0.25 + CASE WHEN disease > 0 THEN 0.2 ELSE 0 END + CASE WHEN druggability > 0 THEN 0.15 ELSE 0 END + CASE WHEN safety > 0 THEN 0.1 ELSE 0 END), 4) AS raw FROM subs)
+  SELECT *, round((0.3137 * convergence + 0.2511 * selection + CASE WHEN disease > 0 THEN 0.1973 * disease ELSE 0 END + CASE WHEN druggability > 0 THEN 0.1529 * druggability ELSE 0 END + CASE WHEN safety > 0 THEN 0.0997 * safety ELSE 0 END)
+    / (0.3137 + 0.2511 + CASE WHEN disease > 0 THEN 0.1973 ELSE 0 END + CASE WHEN druggability > 0 THEN 0.1529 ELSE 0 END + CASE WHEN safety > 0 THEN 0.0997 ELSE 0 END)::DOUBLE, 4) AS raw FROM subs)
 """
 
 
@@ -108,10 +108,10 @@ def _subscores(spark, sf_dir):
     )
 
 
-@query(f"WITH {_SUBSCORES} SELECT gene, convergence, round(selection, 4) AS selection, disease, druggability, safety, genetics FROM comps")
+@query(f"WITH {_SUBSCORES} SELECT gene, convergence, round(selection, 7) AS selection, disease, druggability, safety, genetics FROM comps")
 def sub_scores(spark, sf_dir):
     """DS1-DS5, DS9."""
-    return _subscores(spark, sf_dir).withColumn("selection", F.round("selection", 4))
+    return _subscores(spark, sf_dir).withColumn("selection", F.round("selection", 7))
 
 
 @query(f"""
@@ -120,7 +120,7 @@ SELECT gene, composite, CASE WHEN composite >= 0.4 AND genetics >= 0.2 THEN 'Val
 """)
 def weighted_composite(spark, sf_dir):
     """DS8, DS9, DS12: composite over present scores, safety floor, tier."""
-    weights = {"convergence": 0.3, "selection": 0.25, "disease": 0.2, "druggability": 0.15, "safety": 0.1, "safety_floor": 0.2}
+    weights = {"convergence": 0.3137, "selection": 0.2511, "disease": 0.1973, "druggability": 0.1529, "safety": 0.0997, "safety_floor": 0.2}
     subs = _subscores(spark, sf_dir)
     comp = S.composite({k: F.col(k) for k in weights if k != "safety_floor"}, weights)
     scored = subs.withColumn("composite", F.when(F.col("safety") < 0.2, 0.0).otherwise(comp))
