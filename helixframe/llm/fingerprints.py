@@ -99,7 +99,8 @@ def _successors(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    keyed = docs.select("doc_id", text_or_empty().alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_KEY)).alias("key"))
+    # both joins below take the same two columns, so that texts are shuffled once
+    keyed = docs.select(text_or_empty().alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_KEY)).alias("key"))
     sent = keyed.join(_successors(keyed), "key").select(F.col("before").alias("key"), F.substring("text", F.lit(1), F.col("wanted")).alias("start"), vector(F.col("text")).alias("next"))
     sent = sent.groupBy("key").agg(F.min(F.struct("start", "next")).alias("sent"))
     both = keyed.join(sent, "key")
@@ -108,7 +109,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("sent.start"), F.lit(1), half))
     made = both.withColumn("edited", edited).withColumn("own", vector(F.col("text"))).withColumn("other", vector(F.col("edited")))
     return made.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), text_of(F.col("own")).alias("fingerprint"), text_of(F.col("other")).alias("edited_fingerprint"),
+        F.nullif("key", F.lit(_LAST_KEY)).alias("doc_id"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), text_of(F.col("own")).alias("fingerprint"), text_of(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("sent.next")).alias("near_next"),
     )
 
