@@ -1,0 +1,84 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from helixframe.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    doubled = [int(d) if i % 2 == 0 else sum(map(int, str(2 * int(d)))) for i, d in enumerate(reversed(digits))]
+    return sum(doubled) % 10 == 0
+
+
+def brute(text):
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for kind, pattern, low, high in ((2, CARD, 14, 19), (3, PHONE, 10, 15)):
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if low <= len(digits) <= high and (kind == 3 or luhn(digits)):
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pii.train(pii.labelled_table())
+
+
+def test_base_equals_brute_force():
+    rng = np.random.default_rng(3)
+    pieces = ["a@b.co", "@", ".", "-", " ", "+", "1", "22", "255", "256", "1.2.3.4", "x_y@d-e.f.g", "4111111111111111", "(555)", "4111 1111 1111 1111", "+1 (212) 555-0199", "word", "é@x.y", "\n", "0300"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces, rng.integers(1, 12)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_documents_equal_brute_force(spark, sf_dir, model):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: r for r in pii.find_pii(docs, model).collect()}
+    for r in docs.collect():
+        want = brute(r.text)
+        text = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(filter(None, text.split(","))) <= set(got[r.doc_id].spans.split(","))
+
+
+def test_held_out_accuracy(model):
+    found = wanted = both = 0
+    for text, spans in pii.labelled_table(copies=4, seed=77):
+        got = {(a, b, pii.KINDS[k]) for a, k, b in pii.crf_spans(model, [text])[0]}
+        found, wanted, both = found + len(got), wanted + len(spans), both + len(got & set(spans))
+    assert both >= 0.97 * wanted and both >= 0.97 * found
+
+
+def test_viterbi_is_the_best_path(model):
+    from itertools import product
+
+    for text in ("to +1 (743) 555-3824 on", 'key = "4f9a" 12', "a 1.2.3.4 5"):
+        for x in pii.islands(text):
+            score, n = model.scores(x), x.last - x.first
+            if n > 4:
+                continue
+            total = lambda p: model.transition[0, p[0]] + score[0, p[0]] + sum(model.transition[a, b] + score[i + 1, b] for i, (a, b) in enumerate(zip(p, p[1:], strict=False)))
+            best = max(product(range(len(pii.LABELS)), repeat=n), key=total)
+            assert total(tuple(model.decode([x])[0])) == pytest.approx(total(best))
+
+
+def test_added_kinds_and_decoys(spark, model):
+    rows = [(1, 'the token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" of'), (2, "with 2123465659789240 of"), (3, "de 4465758382889437 4465758382889437 y")]
+    got = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1] == "secret:13:53" and got[2] == "" and got[3].count("card") == 2
+
+
+def test_edges(edge, empty, edge_rows, model):
+    got = pii.find_pii(edge, model)
+    assert got.count() == len(edge_rows) and got.where("n_added <> 0").count() == 0
+    assert pii.find_pii(empty, model).count() == 0
