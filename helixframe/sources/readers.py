@@ -87,13 +87,13 @@ def read_orthogroups(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gff3(spark: SparkSession, path: str) -> DataFrame:
     """SRC10: (file, line, chrom, kind, start, end, strand, attributes map), in file order by line."""
-    lines = spark.read.text(path).select(_file().alias("file"), F.monotonically_increasing_id().alias("line"), F.split("value", "\t").alias("p")).where((F.size("p") >= 9) & ~F.startswith(F.col("p")[0], F.lit("#")))
-    pairs = F.filter(F.transform(F.split(F.col("p")[8], ";"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit("=")))
+    lines = spark.read.text(path).select(_file().alias("file"), F.monotonically_increasing_id().alias("line"), F.split("value", "\t").alias("p")).where((F.size("p") >= 9) & ~F.startswith(F.get("p", 0), F.lit("#")))
+    pairs = F.filter(F.transform(F.split(F.get("p", 8), ";"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit("=")))
     entries = F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("k"), F.trim(F.regexp_replace(x, "^[^=]*=", "")).alias("v")))
     # the last of several values of a key counts
     attributes = F.map_from_entries(F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["k"] == e["k"])))
-    start, end = F.col("p")[3].try_cast("int"), F.col("p")[4].try_cast("int")
-    return lines.select("file", "line", F.col("p")[0].alias("chrom"), F.col("p")[2].alias("kind"), start.alias("start"), end.alias("end"), F.col("p")[6].alias("strand"), attributes.alias("attributes")).where("start IS NOT NULL AND end IS NOT NULL")
+    start, end = F.get("p", 3).try_cast("int"), F.get("p", 4).try_cast("int")
+    return lines.select("file", "line", F.get("p", 0).alias("chrom"), F.get("p", 2).alias("kind"), start.alias("start"), end.alias("end"), F.get("p", 6).alias("strand"), attributes.alias("attributes")).where("start IS NOT NULL AND end IS NOT NULL")
 
 
 def gene_index(gff: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def read_constraint(spark: SparkSession, path: str, symbol: str = "gene", canoni
 def read_pathogenicity(spark: SparkSession, path: str, accessions: DataFrame | None = None) -> DataFrame:
     """SRC15: (accession, position, alt, score) of a headerless table of variants; the accessions prune it before anything else."""
     lines = spark.read.text(path).where(~F.startswith("value", F.lit("#"))).select(F.split("value", "\t").alias("p")).where(F.size("p") >= 9)
-    rows = lines.select(F.upper(F.col("p")[5]).alias("accession"), F.col("p")[7].alias("variant"), F.col("p")[8].try_cast("double").alias("score"))
+    rows = lines.select(F.upper(F.get("p", 5)).alias("accession"), F.get("p", 7).alias("variant"), F.get("p", 8).try_cast("double").alias("score"))
     if accessions is not None:
         rows = rows.join(accessions.select(F.upper("accession").alias("accession")).distinct(), "accession", "left_semi")
     part = lambda i: F.regexp_extract("variant", "^([A-Z])([0-9]+)([A-Z])$", i)
@@ -177,11 +177,11 @@ def read_dependency_matrix(spark: SparkSession, path: str) -> DataFrame:
 
 def read_paf(spark: SparkSession, path: str) -> DataFrame:
     """SRC17: (query, percent_identity, alignment_length, gap_fraction), the first of the longest alignments of each query."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.split("value", "\t").alias("p")).where((F.size("p") >= 12) & ~F.startswith(F.col("p")[0], F.lit("#")))
-    length, matches = F.col("p")[10].try_cast("int"), F.col("p")[9].try_cast("int")
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), F.split("value", "\t").alias("p")).where((F.size("p") >= 12) & ~F.startswith(F.get("p", 0), F.lit("#")))
+    length, matches = F.get("p", 10).try_cast("int"), F.get("p", 9).try_cast("int")
     cigar = F.coalesce(F.get(F.filter("p", lambda x: F.startswith(x, F.lit("cg:Z:"))), 0), F.lit(""))
     gaps = F.aggregate(F.regexp_extract_all(cigar, F.lit("([0-9]+)[ID]"), F.lit(1)), F.lit(0), lambda a, x: a + x.cast("int"))
-    rows = lines.select("line", F.col("p")[0].alias("query"), F.round(matches / length * 100, 2).alias("percent_identity"), length.alias("alignment_length"), F.round(gaps / length, 4).alias("gap_fraction")).where("alignment_length >= 1")
+    rows = lines.select("line", F.get("p", 0).alias("query"), F.round(matches / length * 100, 2).alias("percent_identity"), length.alias("alignment_length"), F.round(gaps / length, 4).alias("gap_fraction")).where("alignment_length >= 1")
     return dedup_first(rows, ["query"], [F.col("alignment_length").desc(), F.col("line")]).drop("line")
 
 
@@ -236,11 +236,11 @@ def _content() -> Column:
 def read_meme(spark: SparkSession, path: str, significance: float = 0.1) -> DataFrame:
     """SRC22: (file, omega, p, site_ps): pseudo ratio and geometric-mean p of the selected sites."""
     rows = _json(spark, path, _SITES).select("file", _content().alias("sites"))
-    usable = F.filter("sites", lambda s: (F.size(s) >= 6) & (s[5] < significance))
+    usable = F.filter("sites", lambda s: (F.size(s) >= 6) & (F.get(s, 5) < significance))
     rows = rows.withColumn("hits", usable)
     mean = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-    beta = F.filter(F.transform("hits", lambda s: s[3]), lambda b: b.isNotNull())
-    logs = F.transform(F.filter("hits", lambda s: s[5] > 0), lambda s: F.log(s[5]))
+    beta = F.filter(F.transform("hits", lambda s: F.get(s, 3)), lambda b: b.isNotNull())
+    logs = F.transform(F.filter("hits", lambda s: F.get(s, 5) > 0), lambda s: F.log(F.get(s, 5)))
     share = F.size("hits") / F.size("sites")
     omega = F.when(F.size(beta) > 0, share * F.least(mean(beta) / 5.0, F.lit(2.0))).otherwise(0.0)
     p = F.when(F.size("hits") > 0, F.greatest(F.lit(1e-10), F.exp(F.aggregate(logs, F.lit(0.0), lambda a, x: a + x) / F.size("hits")))).otherwise(1.0)
@@ -251,14 +251,14 @@ def read_meme(spark: SparkSession, path: str, significance: float = 0.1) -> Data
 def read_fubar(spark: SparkSession, path: str) -> DataFrame:
     """SRC22: (file, positive_sites, negative_sites) with posterior above 0.9."""
     rows = _json(spark, path, _SITES).select("file", F.filter(_content(), lambda s: F.size(s) >= 5).alias("sites"))
-    count = lambda i: F.size(F.filter("sites", lambda s: s[i] > 0.9))
+    count = lambda i: F.size(F.filter("sites", lambda s: F.get(s, i) > 0.9))
     return rows.select("file", count(3).alias("positive_sites"), count(4).alias("negative_sites"))
 
 
 def read_fel(spark: SparkSession, path: str) -> DataFrame:
     """SRC22: (file, fel_sites) with p below 0.05 and beta above alpha; columns by their headers."""
     rows = _json(spark, path, _SITES)
-    names = F.transform(F.coalesce("j.MLE.headers", F.array().cast("array<array<string>>")), lambda h: F.lower(h[0]))
+    names = F.transform(F.coalesce("j.MLE.headers", F.array().cast("array<array<string>>")), lambda h: F.lower(F.get(h, 0)))
     # the last header that fits counts
     place = lambda fits, default: F.coalesce(F.array_max(F.filter(F.transform(names, lambda h, i: F.when(fits(h), i)), lambda i: i.isNotNull())), F.lit(default))
     has = lambda h, t: F.contains(h, F.lit(t))
