@@ -14,5 +14,6 @@ def tail(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFrame:
 
 def event_counts(events: DataFrame, window: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts and sums of events by kind and window; works on streams and on tables."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = rows.withWatermark("ts", late) if events.isStreaming else rows
     return rows.groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
