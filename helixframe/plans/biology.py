@@ -252,7 +252,7 @@ def parsimony(spark, sf_dir):
     """DS17, DS18: on letters made from the keys, and a fixed tree of the regions' species."""
     line, supplier = tables(spark, sf_dir, "lineitem", "supplier")
     letter = lambda c, n: F.substring(F.lit("GAVLIFWYSTCNQHDEKRPM"), (c % n + 1).cast("int"), F.lit(1))
-    rows = line.where("l_suppkey <= 40").join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    rows = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("motif"), F.col("l_partkey").alias("gene"), F.col("l_linenumber").cast("int").alias("start"), F.concat(*[letter(F.col("l_partkey") + i, 20) for i in range(5)]).alias("human"),
         F.concat(*[letter(F.col("l_partkey") + F.col("l_suppkey") + i, 20) for i in range(5)]).alias("animal"), (F.col("l_suppkey") % 8).cast("string").alias("species"), (F.col("l_suppkey") % 4).cast("string").alias("lineage"),
     )
@@ -337,13 +337,13 @@ def peptide_rules(spark, sf_dir):
 
 
 @query("""
-WITH t AS (SELECT doc_id, translate(upper(left(text, 2000)), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC') AS s FROM documents),
-w AS (SELECT doc_id, count(*) FILTER (WHERE regexp_full_match(substr(s, i, 22), '[ACGT]{20}GG')) AS sites FROM t, unnest(generate_series(1, 2000)) AS u(i) GROUP BY 1)
+WITH t AS (SELECT doc_id, translate(upper(text), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC') AS s FROM documents),
+w AS (SELECT doc_id, count(*) FILTER (WHERE regexp_full_match(substr(s, i, 22), '[ACGT]{20}GG')) AS sites FROM t, unnest(generate_series(1, greatest(1, length(s)))) AS u(i) GROUP BY 1)
 SELECT doc_id, sites, CASE WHEN sites > 50 THEN 'high' WHEN sites > 15 THEN 'medium' ELSE 'low' END AS risk FROM w
 """)
 def pam_guides(spark, sf_dir):
     """SQ21, SQ22, TK6: guide sites of letters mapped to bases."""
-    bases = F.translate(F.upper(F.substring("text", 1, 2000)), "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC")
+    bases = F.translate(F.upper("text"), "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC")
     g = table(spark, sf_dir, "documents").select("doc_id", Q.scored_guides(bases).alias("g"))
     return g.select("doc_id", F.col("g.sites").cast("long").alias("sites"), "g.risk")
 
