@@ -33,6 +33,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tasks_for(rows: int, each: int) -> int:
+    """How many tasks a table of so many rows is worth; coalesce() to more than there are changes nothing."""
+    return max(1, -(-rows // each))
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write a table to the folder that cut() uses, and read it again."""
     spark = df.sparkSession

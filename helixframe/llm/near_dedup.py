@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import cut, documents, small_batches
+from helixframe.llm.common import cut, documents, small_batches, tasks_for
 
 BANDS, ROWS, LANE_BITS = 32, 5, 12
 MINIMA = BANDS * ROWS
@@ -42,6 +42,9 @@ WORDS = -(-MINIMA // 64)
 DEVIATIONS = 4.5
 #: Up to so many ids (16 MB) are broadcast to pick out the texts they name; beyond, both sides are shuffled.
 BROADCAST_IDS = 2_000_000
+#: Rows that a task should have at least in steps over links, and over nodes with company and their texts.
+LINKS_A_TASK = 100_000
+MEMBERS_A_TASK = 1_000
 
 
 class _Words(dict):
@@ -135,23 +138,27 @@ def estimated_similarity(a: Column, b: Column) -> Column:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): each node of a link with the smallest node that it can reach."""
+    """(node, component): each node of a link with the smallest node that it can reach.
+
+    Large-star and small-star rounds go on until every node has one link, to a node that has none itself.
+    """
     links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    state = None
     while True:
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state or not now[0]:
+        nodes = links.groupBy("a").agg(F.count("*").alias("n"))
+        counts = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("links"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+        few = tasks_for(counts["links"], LINKS_A_TASK)
+        links = links.coalesce(few)
+        if counts["most"] <= 1 and not links.join(links.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count():
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = now
-        both = links.union(links.select("b", "a").toDF("a", "b"))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        both = links.union(links.select("b", "a").toDF("a", "b")).coalesce(few)
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).coalesce(few)
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(few).distinct().coalesce(few)
+        least = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(few)
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = cut(small.union(least.toDF("a", "b")).distinct())
+        links = cut(small.union(least.toDF("a", "b")).coalesce(few).distinct().coalesce(few))
 
 
-def confirmed(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def confirmed(texts: DataFrame, pairs: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union. texts: (node, text)."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +179,8 @@ def confirmed(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both) > 0)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    with_a = pairs.join(texts.toDF("a", "text_a"), "a")
-    return with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long").distinct()
+    with_a = pairs.join(texts.toDF("a", "text_a"), "a").coalesce(tasks)
+    return with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b").coalesce(tasks).mapInArrow(confirm, "a long, b long").distinct().coalesce(tasks)
 
 
 def unshared(texts: DataFrame) -> DataFrame:
@@ -209,11 +216,13 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     # what follows needs the nodes with company only, and their texts
     members = cut(shared.select("node").distinct())
-    few = members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    n_members = members.count()
+    few, tasks = n_members <= BROADCAST_IDS, tasks_for(n_members, MEMBERS_A_TASK)
+    shared, members = shared.coalesce(tasks), members.coalesce(tasks)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(members) if few else members, "node")
-    texts = cut(texts.distinct())
+    texts = cut(texts.distinct().coalesce(tasks))
     marks = nodes.join(members, "node").join(unshared(texts), "digest_a", "left").select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("common"), "bands", "planes")
-    marks = cut(marks.where(F.col("common") * 100 >= F.col("n_shingles") * percent))
+    marks = cut(marks.where(F.col("common") * 100 >= F.col("n_shingles") * percent).coalesce(tasks))
 
     # two sets have at most the smaller of their common parts in common
     most = F.least("x.common", "y.common")
@@ -221,21 +230,23 @@ def near_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     alike = alike & (estimated_similarity(F.col("x.planes"), F.col("y.planes")) >= F.lit(least))
 
     ends = shared.select("node", F.explode(F.array("first", "last")).alias("end")).where("node <> end")
-    ends = ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
-    ends = cut(ends.join(marks.alias("x"), F.col("a") == F.col("x.node")).join(marks.alias("y"), (F.col("b") == F.col("y.node")) & alike).select("a", "b").distinct())
-    links = cut(confirmed(texts, ends, percent))
+    ends = ends.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct().coalesce(tasks)
+    ends = ends.join(marks.alias("x"), F.col("a") == F.col("x.node")).coalesce(tasks)
+    ends = cut(ends.join(marks.alias("y"), (F.col("b") == F.col("y.node")) & alike).select("a", "b").coalesce(tasks).distinct().coalesce(tasks))
+    links = confirmed(texts, ends, percent, tasks)
     labels = components(links)
 
     labelled = shared.select("band", "key", "node").join(marks.select("node").distinct(), "node", "left_semi").join(labels, "node", "left")
-    labelled = cut(labelled.withColumn("component", F.coalesce("component", "node")))
+    labelled = cut(labelled.withColumn("component", F.coalesce("component", "node")).coalesce(tasks))
     mixed = labelled.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band", "key")
-    open_ = labelled.join(mixed, ["band", "key"], "left_semi").join(marks, "node")
+    open_ = labelled.join(mixed, ["band", "key"], "left_semi").coalesce(tasks).join(marks, "node").coalesce(tasks)
     x, y = open_.alias("x"), open_.alias("y")
     first = reduce(lambda a, b: a & b, ((F.col("x.band") <= i) | (F.col("x.bands")[i] != F.col("y.bands")[i]) for i in range(BANDS - 1)))
     apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
     others = x.join(y, apart & alike & first).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    others = cut(others.distinct().join(ends, ["a", "b"], "left_anti"))
-    labels = components(links.union(confirmed(texts, others, percent)))
+    others = cut(others.coalesce(tasks).distinct().join(ends, ["a", "b"], "left_anti").coalesce(tasks))
+    joined = labels.toDF("a", "b")
+    labels = components(joined.union(confirmed(texts, others, percent, tasks)))
 
     named = nodes.select(*sets, "node").join(labels, "node", "left").select(*sets, F.coalesce("component", "node").alias("component_id"))
     empty = F.col("n_shingles") == 0
