@@ -231,3 +231,11 @@ def protein_range(motif: Column, protein: Column) -> Column:
     bare = F.regexp_replace(motif, "-", "")
     at = F.instr(protein, bare)
     return F.when((F.length(bare) > 0) & (at > 0), F.struct(at.alias("start"), (at + F.length(bare) - 1).alias("end")))
+
+
+def uuid5(name: Column, namespace: str) -> Column:
+    """SQ27: the name-based identifier of a text in a namespace, as 8-4-4-4-12 digits."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    part = lambda start, n: F.substring(digest, start, n)
+    variant = F.translate(part(17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(18, 3)), part(21, 12))

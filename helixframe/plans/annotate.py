@@ -455,3 +455,22 @@ def tractability_tier(items: Column) -> Column:
     return F.coalesce(small, F.when(has("Clinical Precedence", "AB"), F.lit("B")))
 
 
+def crispr_table(genes: DataFrame, sequences: DataFrame) -> DataFrame:
+    """UDF2, SQ22: (gene_id, crispr_sites, crispr_efficiency, offtarget_risk) from whatever provides (gene_id, sequence); null where it has none."""
+    guides = genes.select("gene_id").join(sequences, "gene_id", "left").withColumn("g", Q.scored_guides(F.col("sequence")))
+    return guides.select("gene_id", F.col("g.sites").alias("crispr_sites"), F.col("g.mean_efficiency").alias("crispr_efficiency"), F.col("g.risk").alias("offtarget_risk"))
+
+
+def peptide_columns(motifs: DataFrame) -> DataFrame:
+    """AN21, SQ23: motifs with half_life_min and synthesisable from their sequences."""
+    seq = F.regexp_replace(F.coalesce(F.nullif("animal_seq", F.lit("")), F.col("human_seq"), F.lit("")), "-", "")
+    half = F.when(F.length(seq) > 0, Q.half_life_minutes(Q.boman_index(seq), F.length(seq)))
+    return motifs.withColumns({"half_life_min": half, "synthesisable": Q.synthesisable(F.col("animal_seq"), F.col("human_seq"))})
+
+
+def nearest_known_drug(compounds: DataFrame, drugs: DataFrame) -> DataFrame:
+    """AN24, SQ28: (id, tanimoto_to_known, nearest_known_drug), the first of the most similar drugs of the gene. Both have fingerprints of longs; the drugs of one target are few."""
+    listed = drugs.groupBy("gene_id").agg(F.sort_array(F.collect_list(F.struct("name", "fingerprint"))).alias("drugs"))
+    scored = compounds.join(listed, "gene_id", "left").select("id", F.transform("drugs", lambda d: F.struct(F.round(Q.tanimoto(F.col("fingerprint"), d["fingerprint"]), 4).alias("t"), d["name"].alias("name"))).alias("s"))
+    best = F.array_max(F.transform("s", lambda x: x["t"]))
+    return scored.select("id", best.alias("tanimoto_to_known"), F.get(F.filter("s", lambda x: x["t"] == best), 0)["name"].alias("nearest_known_drug"))

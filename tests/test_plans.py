@@ -182,3 +182,17 @@ def test_staged_run(spark, store, tmp_path):
     assert done["step9"] == done["step7"] == done["step7b"] == done["step11d"] == "done" and done["step4"] == "lacks aligned"
     assert Run(spark, folder).go()["step9"] == "skipped"
     assert Run(spark, folder).store({"candidate_score"}).candidate_score.count() == 5
+
+
+def test_guides_peptides_and_ligands(spark):
+    genes = spark.createDataFrame([("a",), ("b",)], "gene_id string")
+    sequences = spark.createDataFrame([("a", "ACGTACGTACGTACGTACGAGG")], "gene_id string, sequence string")
+    got = {r.gene_id: r for r in A.crispr_table(genes, sequences).collect()}
+    assert got["a"].crispr_sites == 1 and got["a"].offtarget_risk == "low" and got["b"].crispr_sites is None and got["b"].offtarget_risk is None
+    motifs = spark.createDataFrame([("ACDEFGHIKL", ""), ("", "-")], "animal_seq string, human_seq string")
+    rows = A.peptide_columns(motifs).collect()
+    assert rows[0].synthesisable and rows[0].half_life_min > 0 and rows[1].half_life_min is None
+    compounds = spark.createDataFrame([("g", "c", [0b1110]), ("h", "d", [1])], "gene_id string, id string, fingerprint array<long>")
+    drugs = spark.createDataFrame([("g", "x", [0b0110]), ("g", "w", [0b0110]), ("g", "y", [0b1])], "gene_id string, name string, fingerprint array<long>")
+    near = {r.id: (r.tanimoto_to_known, r.nearest_known_drug) for r in A.nearest_known_drug(compounds, drugs).collect()}
+    assert near == {"c": (0.6667, "w"), "d": (None, None)}

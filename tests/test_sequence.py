@@ -78,3 +78,10 @@ def test_fingerprints_and_ranges(spark):
     assert one(spark, ("ZZ", "ABCDE"), "a string, b string", Q.protein_range(F.col("a"), F.col("b"))) is None
     assert one(spark, ("CCNO" * 10, 0.8), "a string, p double", Q.atom_docking_proxy(F.col("a"), F.col("p"))) == -5.0
     assert one(spark, ("((a:1,b:2)x:3,c:1);",), "t string", Q.mark_foreground(F.col("t"), ["b"])) == "((a:1,b #1:2):3,c:1);"
+
+
+def test_uuid5(spark):
+    import uuid
+
+    for name in ("P04637", "naïve", ""):
+        assert one(spark, (name,), "n string", Q.uuid5(F.col("n"), str(uuid.NAMESPACE_DNS))) == str(uuid.uuid5(uuid.NAMESPACE_DNS, name))
