@@ -9,6 +9,7 @@ from helixframe.functions import sequence as Q
 from helixframe.operators import relational as R
 from helixframe.plans import annotate as A
 from helixframe.plans import checks
+from helixframe.plans import evolution as E
 from helixframe.plans.relational import table, tables
 from helixframe.sources import sinks
 from helixframe.streaming.tail import event_counts
@@ -161,6 +162,25 @@ def fingerprint_similarity(spark, sf_dir):
     return pairs.select("x", "y", F.round(Q.tanimoto(F.array("x"), F.array(F.col("y").cast("long"))), 6).alias("t"))
 
 
+@query(f"""
+WITH base AS (SELECT l_orderkey * 10 + l_linenumber AS motif, l_partkey AS gene, l_linenumber AS start, l_suppkey AS k, (l_suppkey % 8)::VARCHAR AS species, (l_suppkey % 4)::VARCHAR AS lineage FROM {_UNIQUE}),
+res AS (SELECT *, start + i AS pos, substr('GAVLIFWYSTCNQHDEKRPM', ((gene + i) % 20 + 1)::INT, 1) AS h, substr('GAVLIFWYSTCNQHDEKRPM', ((gene + k + i) % 20 + 1)::INT, 1) AS a FROM base, unnest(range(0, 5)) AS u(i)),
+changed AS (SELECT *, CASE WHEN contains('GAVLI', a) THEN 0 WHEN contains('FWY', a) THEN 1 WHEN contains('STC', a) THEN 2 WHEN contains('NQH', a) THEN 3 WHEN contains('DE', a) THEN 4 WHEN contains('KR', a) THEN 5 ELSE 6 END AS klass,
+  row_number() OVER (PARTITION BY gene, pos, lineage ORDER BY species, motif) AS r FROM res WHERE h <> a),
+kinds AS (SELECT gene, pos, klass, count(*) AS n FROM changed WHERE r = 1 GROUP BY 1, 2, 3), totals AS (SELECT gene, pos, max(n) AS most FROM kinds GROUP BY 1, 2 HAVING sum(n) >= 2)
+SELECT motif, coalesce(max(most), 0)::BIGINT AS convergent_aa FROM res LEFT JOIN totals USING (gene, pos) GROUP BY 1
+""")
+def convergent_aa_classes(spark, sf_dir):
+    """DS18, ST2, SQ20: lineages that share a class of substituted residue, without a tree."""
+    letter = lambda c: F.substring(F.lit("GAVLIFWYSTCNQHDEKRPM"), (c % 20 + 1).cast("int"), F.lit(1))
+    k, gene = F.col("l_suppkey"), F.col("l_partkey")
+    rows = _unique(spark, sf_dir).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("motif"), gene.alias("gene"), F.col("l_linenumber").cast("int").alias("start"), F.concat(*[letter(gene + i) for i in range(5)]).alias("human"),
+        F.concat(*[letter(gene + k + i) for i in range(5)]).alias("animal"), (k % 8).cast("string").alias("species"), (k % 4).cast("string").alias("lineage"),
+    )
+    return E.convergent_positions(rows)
+
+
 # --- annotations -------------------------------------------------------------------------------
 
 
