@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from helixframe.functions.scores import phylogenetic_weight, r4
 from helixframe.functions.sequence import AMINO_CLASS, letters, literal_map
