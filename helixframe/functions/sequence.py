@@ -31,6 +31,11 @@ RESIDUE_POTENTIAL = {
 SPECIES_SUFFIXES = ("_HUMAN", "_MOUSE", "_RAT", "_DOG", "_CAT", "_WHALE", "_BAT", "_SHARK")
 
 
+def let(value: Column, body) -> Column:
+    """body(value), where body may use the value many times and in lambdas: it is worked out once a row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def literal_map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
@@ -72,17 +77,22 @@ def shingles(seq: Column, k: int) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    return F.when(F.size(F.array_union(a, b)) == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
+    """Of two arrays of distinct values."""
+    both = F.struct(F.size(F.array_intersect(a, b)).alias("common"), (F.size(a) + F.size(b)).alias("sizes"))
+    return let(both, lambda x: F.when(x["sizes"] == 0, 0.0).otherwise(x["common"] / (x["sizes"] - x["common"])))
 
 
 def kmer_identity(a: Column, b: Column, k: int = 3, first: int = 300) -> Column:
     """Percent Jaccard similarity of k-mers of the first residues without gaps; texts under k letters compare by position."""
     clean = lambda s: F.substring(F.regexp_replace(s, "-", ""), 1, first)
-    x, y = clean(a), clean(b)
-    short = (F.length(x) < k) | (F.length(y) < k)
-    n = F.greatest(F.length(x), F.length(y))
-    same = _count(_pairs(x, y), lambda p: p["a"] == p["b"])
-    return F.when(n == 0, 0.0).when(short, 100.0 * same / n).otherwise(100.0 * jaccard(shingles(x, k), shingles(y, k)))
+
+    def of(x: Column, y: Column) -> Column:
+        n = F.greatest(F.length(x), F.length(y))
+        same = _count(_pairs(x, y), lambda p: p["a"] == p["b"])
+        alike = let(shingles(x, k), lambda s: let(shingles(y, k), lambda t: jaccard(s, t)))
+        return F.when(n == 0, 0.0).when((F.length(x) < k) | (F.length(y) < k), 100.0 * same / n).otherwise(100.0 * alike)
+
+    return let(clean(a), lambda x: let(clean(b), lambda y: of(x, y)))
 
 
 def window_starts(length: Column, size: int = 15, step: int = 5) -> Column:

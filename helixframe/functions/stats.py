@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from helixframe.functions.sequence import let
+
 # Coefficients of the Abramowitz-Stegun approximation 7.1.26 of erf, |error| <= 1.5e-7.
 ERF_P = 0.3275911
 ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -82,12 +84,14 @@ def log10_hypergeometric_tail(k: Column, big_k: Column, n: Column, big_n: Column
         F.sequence(k.cast("int"), top.cast("int")),
         lambda i: F.when((n - i <= big_n - big_k), choose(big_k, i) + choose(big_n - big_k, n - i) - choose(big_n, n)),
     )
-    most = F.array_max(terms)
-    total = F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.coalesce(F.exp(t - most), F.lit(0.0)))
-    found = F.when(k > top, -300.0).otherwise((most + F.log(total)) / F.lit(2.302585092994046))
+    add = lambda ts, most: F.aggregate(ts, F.lit(0.0), lambda a, t: a + F.coalesce(F.exp(t - most), F.lit(0.0)))
+    total = let(terms, lambda ts: let(F.array_max(ts), lambda most: most + F.log(add(ts, most))))
+    found = F.when(k > top, -300.0).otherwise(total / F.lit(2.302585092994046))
     return F.when(k <= 0, 0.0).otherwise(F.greatest(F.lit(-300.0), F.coalesce(found, F.lit(-300.0))))
 
 
-def log_factorial_array(top: int) -> Column:
-    """ln(i!) for i from 0 to top, as prefix sums."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(top)), F.array(F.lit(0.0)), lambda a, i: F.concat(a, F.array(F.element_at(a, -1) + F.log(i.cast("double")))))
+def log_factorials(spark: SparkSession, top: int) -> DataFrame:
+    """One row: lf, the array of ln(i!) for i from 0 to top, as prefix sums."""
+    sums = spark.range(1, top + 1).select("id", F.sum(F.log(F.col("id").cast("double"))).over(Window.orderBy("id")).alias("s"))
+    listed = sums.agg(F.array_sort(F.collect_list(F.struct("id", "s"))).alias("all"))
+    return listed.select(F.concat(F.array(F.lit(0.0)), F.transform("all", lambda x: x["s"])).alias("lf"))

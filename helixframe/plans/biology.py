@@ -243,7 +243,7 @@ def permutation_p(spark, sf_dir):
     order = Window.orderBy("species")  # one row for each species
     dealt = species.select("species", F.explode(F.sequence(F.lit(0), F.lit(19))).alias("iteration"))
     dealt = dealt.withColumn("r", F.row_number().over(Window.partitionBy("iteration").orderBy(F.md5(F.concat(F.col("iteration").cast("string"), "species")))))
-    labels = dealt.join(species.select("lineage", F.row_number().over(order).alias("r")), "r").groupBy("iteration").agg(F.map_from_entries(F.collect_list(F.struct("species", "lineage"))).alias("labels"))
+    labels = dealt.join(species.select("lineage", F.row_number().over(order).alias("r")), "r").select("iteration", "species", "lineage")
     return E.permutation_p(E.convergence(motifs, E.distance_map(_FAR)), labels)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.scores import phylogenetic_weight, r4
 from helixframe.functions.sequence import AMINO_CLASS, letters, literal_map
-from helixframe.functions.stats import benjamini_hochberg, log10_hypergeometric_tail, log_factorial_array
+from helixframe.functions.stats import benjamini_hochberg, log10_hypergeometric_tail, log_factorials
 from helixframe.operators.relational import dedup_first
 
 # Millions of years between lineages; other pairs take 100.
@@ -60,25 +60,27 @@ def convergence(motifs: DataFrame, distances: Column | None = None) -> DataFrame
 
 
 def shuffled_labels(spark: SparkSession, lineages: dict[str, str], iterations: int, seed: int = 42) -> DataFrame:
-    """(iteration, labels): lineages dealt anew to the species, in the order of the given map."""
+    """(iteration, species, lineage): lineages dealt anew to the species, in the order of the given map."""
     rng, names, labels = random.Random(seed), list(lineages), list(lineages.values())
     rows = []
     for i in range(iterations):
         rng.shuffle(labels)
-        rows.append((i, dict(zip(names, labels, strict=True))))
-    return spark.createDataFrame(rows, "iteration int, labels map<string,string>")
+        rows += [(i, s, l) for s, l in zip(names, labels, strict=True)]
+    return spark.createDataFrame(rows, "iteration int, species string, lineage string")
 
 
 def permutation_p(best: DataFrame, labels: DataFrame) -> DataFrame:
     """DS16: share of dealings in which a gene's best window has at least its own number of lineages.
 
-    Dealing labels rather than windows keeps the pairs at genes times iterations, with the labels broadcast
-    (species times iterations values).
+    Labels are dealt rather than windows, so the rows are those of the best windows times iterations; the
+    labels (species times iterations, a bounded table) are broadcast.
     """
-    pairs = best.select("gene", "n", "species").crossJoin(F.broadcast(labels))
-    drawn = lineage_count(F.transform("species", lambda s: F.try_element_at("labels", s)))
-    hits = pairs.groupBy("gene").agg(F.avg((drawn >= F.col("n")).cast("double")).alias("p"), F.first("n").alias("n"))
-    return hits.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("p"))).alias("p"))
+    dealings = labels.agg(F.countDistinct("iteration").alias("dealings"))
+    drawn = best.select("gene", "n", F.explode("species").alias("species")).join(F.broadcast(labels), "species")
+    counts = drawn.groupBy("gene", "n", "iteration").agg(F.size(F.collect_set(F.when(F.col("lineage") != "Primates", F.col("lineage")))).alias("m"))
+    hits = counts.groupBy("gene").agg(F.count_if(F.col("m") >= F.col("n")).alias("hits"))
+    joined = best.select("gene", "n").join(hits, "gene", "left").crossJoin(F.broadcast(dealings))
+    return joined.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.coalesce("hits", F.lit(0)) / F.col("dealings"))).alias("p"))
 
 
 # --- parsimony ---------------------------------------------------------------------------------
@@ -206,8 +208,7 @@ def pathway_enrichment(genes: DataFrame, background: int = 20000, fallback: int
     rows = genes.select("gene", "convergence", "is_candidate", F.explode(F.array_distinct("pathways")).alias("pathway"))
     best = rows.groupBy("pathway", "gene").agg(F.max("convergence").alias("c"), F.max("is_candidate").alias("hit"))
     sums = best.groupBy("pathway").agg(F.count("*").alias("size"), F.count_if("hit").alias("genes"), F.sum(F.when(F.col("hit"), F.col("c"))).alias("total")).where(F.col("genes") >= least)
-    table = genes.sparkSession.range(1).select(log_factorial_array(background).alias("lf"))
-    joined = sums.crossJoin(F.broadcast(drawn)).crossJoin(F.broadcast(table))
+    joined = sums.crossJoin(F.broadcast(drawn)).crossJoin(F.broadcast(log_factorials(genes.sparkSession, background)))
     log_p = log10_hypergeometric_tail(F.col("genes"), F.coalesce(F.nullif("size", F.lit(0)), F.lit(fallback)), F.col("drawn"), F.lit(background), F.col("lf"))
     scored = joined.select("pathway", "genes", log_p.alias("log_p"), "total").withColumn("score", r4(-F.col("log_p") / 2 + F.col("total") / 2)).withColumn("p", F.pow(F.lit(10.0), F.col("log_p")))
     return benjamini_hochberg(scored, "p", "q", tie="pathway").select("pathway", "genes", "log_p", "score", "q")
