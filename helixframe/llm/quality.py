@@ -2,12 +2,13 @@
 
 The language model is an interpolated modified Kneser-Ney model over character 4-grams, one for each
 language. Spark counts the grams of all documents (tasks add up their own first) and works out
-continuation counts, discounts and probabilities with joins and aggregates. The model is held in hash
-arrays: an odd multiple of the packed code points modulo 2^64, sorted, and found by its leading bits.
+continuation counts, discounts and contexts with aggregates; probabilities follow from them where a text
+is scored. The model is held in hash arrays: an odd multiple of the packed code points modulo 2^64,
+sorted, and found by its leading bits.
 
-The arrays are sent to the executors behind a check of their size. Should an order have more than
-MAX_GRAMS grams, those seen least often leave the arrays; their probability is then that of the back-off
-chain, as for unseen ones. Counts and discounts always come from everything.
+Every gram of every language is in the arrays. They are dealt by the gram into as many pieces as keep each
+order of a piece near MAX_GRAMS grams; the driver gathers and broadcasts one piece after the other. With
+several pieces a task loads them one by one for each batch, so memory stays bounded and only time grows.
 
 A language's band holds the logarithms of perplexity within SPREAD quartile ranges of its quartiles,
 over all of its documents of at least MIN_WORDS words; below it lies repetitive text, above it noise.
@@ -22,7 +23,6 @@ folded to sixteen bits.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -156,38 +156,22 @@ def count_grams(docs: DataFrame, held: int = 2_000_000) -> DataFrame:
 def _discounts(counts: DataFrame) -> DataFrame:
     """D1, D2 and D3 of each language from the numbers of grams seen one to four times."""
     ns = counts.groupBy("lang").agg(*[F.count_if(F.col("n") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     d = [F.lit(k) - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}")) for k in (1, 2, 3)]
     return ns.select("lang", *[F.when((F.col("n1") > 0) & (x > 0) & (x < k), x).otherwise(k / 2).alias(f"d{k}") for k, x in zip((1, 2, 3), d, strict=True)])
 
 
-def kneser_ney(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """By order 1 to ORDER: (lang, gram, n, p), and (lang, context, weight) for grams not seen."""
+def continuation_counts(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
+    """By order 1 to ORDER: (lang, gram, n), and (lang, gram, total, once, twice, more): the context, the sum of n and the numbers of grams by n after it."""
     counts = cut(counts)
     tasks = tasks_for(counts.count(), GRAMS_A_TASK)
     by_order = {ORDER: counts.coalesce(tasks)}
     for k in range(ORDER - 1, 0, -1):
         by_order[k] = cut(by_order[k + 1].select("lang", F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n")).coalesce(tasks))
-    lower = by_order[1].groupBy("lang").agg(F.count("*").alias("v")).select("lang", F.lit(0).cast("long").alias("rest"), (1.0 / F.col("v")).alias("below"))
-    probabilities, weights = [], []
-    for k in range(1, ORDER + 1):
-        table = _with_discounts(by_order[k])
-        d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        table = table.withColumn("context", F.shiftrightunsigned("gram", BITS)).withColumn("rest", F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1))).withColumn("d", d)
-        contexts = table.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("mass")).select("lang", "context", "total", (F.col("mass") / F.col("total")).alias("weight")).coalesce(tasks)
-        joined = table.alias("t").join(contexts.alias("c"), F.col("t.lang").eqNullSafe(F.col("c.lang")) & (F.col("t.context") == F.col("c.context")))
-        joined = joined.join(lower.alias("l"), F.col("t.lang").eqNullSafe(F.col("l.lang")) & (F.col("t.rest") == F.col("l.rest")))
-        p = (F.col("n") - F.col("d")) / F.col("total") + F.col("weight") * F.col("below")
-        table = cut(joined.select("t.lang", "gram", "n", p.alias("p")).coalesce(tasks))
-        probabilities.append(table)
-        weights.append(contexts)
-        lower = table.select("lang", F.col("gram").alias("rest"), F.col("p").alias("below"))
-    return probabilities, weights
-
-
-def _with_discounts(counts: DataFrame) -> DataFrame:
-    d = _discounts(counts).withColumnRenamed("lang", "d_lang")
-    return counts.join(d, F.col("lang").eqNullSafe(F.col("d_lang"))).drop("d_lang")
+    n = F.col("n")
+    by_n = [F.sum(n).alias("total"), F.count_if(n == 1).alias("once"), F.count_if(n == 2).alias("twice"), F.count_if(n > 2).alias("more")]
+    contexts = {k: t.groupBy("lang", F.shiftrightunsigned("gram", BITS).alias("gram")).agg(*by_n).coalesce(tasks) for k, t in by_order.items()}
+    return by_order, contexts
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -205,7 +189,7 @@ class HashArray:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         h = keys.astype(np.uint64) * _MULTIPLIER
         order = np.argsort(h)
-        self.hashes, self.values = h[order], values[order].astype(np.float32)
+        self.hashes, self.values = h[order], values[order]
         bits = max(1, len(keys).bit_length())
         self.shift = np.uint64(64 - bits)
         self.first = np.searchsorted(self.hashes >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int64)
@@ -215,7 +199,7 @@ class HashArray:
         h = keys * _MULTIPLIER
         bucket = (h >> self.shift).astype(np.int64)
         at, end = self.first[bucket], self.first[bucket + 1]
-        out = np.full(len(keys), np.nan, np.float32)
+        out = np.full((len(keys), *self.values.shape[1:]), np.nan)
         open_ = np.arange(len(keys))
         while len(open_):
             open_ = open_[at[open_] < end[open_]]
@@ -226,54 +210,136 @@ class HashArray:
         return out
 
 
-@dataclass
-class CharModel:
-    """Log probabilities of grams, and log weights of contexts, by order."""
+def _groups(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted ids: the first place of each value, and the number of the value at each place."""
+    new = np.concatenate([[True], ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, bool)
+    return np.flatnonzero(new), np.cumsum(new) - 1
 
-    grams: list[HashArray]
-    weights: list[HashArray]
 
-    def log_p(self, code: np.ndarray) -> np.ndarray:
-        """Log probability of each gram; unseen ones weigh the next lower order."""
-        out = np.zeros(len(code), np.float32)
-        open_ = np.arange(len(code))
+@dataclass
+class Grams:
+    """The grams of some texts by order: each once a text, sorted by text and gram.
+
+    `suffix` is the place of a gram's suffix in the next lower order; `context` numbers the entries of `contexts`.
+    """
+
+    texts: int
+    codes: dict[int, np.ndarray] = field(default_factory=dict)
+    suffix: dict[int, np.ndarray] = field(default_factory=dict)
+    contexts: dict[int, np.ndarray] = field(default_factory=dict)
+    context: dict[int, np.ndarray] = field(default_factory=dict)
+    times: np.ndarray = field(init=False)
+    owner: np.ndarray = field(init=False)
+
+    def __init__(self, code: np.ndarray, owner: np.ndarray, texts: int):
+        """From the grams of texts, at most 2^BITS of them, one text after the other."""
+        self.texts, self.codes, self.suffix, self.contexts, self.context = texts, {}, {}, {}, {}
+        code, edge = code.copy(), np.searchsorted(owner, np.arange(texts + 1))
+        for i in range(texts):
+            code[edge[i] : edge[i + 1]].sort()
+        first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])]))
+        self.times = np.diff(np.append(first, len(code)))
+        code, owner = code[first], owner[first].astype(np.uint64)
+        self.owner = owner.astype(np.int64)
         for k in range(ORDER, 0, -1):
-            own = code[open_] & np.uint64((1 << BITS * k) - 1)
-            found = self.grams[k - 1].find(own)
-            missing = np.isnan(found)
-            out[open_[~missing]] += found[~missing]
-            open_ = open_[missing]
-            if not len(open_):
-                break
-            weight = self.weights[k - 1].find(own[missing] >> np.uint64(BITS))
-            out[open_] += np.nan_to_num(weight, nan=0.0)
-            if k == 1:
-                out[open_] += np.float32(-math.log(1 << BITS))
+            self.codes[k], above = code, code >> np.uint64(BITS)
+            at, self.context[k] = _groups((owner << np.uint64(BITS * (ORDER - 1))) | above)
+            self.contexts[k] = above[at]
+            if k > 1:
+                key = (owner << np.uint64(BITS * (ORDER - 1))) | (code & np.uint64((1 << BITS * (k - 1)) - 1))
+                order = np.argsort(key)
+                key = key[order]
+                at, number = _groups(key)
+                self.suffix[k] = np.empty_like(number)
+                self.suffix[k][order] = number
+                code, owner = key[at] & np.uint64((1 << BITS * (ORDER - 1)) - 1), key[at] >> np.uint64(BITS * (ORDER - 1))
+
+
+@dataclass
+class Models:
+    """The counts of all languages in broadcast pieces; `facts` has the discounts by order and the number of characters of each language."""
+
+    pieces: list
+    facts: dict
+
+    def __getitem__(self, lang: str | None) -> CharModel:
+        return CharModel(self, lang)
+
+    def found(self, asked: list[tuple]) -> list[np.ndarray]:
+        """Values for each (lang, kind, order, keys), 0 where a key is missing; a piece is loaded once for all."""
+        widths = {"grams": (), "contexts": (4,)}
+        out = [np.zeros((len(keys), *widths[kind])) for _, kind, _, keys in asked]
+        for i, piece in enumerate(self.pieces):
+            arrays = piece.value
+            for (lang, kind, k, keys), values in zip(asked, out, strict=True):
+                if (lang, kind, k) in arrays:
+                    here = np.flatnonzero(keys.view(np.int64) % len(self.pieces) == i) if len(self.pieces) > 1 else slice(None)
+                    values[here] = np.nan_to_num(arrays[lang, kind, k].find(keys[here]))
+            if len(self.pieces) > 1 and getattr(piece, "_path", None):
+                vars(piece).pop("_value", None)  # makes room for the next one
         return out
 
+    def log_p(self, asked: list[tuple[str | None, Grams]]) -> list[np.ndarray]:
+        """Log probability of each gram of the highest order, for grams in a language each."""
+        wanted = [(lang, kind, k, keys[k]) for lang, g in asked for kind, keys in (("grams", g.codes), ("contexts", g.contexts)) for k in range(1, ORDER + 1)]
+        found = self.found(wanted)
+        out = []
+        for i, (lang, g) in enumerate(asked):
+            own = found[2 * ORDER * i : 2 * ORDER * (i + 1)]
+            out.append(np.log(self._chain(lang, g, dict(enumerate(own[:ORDER], 1)), dict(enumerate(own[ORDER:], 1)))))
+        return out
+
+    def _chain(self, lang: str | None, g: Grams, n: dict, contexts: dict) -> np.ndarray:
+        """Probabilities of the highest order, by the interpolation of all orders; what was never seen has the share that its context leaves."""
+        discounts, characters = self.facts[lang]
+        below = np.where(n[1] > 0, 1 / characters, 1 / (1 << BITS))
+        for k in range(1, ORDER + 1):
+            d = np.array([0, *discounts[k]])
+            total, mass = contexts[k][:, 0], contexts[k][:, 1:] @ d[1:]
+            share = np.maximum(total, 1)
+            p = (n[k] - d[np.minimum(n[k], 3).astype(int)]) / share[g.context[k]] + np.where(total > 0, mass / share, 1.0)[g.context[k]] * (below if k == 1 else below[g.suffix[k]])
+            below = p
+        return below
 
-def _held(table: DataFrame, column: str, most: int) -> DataFrame:
-    """Rows with the largest values of a count, at most so many: the least count is doubled until they fit."""
-    least = 1
-    while table.where(F.col(column) >= least).count() > most:
-        least *= 2
-    return table.where(F.col(column) >= least)
 
+@dataclass
+class CharModel:
+    """The model of one language."""
 
-def model_arrays(counts: DataFrame, max_grams: int = MAX_GRAMS) -> dict:
-    """CharModel by language. What comes to the driver is held to max_grams grams and contexts of each order by leaving out rare ones."""
-    probabilities, weights = kneser_ney(counts)
-    sent = [("grams", k, "gram", "p", _held(t, "n", max_grams)) for k, t in enumerate(probabilities)]
-    sent += [("weights", k, "context", "weight", _held(t, "total", max_grams)) for k, t in enumerate(weights)]
-    parts: dict = {}
-    for kind, k, key, value, table in sent:
-        got = table.select("lang", F.col(key).alias("key"), F.log(value).cast("float").alias("value")).toArrow()
-        for lang in got.column("lang").unique().to_pylist():
-            own = got.filter(pc.is_null(got.column("lang")) if lang is None else pc.equal(got.column("lang"), lang))
-            keys, values = own.column("key").to_numpy().view(np.uint64), own.column("value").to_numpy()
-            parts.setdefault(lang, {}).setdefault(kind, {})[k] = HashArray(keys, values)
-    none = HashArray(np.zeros(0, np.uint64), np.zeros(0, np.float32))
-    return {lang: CharModel(*[[x.get(kind, {}).get(k, none) for k in range(ORDER)] for kind in ("grams", "weights")]) for lang, x in parts.items()}
+    models: Models
+    lang: str | None
+
+    def log_p(self, code: np.ndarray) -> np.ndarray:
+        """Log probability of each gram; unseen ones weigh the next lower order."""
+        codes, at = np.unique(code, return_inverse=True)
+        return self.models.log_p([(self.lang, Grams(codes, np.zeros(len(codes), np.int64), 1))])[0][at]
+
+
+def model_arrays(counts: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
+    """The models of all languages, with every gram: in pieces of about max_grams grams and contexts of each order. The driver holds one piece at a time."""
+    by_order, contexts = continuation_counts(counts)
+    pieces = max(tasks_for(t.count(), max_grams) for t in by_order.values())
+    pieces += pieces % 2 == 0  # an odd number, so that all characters of a gram count
+    facts: dict = {}
+    for k, t in by_order.items():
+        for r in _discounts(t).collect():
+            facts.setdefault(r.lang, [{}, 0])[0][k] = (r.d1, r.d2, r.d3)
+    for r in by_order[1].groupBy("lang").count().collect():
+        facts[r["lang"]][1] = r["count"]
+    sent = [("grams", k, t, ["n"]) for k, t in by_order.items()]
+    sent += [("contexts", k, cut(t) if pieces > 1 else t, ["total", "once", "twice", "more"]) for k, t in contexts.items()]
+    shared = []
+    for i in range(pieces):
+        arrays = {}
+        for kind, k, table, names in sent:
+            own = table.where(F.pmod("gram", F.lit(pieces)) == i) if pieces > 1 else table
+            got = own.select("lang", "gram", *[F.col(x).cast("double") for x in names]).toArrow()
+            for lang in got.column("lang").unique().to_pylist():
+                rows = got.filter(pc.is_null(got.column("lang")) if lang is None else pc.equal(got.column("lang"), lang))
+                values = [rows.column(x).to_numpy() for x in names]
+                arrays[lang, kind, k] = HashArray(rows.column("gram").to_numpy().view(np.uint64), values[0] if len(values) == 1 else np.column_stack(values))
+        shared.append(counts.sparkSession.sparkContext.broadcast(arrays))
+    return Models(shared, facts)
 
 
 # --- scores and verdicts -----------------------------------------------------------------------
@@ -281,11 +347,10 @@ def model_arrays(counts: DataFrame, max_grams: int = MAX_GRAMS) -> dict:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def scored(docs: DataFrame, models: dict) -> DataFrame:
+def scored(docs: DataFrame, models: Models) -> DataFrame:
     """The row of each document as a struct, with its counts and log perplexity (null without characters)."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(models)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "lang", "text")
     schema = rows.select("row").schema
     for c in COUNTS:
@@ -298,12 +363,15 @@ def scored(docs: DataFrame, models: dict) -> DataFrame:
             langs = b.column("lang").to_pylist()
             base = np.array([base_counts(t) for t in texts], np.int64).reshape(len(texts), len(COUNTS))
             perplexity = np.full(len(texts), np.nan)
+            asked, places = [], []
             for lang in set(langs):
                 own = [i for i, x in enumerate(langs) if x == lang and texts[i]]
-                if own and lang in shared.value:
-                    code, owner = grams([texts[i] for i in own])
-                    log_p = np.bincount(owner, shared.value[lang].log_p(code), len(own))
-                    perplexity[own] = -log_p / np.array([len(texts[i]) for i in own])
+                if own and lang in models.facts:
+                    asked.append((lang, Grams(*grams([texts[i] for i in own]), len(own))))
+                    places.append(own)
+            for (_, g), own, log_p in zip(asked, places, models.log_p(asked), strict=True):
+                sizes = np.array([len(texts[i]) for i in own])
+                perplexity[own] = -np.bincount(g.owner, g.times * log_p, g.texts) / sizes
             yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(base[:, i]) for i in range(len(COUNTS))), pa.array(perplexity, from_pandas=True)], names=["row", *COUNTS, "log_perplexity"])
 
     return rows.mapInArrow(score, schema)

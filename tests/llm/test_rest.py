@@ -135,6 +135,18 @@ def test_unseen_grams_back_off(spark):
     assert np.isfinite(pruned.log_p(quality.grams(["abcabc"])[0])).all()
 
 
+def test_no_gram_leaves_a_large_model(spark):
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame([(i, "".join(rng.choice(list("abcdefgh "), 200)), "de" if i == 0 else "en") for i in range(9)], "doc_id long, text string, lang string")
+    counts = quality.count_grams(docs).cache()
+    whole, pieces = quality.model_arrays(counts), quality.model_arrays(counts, max_grams=100)
+    for r in docs.collect():
+        code = quality.grams([r.text])[0]
+        assert pieces[r.lang].log_p(code) == pytest.approx(whole[r.lang].log_p(code), abs=1e-9)
+    scores = [{r.row.doc_id: r.log_perplexity for r in quality.scored(docs, m).collect()} for m in (whole, pieces)]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-9)
+
+
 def test_hash_array_finds_all():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 1 << 63, 5000, np.uint64))
