@@ -10,10 +10,16 @@ Every gram of every language is in the arrays. They are dealt by the gram into a
 order of a piece near MAX_GRAMS grams; the driver gathers and broadcasts one piece after the other. With
 several pieces a task loads them one by one for each batch, so memory stays bounded and only time grows.
 
-A language's band holds the logarithms of perplexity within SPREAD quartile ranges of its quartiles,
+The band judges a document by counts without its own (held-out): its grams leave the counts of every
+order, and a gram that no other text has leaves the continuation counts below it; discounts and the number
+of characters stay those of all texts. Copies of a document are other texts. A gram counts MOST_SURPRISE
+at most, so that a key or a name in another script does not decide, and noise all through does.
+
+A language's band holds the held-out values within SPREAD quartile ranges of its quartiles,
 over all of its documents of at least MIN_WORDS words; below it lies repetitive text, above it noise.
 A text of n characters strays further from its language the shorter it is, so its band is wider by the
-square root of 1 + EVEN_CHARS / n.
+square root of 1 + EVEN_CHARS / n. With few documents a text's own part is missed more, so the band of a
+language of m documents is wider by 1 + EVEN_DOCUMENTS / m.
 
 Defined results: a null or empty text has no words and fails the base rules; a null language is a
 language of its own; languages with fewer than MIN_DOCUMENTS such documents reject by base rules only;
@@ -38,8 +44,11 @@ ORDER = 4
 BITS = 16
 MIN_WORDS = 20
 MIN_DOCUMENTS = 50
-SPREAD = 4.0
-EVEN_CHARS = 1000
+# Chosen on the labels of sf0.1; README has the shares that are rejected.
+SPREAD = 0.9
+EVEN_CHARS = 4000
+EVEN_DOCUMENTS = 1000
+MOST_SURPRISE = 4.0
 MAX_GRAMS = 4_000_000
 #: Up to so many languages the table of their bands is broadcast (four numbers each).
 BROADCAST_LANGUAGES = 10_000
@@ -279,16 +288,31 @@ class Models:
                 vars(piece).pop("_value", None)  # makes room for the next one
         return out
 
-    def log_p(self, asked: list[tuple[str | None, Grams]]) -> list[np.ndarray]:
-        """Log probability of each gram of the highest order, for grams in a language each."""
+    def log_p(self, asked: list[tuple[str | None, Grams]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Log probability of each gram of the highest order, for grams in a language each: by all counts, and without those of the gram's own text."""
         wanted = [(lang, kind, k, keys[k]) for lang, g in asked for kind, keys in (("grams", g.codes), ("contexts", g.contexts)) for k in range(1, ORDER + 1)]
         found = self.found(wanted)
         out = []
         for i, (lang, g) in enumerate(asked):
             own = found[2 * ORDER * i : 2 * ORDER * (i + 1)]
-            out.append(np.log(self._chain(lang, g, dict(enumerate(own[:ORDER], 1)), dict(enumerate(own[ORDER:], 1)))))
+            n, contexts = dict(enumerate(own[:ORDER], 1)), dict(enumerate(own[ORDER:], 1))
+            out.append((np.log(self._chain(lang, g, n, contexts)), np.log(self._chain(lang, g, *self._without_own(g, n, contexts)))))
         return out
 
+    def _without_own(self, g: Grams, n: dict, contexts: dict) -> tuple[dict, dict]:
+        """n and contexts as they are without the text that a gram is of. A gram that only this text has takes one from the continuations of its suffix."""
+        own, left, left_contexts = g.times, {}, {}
+        for k in range(ORDER, 0, -1):
+            left[k] = np.maximum(n[k] - own, 0)
+            change = np.zeros_like(contexts[k])
+            change[:, 0] = np.bincount(g.context[k], left[k] - n[k], len(change))
+            for i, (was, now) in enumerate(((n[k] == 1, left[k] == 1), (n[k] == 2, left[k] == 2), (n[k] > 2, left[k] > 2)), 1):
+                change[:, i] = np.bincount(g.context[k], now.astype(float) - was, len(change))
+            left_contexts[k] = np.maximum(contexts[k] + change, 0)
+            if k > 1:
+                own = np.bincount(g.suffix[k], (n[k] > 0) & (left[k] == 0), len(n[k - 1]))
+        return left, left_contexts
+
     def _chain(self, lang: str | None, g: Grams, n: dict, contexts: dict) -> np.ndarray:
         """Probabilities of the highest order, by the interpolation of all orders; what was never seen has the share that its context leaves."""
         discounts, characters = self.facts[lang]
@@ -312,7 +336,7 @@ class CharModel:
     def log_p(self, code: np.ndarray) -> np.ndarray:
         """Log probability of each gram; unseen ones weigh the next lower order."""
         codes, at = np.unique(code, return_inverse=True)
-        return self.models.log_p([(self.lang, Grams(codes, np.zeros(len(codes), np.int64), 1))])[0][at]
+        return self.models.log_p([(self.lang, Grams(codes, np.zeros(len(codes), np.int64), 1))])[0][0][at]
 
 
 def model_arrays(counts: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
@@ -348,31 +372,31 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def scored(docs: DataFrame, models: Models) -> DataFrame:
-    """The row of each document as a struct, with its counts and log perplexity (null without characters)."""
+    """The row of each document as a struct, with its counts, log perplexity and held-out log perplexity (both null without characters)."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "lang", "text")
     schema = rows.select("row").schema
     for c in COUNTS:
         schema = schema.add(c, "long")
-    schema = schema.add("log_perplexity", "double")
+    schema = schema.add("log_perplexity", "double").add("log_held_out", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [x or "" for x in b.column("text").to_pylist()]
             langs = b.column("lang").to_pylist()
             base = np.array([base_counts(t) for t in texts], np.int64).reshape(len(texts), len(COUNTS))
-            perplexity = np.full(len(texts), np.nan)
+            perplexity, held_out = np.full((2, len(texts)), np.nan)
             asked, places = [], []
             for lang in set(langs):
                 own = [i for i, x in enumerate(langs) if x == lang and texts[i]]
                 if own and lang in models.facts:
                     asked.append((lang, Grams(*grams([texts[i] for i in own]), len(own))))
                     places.append(own)
-            for (_, g), own, log_p in zip(asked, places, models.log_p(asked), strict=True):
+            for (_, g), own, both in zip(asked, places, models.log_p(asked), strict=True):
                 sizes = np.array([len(texts[i]) for i in own])
-                perplexity[own] = -np.bincount(g.owner, g.times * log_p, g.texts) / sizes
-            yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(base[:, i]) for i in range(len(COUNTS))), pa.array(perplexity, from_pandas=True)], names=["row", *COUNTS, "log_perplexity"])
+                perplexity[own], held_out[own] = (-np.bincount(g.owner, g.times * log_p, g.texts) / sizes for log_p in (both[0], np.maximum(both[1], -MOST_SURPRISE)))
+            yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(base[:, i]) for i in range(len(COUNTS))), pa.array(perplexity, from_pandas=True), pa.array(held_out, from_pandas=True)], names=["row", *COUNTS, "log_perplexity", "log_held_out"])
 
     return rows.mapInArrow(score, schema)
 
@@ -382,40 +406,40 @@ def base_failed() -> Column:
 
 
 def bands(scores: DataFrame, spread: float = SPREAD) -> DataFrame:
-    """(band_lang, low, high, width) from (lang, n_words, log_perplexity) of all documents: quartiles, and how far beyond them a long text may lie. One row for each language."""
-    q = F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.75)), 10000)
+    """(band_lang, low, high, width) from (lang, n_words, log_held_out) of all documents: quartiles, and how far beyond them a long text may lie. One row for each language."""
+    q = F.percentile_approx("log_held_out", F.array(F.lit(0.25), F.lit(0.75)), 10000)
     found = scores.where(F.col("n_words") >= MIN_WORDS).groupBy(F.col("lang").alias("band_lang")).agg(q.alias("q"), F.count("*").alias("documents")).where(F.col("documents") >= MIN_DOCUMENTS)
-    width = (F.col("q")[1] - F.col("q")[0]) * F.lit(spread)
+    width = (F.col("q")[1] - F.col("q")[0]) * F.lit(spread) * (1 + F.lit(float(EVEN_DOCUMENTS)) / F.col("documents"))
     return found.select("band_lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"), width.alias("width"))
 
 
 def verdicts(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add base_failed and kept to rows with lang, counts and log_perplexity."""
+    """Add base_failed and kept to rows with lang, counts and log_held_out."""
     # a shuffle by language would put all texts of one into one task
     few = limits.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
     joined = rows.join(F.broadcast(limits) if few else limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left").withColumn("base_failed", base_failed())
     width = F.col("width") * F.sqrt(1 + F.lit(float(EVEN_CHARS)) / F.greatest(F.lit(1), F.col("word_chars")))
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("low") - width, F.col("high") + width), F.lit(True))
+    inside = F.coalesce(F.col("log_held_out").between(F.col("low") - width, F.col("high") + width), F.lit(True))
     return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("band_lang", "low", "high", "width")
 
 
 def quality_scores(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the counts, log_perplexity, base_failed, kept: one row per document."""
+    """doc_id, lang, the counts, log_perplexity, log_held_out, base_failed, kept: one row per document."""
     models = model_arrays(count_grams(docs))
-    scores = cut(scored(docs.select("doc_id", "lang", "text"), models).select("row.doc_id", "row.lang", *COUNTS, "log_perplexity"))
+    scores = cut(scored(docs.select("doc_id", "lang", "text"), models).select("row.doc_id", "row.lang", *COUNTS, "log_perplexity", "log_held_out"))
     return verdicts(scores, cut(bands(scores)))
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with their own columns."""
     models = model_arrays(count_grams(docs))
-    limits = cut(bands(scored(docs.select("lang", "text"), models).select("row.lang", "n_words", "log_perplexity")))
+    limits = cut(bands(scored(docs.select("lang", "text"), models).select("row.lang", "n_words", "log_held_out")))
     rows = scored(docs, models)
     return verdicts(rows.withColumn("lang", F.col("row.lang")), limits).where("kept").select("row.*")
 
 
 def op8_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_scores(documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept", F.exp("log_perplexity").alias("perplexity"))
+    return quality_scores(documents(spark, sf_dir)).select("doc_id", *COUNTS, "base_failed", "kept", F.exp("log_perplexity").alias("perplexity"), F.exp("log_held_out").alias("held_out_perplexity"))
 
 
 QUERIES = {"op8_quality_perplexity": op8_quality_perplexity}

@@ -126,6 +126,56 @@ def test_perplexity_equals_brute_force(spark, sf_dir):
             assert got[r.doc_id] == pytest.approx(model(r.text), abs=2e-4)
 
 
+def brute_held_out(texts, one, order=4):
+    """Mean surprise of texts[one] by the counts of the other texts, with the discounts and the characters of all."""
+    from collections import Counter
+
+    def counted(texts):
+        pad = chr(quality.START) * (order - 1)
+        counts = {order: Counter((pad + t)[i : i + order] for t in texts for i in range(len(t)))}
+        for k in range(order - 1, 0, -1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        return counts
+
+    whole, counts = counted(texts), counted(texts[:one] + texts[one + 1 :])
+    discounts = {}
+    for k in whole:
+        n = [sum(v == i for v in whole[k].values()) for i in range(5)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0
+        ds = [i - (i + 1) * y * n[i + 1] / n[i] if n[1] and n[i] else -1 for i in (1, 2, 3)]
+        discounts[k] = [0] + [d if 0 < d < i else i / 2 for i, d in enumerate(ds, 1)]
+
+    def p(g):
+        if not g:
+            return 0
+        k, after = len(g), {x: n for x, n in counts[len(g)].items() if x[:-1] == g[:-1]}
+        below = p(g[1:]) if k > 1 else 1 / len(whole[1]) if g in counts[1] else 1 / (1 << quality.BITS)
+        if not after:
+            return below
+        n, d, total = after.get(g, 0), discounts[k], sum(after.values())
+        return (n - d[min(n, 3)]) / total + sum(d[min(x, 3)] for x in after.values()) / total * below
+
+    text = texts[one]
+    padded = chr(quality.START) * (order - 1) + text
+    return sum(min(quality.MOST_SURPRISE, -np.log(p(padded[i : i + order]))) for i in range(len(text))) / len(text)
+
+
+def test_held_out_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcd ") + ([str(i)] if i < 4 else []), int(rng.integers(3, 60)))) for i in range(12)] + ["abab abab", "abab abab", "zzz"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.log_held_out for r in quality.quality_scores(docs).collect()}
+    for i in range(len(texts)):
+        assert got[i] == pytest.approx(brute_held_out(texts, i), abs=1e-6)
+
+
+def test_band_rejects_labelled_junk(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    junk = quality.quality_scores(docs).join(labels, "doc_id").where("quality = 0 AND NOT base_failed").select("kept").collect()
+    assert sum(not r.kept for r in junk) >= 0.25 * len(junk) > 0
+
+
 def test_unseen_grams_back_off(spark):
     docs = spark.createDataFrame([(1, "abcabcabc abd", "en")], "doc_id long, text string, lang string")
     model = quality.model_arrays(quality.count_grams(docs))["en"]
