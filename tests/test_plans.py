@@ -196,3 +196,17 @@ def test_guides_peptides_and_ligands(spark):
     drugs = spark.createDataFrame([("g", "x", [0b0110]), ("g", "w", [0b0110]), ("g", "y", [0b1])], "gene_id string, name string, fingerprint array<long>")
     near = {r.id: (r.tanimoto_to_known, r.nearest_known_drug) for r in A.nearest_known_drug(compounds, drugs).collect()}
     assert near == {"c": (0.6667, "w"), "d": (None, None)}
+
+
+def test_supermatrix_query_takes_all_parts(spark, tmp_path):
+    from helixframe.plans import domain
+
+    parts = {k: "x" * (k % 7 + 1) for k in range(1, 130) if k % 11 and k not in (80, 81, 82)}
+    spark.createDataFrame(list(parts.items()), "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    groups = {}
+    for k, name in parts.items():
+        groups.setdefault(k // 4, {})[k % 4] = name
+    groups = {g: have for g, have in groups.items() if len(have) >= 2}
+    # groups join in the order of their number
+    want = {str(s): "".join(groups[g].get(s, "-" * max(map(len, groups[g].values()))) for g in sorted(groups)) for s in range(4)}
+    assert {r.species: r.sequence for r in domain.supermatrix(spark, str(tmp_path)).collect()} == want
