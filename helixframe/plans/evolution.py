@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +74,31 @@ def shuffled_labels(spark: SparkSession, lineages: dict[str, str], iterations: i
 def permutation_p(best: DataFrame, labels: DataFrame) -> DataFrame:
     """DS16: share of dealings in which a gene's best window has at least its own number of lineages.
 
-    Labels are dealt rather than windows, so the rows are those of the best windows times iterations; the
-    labels (species times iterations, a bounded table) are broadcast.
+    Labels are dealt rather than windows; a table of species by iterations goes to the tasks as numbers, and a
+    gene's dealings are counted in one array, so no row is made for each gene and iteration.
     """
-    dealings = labels.agg(F.countDistinct("iteration").alias("dealings"))
-    drawn = best.select("gene", "n", F.explode("species").alias("species")).join(F.broadcast(labels), "species")
-    counts = drawn.groupBy("gene", "n", "iteration").agg(F.size(F.collect_set(F.when(F.col("lineage") != "Primates", F.col("lineage")))).alias("m"))
-    hits = counts.groupBy("gene").agg(F.count_if(F.col("m") >= F.col("n")).alias("hits"))
-    joined = best.select("gene", "n").join(hits, "gene", "left").crossJoin(F.broadcast(dealings))
-    return joined.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.coalesce("hits", F.lit(0)) / F.col("dealings"))).alias("p"))
+    own = labels.groupBy("species").agg(F.collect_list("iteration").alias("iterations"), F.collect_list("lineage").alias("lineages")).toArrow().to_pylist()
+    columns = {i: k for k, i in enumerate(sorted({i for r in own for i in r["iterations"]}))}
+    codes = {name: k for k, name in enumerate(sorted({x for r in own for x in r["lineages"]} - {"Primates"}), 1)}
+    dealt = np.zeros((len(own), len(columns)), np.int32)  # 0 counts as no lineage
+    for k, r in enumerate(own):
+        dealt[k, [columns[i] for i in r["iterations"]]] = [codes.get(x, 0) for x in r["lineages"]]
+    shared = best.sparkSession.sparkContext.broadcast((dealt, {r["species"]: k for k, r in enumerate(own)}))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt, places = shared.value
+        for b in batches:
+            hits = []
+            for n, species in zip(b.column("n").to_pylist(), b.column("species").to_pylist(), strict=True):
+                at = [places[x] for x in set(species or []) if x in places]
+                found = np.sort(dealt[at], axis=0)
+                new = (found > 0) & (np.concatenate([np.full((1, dealt.shape[1]), True), found[1:] != found[:-1]]) if at else found > 0)
+                hits.append(int((new.sum(axis=0) >= n).sum()))
+            yield pa.RecordBatch.from_arrays([b.column("gene"), b.column("n"), pa.array(hits, pa.int64())], names=["gene", "n", "hits"])
+
+    rows = best.select("gene", "n", "species")
+    counted = rows.mapInArrow(count, rows.select("gene", "n").schema.add("hits", "long"))
+    return counted.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("hits") / F.lit(max(1, len(columns))))).alias("p"))
 
 
 # --- parsimony ---------------------------------------------------------------------------------

@@ -59,3 +59,21 @@ def test_proxy_and_branches(spark):
     assert r.omega == pytest.approx(0.125 / 0.15) and r.p == pytest.approx(1 - 0.125 / 0.3)
     m = spark.createDataFrame([("o", {"a": 2.0, "b": 0.5, "c": 3.0})], "og string, omegas map<string,double>")
     assert E.meme_branches(m, F.array(F.lit("a"), F.lit("b"))).first().branches == ["a"]
+
+
+def test_permutation_query_deals_a_thousand(spark, sf_dir):
+    import hashlib
+
+    from helixframe.plans import biology
+
+    motifs = biology._motifs(spark, sf_dir)
+    lineages = dict(sorted({(r.species, r.lineage) for r in motifs.select("species", "lineage").distinct().collect()}))
+    best = E.convergence(motifs, E.distance_map(biology._FAR)).select("gene", "n", "species").collect()
+    labels = []
+    for i in range(1000):
+        order = sorted(lineages, key=lambda s: hashlib.md5(f"{i}{s}".encode()).hexdigest())
+        labels.append(dict(zip(order, lineages.values(), strict=True)))
+    want = {r.gene: 1.0 if r.n < 1 else round(sum(len({x[s] for s in r.species}) >= r.n for x in labels) / 1000, 4) for r in best}
+    got = {r.gene: r.p for r in biology.permutation_p(spark, sf_dir).collect()}
+    assert got == want
+    assert any(round(p * 1000) % 50 for p in got.values())
