@@ -28,25 +28,34 @@ def test_equals_sql(spark, sf_dir, name):
 
 
 def chunks(text):
-    units = []
+    """(chunk, first line, last line, several lines) of a text."""
     lines = text.split("\n")
+    blocks, open_ = [], False
     for i, line in enumerate(lines):
-        last = i == len(lines) - 1
-        full = line if last else line + "\n"
-        parts = re.split(r"(?<=[.!?] )", full) if len(line) >= line_dedup.LONG else [full]
-        flag = not last and (len(line) >= line_dedup.LONG or len(lines[i + 1]) >= line_dedup.LONG)
-        units += [(p, flag and p.endswith("\n")) for p in parts if p]
-    out, start, before = [], 0, 0
-    for i, (unit, flag) in enumerate(units):
-        h = int(hashlib.md5(unit.encode()).hexdigest()[:8], 16)
-        if i == len(units) - 1 or flag or (before * 31 + h) % line_dedup.EVERY == 0:
-            text = "".join(u for u, _ in units[start : i + 1])
-            out.append((text, i + 1 - start >= 2 or len(text) >= line_dedup.LONG))
-            start = i + 1
-        before = h
+        if len(line) >= line_dedup.LONG:
+            blocks.append([(p, i, j == 0) for j, p in enumerate(re.split(r"(?<=[.!?]) (?=.)", line))])
+            open_ = False
+        else:
+            if not open_:
+                blocks.append([])
+            blocks[-1].append((line, i, True))
+            open_ = True
+    out = []
+    for units in blocks:
+        h = [int(hashlib.md5(u.encode()).hexdigest()[:7], 16) for u, _, _ in units]
+        r = [sum(h[i - back] * line_dedup.BASE**back for back in range(line_dedup.WINDOW) if back <= i) % line_dedup.PRIME for i in range(len(h))]
+        ends = [i + 1 for i in range(1, len(r) - 2) if r[i - 1] > r[i] < r[i + 1]] + [len(r)]
+        for start, end in zip([0, *ends], ends, strict=False):
+            own = units[start:end]
+            piece = own[0][0] + "".join(("\n" if new else " ") + u for u, _, new in own[1:])
+            out.append((piece, own[0][1], own[-1][1], len(piece) >= line_dedup.LONG or len(own) >= 2 and len(piece) >= line_dedup.LEAST))
     return out
 
 
+def joined(kept):
+    return "".join(("" if i == 0 else "\n" if c[1] > kept[i - 1][2] else " ") + c[0] for i, c in enumerate(kept))
+
+
 def brute_dedup(rows):
     """Texts after dedup, for rows with distinct ids in ascending order."""
     seen, out = set(), {}
@@ -55,12 +64,12 @@ def brute_dedup(rows):
             out[d] = None
             continue
         kept = []
-        for chunk, several in chunks(text):
-            if not (several and chunk in seen):
-                kept.append(chunk)
-            if several:
-                seen.add(chunk)
-        out[d] = "".join(kept)
+        for c in chunks(text):
+            if not (c[3] and c[0] in seen):
+                kept.append(c)
+            if c[3]:
+                seen.add(c[0])
+        out[d] = joined(kept)
     return out
 
 
@@ -79,11 +88,54 @@ def test_dedup_equals_brute_force(spark):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).select("row.doc_id", "text").collect()}
     assert got == brute_dedup(rows)
     assert sum(passage in (t or "") for t in got.values()) == 1
+    assert line_dedup.dedup_lines(docs).where("n_removed > 0").count() > 25
 
 
 def test_chunks_join_to_the_text(spark, edge):
-    out = edge.select("text", line_dedup.chunks_of(F.col("text")).alias("c")).collect()
-    assert all("".join(c.chunk for c in r.c) == (r.text or "") for r in out)
+    odd = [("A.  B. \n\n" + "Long one here. And more of it. " * 9 + "\n\nx",), ("\n",), ("a\n" * 3000,), ("So it is. " * 3000,)]
+    texts = edge.select("text").union(edge.sparkSession.createDataFrame(odd, "text string"))
+    chunk = line_dedup.chunks_of(F.col("text"))
+    for r in texts.select("text", chunk.alias("c"), line_dedup.let(chunk, line_dedup.joined_text).alias("again")).collect():
+        assert r.again == (r.text or "")
+        assert [(c.chunk, c.from_line, c.to_line, c.several_lines) for c in r.c] == chunks(r.text or "")
+
+
+def planted(rng, words):
+    """Texts with 40 passages of over 50 words, five times each: (own line, short lines, inside a paragraph), with where each one is."""
+    sentence = lambda: " ".join(rng.choice(words, int(rng.integers(6, 16)))).capitalize() + "."
+    paragraph = lambda n: " ".join(sentence() for _ in range(n))
+    rows, places = [], []
+    for k in range(40):
+        parts = []
+        while sum(len(x.split()) for x in parts) < 51 + k:
+            parts.append(sentence())
+        for copy in range(5):
+            way = ("own line", "short lines", "inside")[k % 3]
+            around = [paragraph(int(rng.integers(1, 8))) for _ in range(int(rng.integers(1, 5)))]
+            at = int(rng.integers(0, len(around) + 1))
+            if way == "inside":
+                around.insert(at, f"{paragraph(3)} {' '.join(parts)} {paragraph(3)}")
+            else:
+                around.insert(at, (" " if way == "own line" else "\n").join(parts))
+            rows.append((len(rows), "\n".join(around)))
+            places.append((way, copy, parts))
+    return rows, places
+
+
+def test_share_of_planted_passages_that_goes(spark):
+    rng = np.random.default_rng(12)
+    rows, places = planted(rng, ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(3000)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).select("row.doc_id", "text").collect()}
+    shares = {}
+    for (d, text), (way, copy, parts) in zip(rows, places, strict=True):
+        own = [x for x in re.split(r"\n|(?<=[.!?]) ", text) if x not in parts]
+        assert all(x in got[d] for x in own)  # nothing else goes
+        if copy:
+            shares.setdefault(way, []).append(sum(len(x.split()) for x in parts if x not in got[d]) / sum(len(x.split()) for x in parts))
+        else:
+            assert got[d] == text
+    assert min(shares["own line"]) == 1.0 and np.mean(shares["short lines"]) > 0.6 and np.mean(shares["inside"]) > 0.45
 
 
 def test_dedup_edges(edge, empty, edge_rows):
