@@ -170,6 +170,37 @@ def test_deviation_is_below_one_block(spark):
     assert len(got) == len(rows)
 
 
+def earliest_deadlines(quotas):
+    """Sources by slot of one period: of the released blocks the one due first, ties by place."""
+    p, done, out = sum(quotas), [0] * len(quotas), []
+    for t in range(p):
+        ready = [(-(-(done[i] + 1) * p // q), i) for i, q in enumerate(quotas) if done[i] * p // q <= t]
+        out.append(min(ready)[1])
+        done[out[-1]] += 1
+    return out
+
+
+def test_schedule_over_classes_equals_that_over_sources(spark):
+    rng = np.random.default_rng(2)
+    for sizes in ([1] * 400 + [300, 20, 20, 7], rng.integers(1, 6, 120).tolist(), [5], [3, 3, 3]):
+        rows = [(f"s{i}", 1, int(q)) for i, q in enumerate(sizes)]
+        got = mixing.source_table(spark.createDataFrame(rows, "source string, n long, quota long")).collect()
+        part = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16) % mixing.PARTS
+        order = sorted(rows, key=lambda r: (r[2], part(r[0]), r[0]))
+        want = earliest_deadlines([q for _, _, q in order])
+        assert {r.source: r.slots for r in got} == {s: [t for t, i in enumerate(want) if i == k] for k, (s, _, _) in enumerate(order)}
+        assert {r.period for r in got} == {len(want)}
+
+
+def test_many_sources(spark, monkeypatch):
+    """Twenty thousand sources, one with a third of the rows: joined in parts, every row placed once."""
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 20_000)).alias("source"))
+    got = mixing.mixed(docs)
+    places = got.groupBy("slot", "place").count()
+    assert got.count() == 60_000 and places.where("count > 1").count() == 0
+    assert got.where("slot < release OR slot >= deadline").count() == 0
+
+
 def test_ranks_are_whole_over_ranges(spark, monkeypatch):
     monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 50)
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("source"))
