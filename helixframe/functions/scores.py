@@ -174,7 +174,12 @@ def functional_evidence(scores: dict[str, Column], weights: dict[str, float]) ->
 def gtex_score(tpm: Column) -> Column:
     """SC8: of an array of values."""
     mean = F.aggregate(tpm, F.lit(0.0), lambda a, x: a + x) / F.size(tpm)
-    return F.when(F.size(tpm) > 0, capped(F.log2(1 + mean) / 10))
+    return F.when(F.size(tpm) > 0, gtex_level(mean))
+
+
+def gtex_level(mean: Column) -> Column:
+    """SC8: of a mean."""
+    return capped(F.log2(1 + mean) / 10)
 
 
 def essentiality(chronos: Column) -> Column:
@@ -255,9 +260,8 @@ def tractability(items: Column) -> Column:
 
 
 def experiment_recommendations(context: dict[str, str], pocket: Column, drugs: Column, aav: Column) -> Column:
-    """DS37: three first experiments. context has knockdown, repurposing (with {drug}), in_vivo and organoid."""
+    """DS37: three first experiments. context has knockdown, repurposing (with {drug}), in_vivo, organoid, screening and assay."""
     before, _, after = context["repurposing"].partition("{drug}")
     repurposing = F.concat(F.lit(before), F.get(drugs, 0), F.lit(after))
-    assay = F.when(pocket > 0.5, "Fragment-based or virtual screening against the identified druggable pocket").when(F.size(drugs) > 0, repurposing)
-    assay = assay.otherwise("Protein purification + differential scanning fluorimetry (DSF) for binding assay")
+    assay = F.when(pocket > 0.5, context["screening"]).when(F.size(drugs) > 0, repurposing).otherwise(context["assay"])
     return F.array(F.lit(context["knockdown"]), assay, F.when(aav, context["in_vivo"]).otherwise(context["organoid"]))

@@ -83,14 +83,14 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def kmer_identity(a: Column, b: Column, k: int = 3, first: int = 300) -> Column:
-    """Percent Jaccard similarity of k-mers of the first residues without gaps; texts under k letters compare by position."""
-    clean = lambda s: F.substring(F.regexp_replace(s, "-", ""), 1, first)
+    """Percent Jaccard similarity of k-mers of the first residues, gaps included; texts under k letters compare by position, and an empty one is 0."""
+    clean = lambda s: F.substring(s, 1, first)
 
     def of(x: Column, y: Column) -> Column:
         n = F.greatest(F.length(x), F.length(y))
         same = _count(_pairs(x, y), lambda p: p["a"] == p["b"])
         alike = let(shingles(x, k), lambda s: let(shingles(y, k), lambda t: jaccard(s, t)))
-        return F.when(n == 0, 0.0).when((F.length(x) < k) | (F.length(y) < k), 100.0 * same / n).otherwise(100.0 * alike)
+        return F.when((F.length(x) == 0) | (F.length(y) == 0), 0.0).when((F.length(x) < k) | (F.length(y) < k), 100.0 * same / n).otherwise(100.0 * alike)
 
     return let(clean(a), lambda x: let(clean(b), lambda y: of(x, y)))
 
@@ -153,6 +153,7 @@ def similar_amino_acids(a: Column, b: Column) -> Column:
     return F.coalesce((a == b) | (amino_class(a) == amino_class(b)), F.lit(False))
 
 
+# Fixed value: a guide's twenty bases before its motif.
 PAM = "(?=([ACGT]{20}GG))"
 
 

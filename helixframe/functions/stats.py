@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from helixframe.functions.sequence import let
+from helixframe.operators.relational import settled
 
 # Coefficients of the Abramowitz-Stegun approximation 7.1.26 of erf, |error| <= 1.5e-7.
 ERF_P = 0.3275911
@@ -34,10 +35,42 @@ def chi_square_1_survival(statistic: Column) -> Column:
     return F.when(statistic <= 0, 1.0).otherwise(1.0 - erf(F.sqrt(statistic / 2.0)))
 
 
-def average_rank(order: Column, by: list[Column] | None = None) -> Column:
-    """Rank in the given order, ties sharing the mean of their places."""
-    part = Window.partitionBy(*(by or []))
-    return F.rank().over(part.orderBy(order)) + (F.count("*").over(part.orderBy(order).rangeBetween(0, 0)) - 1) / 2.0
+#: Ranges of values that a ranking over a whole table is dealt to.
+RANGES = 64
+
+
+def _bounds(value: Column) -> Column:
+    return F.percentile_approx(value, F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), 1000)
+
+
+def _range_of(value: Column, bounds: str) -> Column:
+    """Equal values are in one range; nulls are in the first."""
+    return F.size(F.filter(bounds, lambda b: b < value))
+
+
+def _ranges(dealt: DataFrame, part: str) -> DataFrame:
+    """Each range with the rows before it and of all, RANGES rows at most."""
+    few = Window.orderBy(part)
+    before = F.coalesce(F.sum("rank_size").over(few.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.groupBy(part).agg(F.count("*").alias("rank_size")).withColumns({"rank_before": before, "rank_total": F.sum("rank_size").over(Window.partitionBy())}).drop("rank_size")
+
+
+def average_ranks(df: DataFrame, orders: dict[str, tuple[Column, bool]], total: str | None = None) -> DataFrame:
+    """Add ranks over the whole table, ties sharing the mean of their places, and if named the number of rows. orders: by name, a value and whether it ranks in descending order.
+
+    Rows are dealt to ranges of each value, and only the ranges' sizes meet in one task.
+    """
+    df = settled(df)
+    values = {out: (-v if down else v).cast("double") for out, (v, down) in orders.items()}
+    bounds = df.agg(*[_bounds(v).alias(f"{out}_bounds") for out, v in values.items()])
+    dealt = df.crossJoin(F.broadcast(bounds)).withColumns({f"{out}_range": _range_of(v, f"{out}_bounds") for out, v in values.items()}).drop(*[f"{out}_bounds" for out in values])
+    ranked = dealt
+    for k, (out, value) in enumerate(values.items()):
+        per = Window.partitionBy(f"{out}_range").orderBy(value)
+        own = F.rank().over(per) + (F.count("*").over(per.rangeBetween(0, 0)) - 1) / 2.0
+        ranked = ranked.withColumn(out, own).join(F.broadcast(_ranges(dealt, f"{out}_range")), f"{out}_range").withColumn(out, F.col("rank_before") + F.col(out))
+        ranked = (ranked.withColumn(total, F.col("rank_total")) if total and not k else ranked).drop(f"{out}_range", "rank_before", "rank_total")
+    return ranked
 
 
 def rank_product(ranks: list[Column], n: Column) -> Column:
@@ -54,15 +87,22 @@ def rank_product_p(product: Column, layers: Column | int) -> Column:
 def benjamini_hochberg(df: DataFrame, p: str, out: str, by: list[str] | None = None, tie: str | None = None) -> DataFrame:
     """Add q values of p within groups: p * m / rank, running minimum from the largest p, at most 1. Null p stays null.
 
-    Without `by` one window covers all rows, so it is for tables of genes, pathways or sites.
+    Without `by` rows are dealt to ranges of p, and only the ranges' sizes and least values meet in one task.
     """
-    keys = [F.col(c) for c in by or []]
-    part = Window.partitionBy(*keys, F.col(p).isNull())
-    order = [F.col(p).asc(), *([F.col(tie).asc()] if tie else [])]
-    down = [F.col(p).desc(), *([F.col(tie).desc()] if tie else [])]
-    raw = F.col(p) * F.count("*").over(part) / F.row_number().over(part.orderBy(*order))
-    running = Window.partitionBy(*keys, F.col(p).isNull()).orderBy(*down).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, raw).withColumn(out, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min(out).over(running))))
+    have, lack = df.where(F.col(p).isNotNull()), df.where(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double"))
+    up, down = [F.col(p).asc(), *([F.col(tie).asc()] if tie else [])], [F.col(p).desc(), *([F.col(tie).desc()] if tie else [])]
+    if by:
+        raw = F.col(p) * F.count("*").over(Window.partitionBy(*by)) / F.row_number().over(Window.partitionBy(*by).orderBy(*up))
+        least = F.min(out).over(Window.partitionBy(*by).orderBy(*down).rowsBetween(Window.unboundedPreceding, 0))
+        return have.withColumn(out, raw).withColumn(out, F.least(F.lit(1.0), least)).unionByName(lack)
+    have = settled(have)
+    dealt = have.crossJoin(F.broadcast(have.agg(_bounds(F.col(p)).alias("rank_bounds")))).withColumn("rank_range", _range_of(F.col(p), "rank_bounds")).drop("rank_bounds")
+    numbered = dealt.withColumn("rank_in", F.row_number().over(Window.partitionBy("rank_range").orderBy(*up))).join(F.broadcast(_ranges(dealt, "rank_range")), "rank_range")
+    raw = numbered.withColumn(out, F.col(p) * F.col("rank_total") / (F.col("rank_before") + F.col("rank_in")))
+    later = raw.groupBy("rank_range").agg(F.min(out).alias("rank_least")).select("rank_range", F.min("rank_least").over(Window.orderBy(F.desc("rank_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("rank_later"))
+    running = F.min(out).over(Window.partitionBy("rank_range").orderBy(*down).rowsBetween(Window.unboundedPreceding, 0))
+    done = raw.withColumn(out, running).join(F.broadcast(later), "rank_range").withColumn(out, F.least(F.lit(1.0), F.col(out), F.col("rank_later")))
+    return done.drop("rank_range", "rank_in", "rank_before", "rank_total", "rank_later").unionByName(lack)
 
 
 def min_max(value: Column, by: WindowSpec, higher_is_better: bool = True) -> Column:

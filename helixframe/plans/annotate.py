@@ -39,10 +39,10 @@ def sequence_identities(aligned: DataFrame) -> DataFrame:
 
 
 def identity_gate(proteins: DataFrame, least: int = 2, below: float = 85.0) -> DataFrame:
-    """SQ5: orthogroups (og) in which at least some species are under an identity of k-mers with human. proteins: (og, label, seq)."""
+    """SQ5: orthogroups (og) in which at least some sequences are under an identity of k-mers with human. proteins: (og, label, seq)."""
     pairs = proteins.join(human_sequence(proteins), "og").where(~F.contains(F.lower("label"), F.lit("human")))
-    close = pairs.select("og", Q.label_species(F.col("label")).alias("species"), Q.kmer_identity(F.col("seq"), F.col("human")).alias("identity"))
-    return close.groupBy("og").agg(F.countDistinct(F.when(F.col("identity") < below, F.col("species"))).alias("n")).where(F.col("n") >= least).select("og")
+    close = pairs.select("og", "label", Q.kmer_identity(F.col("seq"), F.col("human")).alias("identity"))
+    return close.groupBy("og").agg(F.countDistinct(F.when(F.col("identity") < below, F.col("label"))).alias("n")).where(F.col("n") >= least).select("og")
 
 
 def scan_motifs(aligned: DataFrame, size: int = 15, step: int = 5, least: float = 0.15, species: int = 2, max_gap: float = 0.5) -> DataFrame:
@@ -364,7 +364,7 @@ def still_to_score(groups: DataFrame, evolution: DataFrame, gene_of: DataFrame,
 
 def promoter_divergence(genes: DataFrame, species: DataFrame, pair_scores: DataFrame) -> DataFrame:
     """AN25, DS28, DS6: rows of gene and species, with each gene's lineage count and score written back. pair_scores: (gene_id, species_id, promoter_divergence) from the model."""
-    rows = genes.select("gene_id").crossJoin(F.broadcast(species.select("species_id", "lineage"))).join(pair_scores, ["gene_id", "species_id"])
+    rows = pair_scores.join(genes.select("gene_id"), "gene_id", "left_semi").join(species.select("species_id", "lineage"), "species_id").select("gene_id", "species_id", "lineage", "promoter_divergence")
     sums = rows.where("promoter_divergence > 0").groupBy("gene_id").agg(F.countDistinct(F.when(F.col("lineage") != "Primates", F.col("lineage"))).alias("lineage_count"), F.max("promoter_divergence").alias("top"))
     score = F.round(S.capped(F.col("top") + 0.1 * F.col("lineage_count")), 4)
     joined = rows.join(sums, "gene_id", "left")

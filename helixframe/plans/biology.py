@@ -7,14 +7,20 @@ from pyspark.sql.window import Window
 
 from helixframe.functions import scores as S
 from helixframe.functions import sequence as Q
-from helixframe.functions.stats import average_rank, benjamini_hochberg, rank_product, rank_product_p
+from helixframe.functions.stats import average_ranks, benjamini_hochberg, rank_product, rank_product_p
 from helixframe.plans import evolution as E
+from helixframe.plans.scoring import PHASE2_WEIGHTS
 from helixframe.plans.relational import _BH, _GENES, _PHI, _genes, table, tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def rounded(sql: str, digits: int) -> str:
+    """SQL that rounds a double as Spark's round does: half up from its shortest decimal notation."""
+    return f"round(({sql})::DOUBLE::VARCHAR::DECIMAL(38, 20), {digits})::DOUBLE"
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -41,10 +47,10 @@ tiers AS (SELECT a.gene, q, CASE WHEN (g.p < 0.4)::INT + (g.n > 20)::INT + (g.w
 def _tiers(spark, sf_dir):
     """DS11 over parts: three ranked layers, rank product, p, q, tier by active layers."""
     genes = _genes(spark, sf_dir)
-    n = F.count("*").over(Window.partitionBy())
-    product = rank_product([average_rank(F.col("p").asc()), average_rank(F.col("n").desc()), average_rank(F.col("w").desc())], n)
+    ranked = average_ranks(genes, {"rank_1": (F.col("p"), False), "rank_2": (F.col("n"), True), "rank_3": (F.col("w"), True)}, total="genes")
+    product = rank_product([F.col(f"rank_{k}") for k in (1, 2, 3)], F.col("genes"))
     active = (F.col("p") < 0.4).cast("int") + (F.col("n") > 20).cast("int") + (F.col("w") > 0.6).cast("int")
-    scored = genes.select("gene", active.alias("layers"), product.alias("rp")).withColumn("rank_p", F.round(rank_product_p(F.col("rp"), 3), 9))
+    scored = ranked.select("gene", active.alias("layers"), product.alias("rp")).withColumn("rank_p", F.round(rank_product_p(F.col("rp"), 3), 9))
     q = benjamini_hochberg(scored, "rank_p", "q", tie="gene").withColumn("q", F.round("q", 6))
     return q.select("gene", "q", S.rank_product_tier(F.col("q"), F.col("layers")).alias("tier"))
 
@@ -64,34 +70,33 @@ def candidates_topk(spark, sf_dir):
     return top.join(part, F.col("p_partkey") == F.col("gene")).select("gene", F.col("p_name").alias("symbol"), "tier", "composite")
 
 
-_INPUTS = """
+_INPUTS = f"""
 inputs AS (
-  SELECT l_partkey AS gene, count(DISTINCT l_suppkey) AS species, avg(l_quantity) / 101.37 AS p, avg(l_tax) * 20.137 AS omega, avg(l_discount) * 10.137 AS association,
-    count(*) % 5 AS phase, count(*) % 4 AS pockets, round(max(l_tax) * 10, 6) AS pocket, round(min(l_quantity) / 50, 6) AS depmap, count(*) AS tissues, count(*) % 2 = 0 AS hub
+  SELECT l_partkey AS gene, count(DISTINCT l_suppkey) AS species, {rounded("avg(l_quantity) / 100", 6)} AS p, {rounded("avg(l_tax) * 20", 6)} AS omega, {rounded("avg(l_discount) * 10", 6)} AS association,
+    count(*) % 5 AS phase, count(*) % 4 AS pockets, {rounded("max(l_tax) * 10", 6)} AS pocket, {rounded("min(l_quantity) / 50", 6)} AS depmap, count(*) AS tissues, count(*) % 2 = 0 AS hub
   FROM lineitem GROUP BY 1)
 """
 
 
 def _inputs(spark, sf_dir):
-    n = F.count("*")
+    n, to6 = F.count("*"), lambda x: F.round(x, 6)
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("gene")).agg(
-        F.countDistinct("l_suppkey").alias("species"), (F.avg("l_quantity") / 101.37).alias("p"), (F.avg("l_tax") * 20.137).alias("omega"), (F.avg("l_discount") * 10.137).alias("association"),
-        (n % 5).alias("phase"), (n % 4).alias("pockets"), F.round(F.max("l_tax") * 10, 6).alias("pocket"), F.round(F.min("l_quantity") / 50, 6).alias("depmap"), n.alias("tissues"), (n % 2 == 0).alias("hub"),
+        F.countDistinct("l_suppkey").alias("species"), to6(F.avg("l_quantity") / 100).alias("p"), to6(F.avg("l_tax") * 20).alias("omega"), to6(F.avg("l_discount") * 10).alias("association"),
+        (n % 5).alias("phase"), (n % 4).alias("pockets"), to6(F.max("l_tax") * 10).alias("pocket"), to6(F.min("l_quantity") / 50).alias("depmap"), n.alias("tissues"), (n % 2 == 0).alias("hub"),
     )
 
 
+_W = PHASE2_WEIGHTS
 _SUBSCORES = f"""
 {_INPUTS}, subs AS (
-  SELECT *, round(1 / (1 + exp(-1.5 * (species / 5.0 - 2))), 4) AS convergence,
-    CASE WHEN p >= 1 OR omega <= 1 THEN 0.0 ELSE 0.70 * round(least(-log10(greatest(p, 1e-10)) / 10, 1), 4) + 0.30 * round(least(omega / 5, 1), 4) END AS selection,
-    round(least(1, 0.30 * least(association, 1) + 0.20 * least(-log10(p) / 15, 1) + CASE WHEN phase > 0 THEN least(phase / 4.0, 1) * 0.2 ELSE 0 END), 4) AS disease,
-    round(least(1, CASE WHEN pockets > 0 THEN 0.10 ELSE 0 END + 0.30 * least(pocket, 1) + CASE WHEN hub THEN 0.10 ELSE 0 END), 4) AS druggability,
-    round(greatest(0::DOUBLE, 1::DOUBLE - CASE WHEN hub THEN 0.1 ELSE 0 END - CASE WHEN depmap > 0.7 THEN 0.3 WHEN depmap > 0.5 THEN 0.15 WHEN depmap > 0.3 THEN 0.05 ELSE 0 END
-      - CASE WHEN tissues > 40 THEN 0.2 WHEN tissues > 25 THEN 0.1 WHEN tissues > 15 THEN 0.05 ELSE 0 END), 4) AS safety,
-    round(least(1, 0.3 * CASE WHEN association > 0.3 THEN least(association, 1) ELSE 0 END), 4) AS genetics
+  SELECT *, {rounded("1 / (1 + exp(-1.5 * (species / 5.0 - 2)))", 4)} AS convergence,
+    CASE WHEN p >= 1 OR omega <= 1 THEN 0.0 ELSE 0.70 * {rounded("least(-log10(greatest(p, 1e-10)) / 10, 1)", 4)} + 0.30 * {rounded("least(omega / 5, 1)", 4)} END::DOUBLE AS selection,
+    {rounded("least(1, 0.30 * least(association, 1) + 0.20 * least(-log10(p) / 15, 1) + CASE WHEN phase > 0 THEN least(phase / 4.0, 1) * 0.2 ELSE 0 END)", 4)} AS disease,
+    {rounded("least(1, CASE WHEN pockets > 0 THEN 0.10 ELSE 0 END::DOUBLE + 0.30 * least(pocket, 1) + CASE WHEN hub THEN 0.10 ELSE 0 END)", 4)} AS druggability,
+    {rounded("greatest(0::DOUBLE, 1::DOUBLE - (CASE WHEN hub THEN 0.1 ELSE 0 END::DOUBLE + CASE WHEN depmap > 0.7 THEN 0.3 WHEN depmap > 0.5 THEN 0.15 WHEN depmap > 0.3 THEN 0.05 ELSE 0 END::DOUBLE + CASE WHEN tissues > 40 THEN 0.2 WHEN tissues > 25 THEN 0.1 WHEN tissues > 15 THEN 0.05 ELSE 0 END::DOUBLE))", 4)} AS safety,
+    {rounded("least(1, 0.3 * CASE WHEN association > 0.3 THEN least(association, 1) ELSE 0 END)", 4)} AS genetics
   FROM inputs), comps AS (
-  SELECT *, round((0.3137 * convergence + 0.2511 * selection + CASE WHEN disease > 0 THEN 0.1973 * disease ELSE 0 END + CASE WHEN druggability > 0 THEN 0.1529 * druggability ELSE 0 END + CASE WHEN safety > 0 THEN 0.0997 * safety ELSE 0 END)
-    / (0.3137 + 0.2511 + CASE WHEN disease > 0 THEN 0.1973 ELSE 0 END + CASE WHEN druggability > 0 THEN 0.1529 ELSE 0 END + CASE WHEN safety > 0 THEN 0.0997 ELSE 0 END)::DOUBLE, 4) AS raw FROM subs)
+  SELECT *, {rounded(f"({_W['convergence']}::DOUBLE * convergence + {_W['selection']}::DOUBLE * selection + CASE WHEN disease > 0 THEN {_W['disease']}::DOUBLE * disease ELSE 0 END + CASE WHEN druggability > 0 THEN {_W['druggability']}::DOUBLE * druggability ELSE 0 END) / ({_W['convergence']}::DOUBLE + {_W['selection']}::DOUBLE + CASE WHEN disease > 0 THEN {_W['disease']} ELSE 0 END::DOUBLE + CASE WHEN druggability > 0 THEN {_W['druggability']} ELSE 0 END::DOUBLE)", 4)} AS raw FROM subs)
 """
 
 
@@ -108,7 +113,7 @@ def _subscores(spark, sf_dir):
     )
 
 
-@query(f"WITH {_SUBSCORES} SELECT gene, convergence, round(selection, 7) AS selection, disease, druggability, safety, genetics FROM comps")
+@query(f"WITH {_SUBSCORES} SELECT gene, convergence, {rounded("selection", 7)} AS selection, disease, druggability, safety, genetics FROM comps")
 def sub_scores(spark, sf_dir):
     """DS1-DS5, DS9."""
     return _subscores(spark, sf_dir).withColumn("selection", F.round("selection", 7))
@@ -120,10 +125,9 @@ SELECT gene, composite, CASE WHEN composite >= 0.4 AND genetics >= 0.2 THEN 'Val
 """)
 def weighted_composite(spark, sf_dir):
     """DS8, DS9, DS12: composite over present scores, safety floor, tier."""
-    weights = {"convergence": 0.3137, "selection": 0.2511, "disease": 0.1973, "druggability": 0.1529, "safety": 0.0997, "safety_floor": 0.2}
     subs = _subscores(spark, sf_dir)
-    comp = S.composite({k: F.col(k) for k in weights if k != "safety_floor"}, weights)
-    scored = subs.withColumn("composite", F.when(F.col("safety") < 0.2, 0.0).otherwise(comp))
+    comp = S.composite({k: F.col(k) for k in ("convergence", "selection", "disease", "druggability", "safety")}, PHASE2_WEIGHTS)
+    scored = subs.withColumn("composite", F.when(F.col("safety") < PHASE2_WEIGHTS["safety_floor"], 0.0).otherwise(comp))
     genetics = F.when(F.col("genetics") >= 0.2, 0.3).otherwise(0.0)
     return scored.select("gene", "composite", S.tier(F.col("composite"), genetics, 0.55, 0.4).alias("tier"))
 
@@ -229,7 +233,7 @@ def convergence_weight(spark, sf_dir):
 
 
 @query(f"""
-WITH {_MOTIFS}, species AS (SELECT DISTINCT species, lineage FROM motifs), iters AS (SELECT unnest(generate_series(0, 19)) AS i),
+WITH {_MOTIFS}, species AS (SELECT DISTINCT species, lineage FROM motifs), iters AS (SELECT unnest(generate_series(0, 999)) AS i),
 dealt AS (SELECT i, species, row_number() OVER (PARTITION BY i ORDER BY md5(i::VARCHAR || species)) AS r FROM species, iters),
 ordered AS (SELECT species, lineage, row_number() OVER (ORDER BY species) AS r FROM species),
 labels AS (SELECT i, d.species, o.lineage FROM dealt d JOIN ordered o USING (r)),
@@ -237,7 +241,7 @@ drawn AS (SELECT b.gene, b.n, l.i, count(DISTINCT l.lineage) AS m FROM best b, u
 SELECT gene, round(avg((m >= n)::INT), 4) AS p FROM drawn GROUP BY gene
 """)
 def permutation_p(spark, sf_dir):
-    """DS16, JN16: over a thousand dealings by hashes. The SQL still deals twenty."""
+    """DS16, JN16: over a thousand dealings by hashes."""
     motifs = _motifs(spark, sf_dir)
     species = motifs.select("species", "lineage").distinct()
     order = Window.orderBy("species")  # one row for each species
@@ -278,13 +282,13 @@ def pathway_enrich(spark, sf_dir):
 
 
 @query("""
-WITH d AS (SELECT doc_id, replace(left(text, 300), '-', '') AS t FROM documents), p AS (SELECT a.doc_id, a.t AS x, b.t AS y FROM d a JOIN d b ON b.doc_id = a.doc_id + 1),
+WITH d AS (SELECT doc_id, left(text, 300) AS t FROM documents), p AS (SELECT a.doc_id, a.t AS x, b.t AS y FROM d a JOIN d b ON b.doc_id = a.doc_id + 1),
 s AS (SELECT doc_id, CASE WHEN length(x) < 3 THEN [] ELSE list_distinct(list_transform(generate_series(1, length(x) - 2), lambda i: substr(x, i, 3))) END AS a, CASE WHEN length(y) < 3 THEN [] ELSE list_distinct(list_transform(generate_series(1, length(y) - 2), lambda i: substr(y, i, 3))) END AS b FROM p)
 SELECT doc_id, round(100.0 * len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS identity FROM s
 """)
 def kmer_jaccard(spark, sf_dir):
     """ST4, SQ4: 3-mers of the first 300 characters of neighbouring documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 300).alias("t"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("t"))
     pairs = docs.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("u")), "doc_id")
     return pairs.select("doc_id", F.round(Q.kmer_identity(F.col("t"), F.col("u")), 6).alias("identity"))
 
@@ -297,17 +301,17 @@ SELECT doc_id, s::INT AS start, round(div, 6) AS divergence FROM (SELECT *, row_
 """)
 def window_div(spark, sf_dir):
     """SQ1, SQ2, WN10, WN13: sliding windows of neighbouring texts, the eight most divergent of each."""
-    from helixframe.operators.relational import top_per_key
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pairs = docs.join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other")), "doc_id")
     starts = Q.window_starts(F.least(F.length("text"), F.length("other")))
     # arrays of letters once a pair, then slices: substrings of a long text would start over for each window
     zipped = F.arrays_zip(Q.letters(F.col("text")).alias("a"), Q.letters(F.col("other")).alias("b"))
     differ = F.transform(zipped, lambda z: F.coalesce((z["a"] != z["b"]).cast("int"), F.lit(0)))
-    windows = pairs.select("doc_id", starts.alias("starts"), differ.alias("differ")).select("doc_id", F.explode(F.transform("starts", lambda s: F.struct(s.alias("start"), F.aggregate(F.slice("differ", s + 1, 15), F.lit(0), lambda a, x: a + x).alias("n")))).alias("w"))
-    scored = windows.select("doc_id", "w.start", (F.col("w.n") / 15.0).alias("raw")).where("raw >= 0.15")
-    return top_per_key(scored, ["doc_id"], [F.col("raw").desc(), F.col("start")], 8).select("doc_id", "start", F.round("raw", 6).alias("divergence"))
+    scored = F.transform("starts", lambda s: F.struct((-F.aggregate(F.slice("differ", s + 1, 15), F.lit(0), lambda a, x: a + x)).alias("n"), s.alias("start")))
+    # the eight most divergent windows of a text are found in its own row
+    best = F.slice(F.array_sort(F.filter(scored, lambda w: -w["n"] / 15.0 >= 0.15)), 1, 8)
+    windows = pairs.select("doc_id", starts.alias("starts"), differ.alias("differ")).select("doc_id", F.explode(best).alias("w"))
+    return windows.select("doc_id", "w.start", F.round(-F.col("w.n") / 15.0, 6).alias("divergence"))
 
 
 @query("""
@@ -365,10 +369,10 @@ WITH m AS (SELECT user_id, list(value ORDER BY event_id) AS v FROM events GROUP
 SELECT user_id, len(list_filter(v, lambda x: x > 30))::BIGINT AS strong, list_max(v) AS most, round(least(log2(1 + list_sum(v) / len(v)) / 10, 1), 6) AS level FROM m
 """)
 def map_values(spark, sf_dir):
-    """SC5, SC7, SC8, AG17: counts and maxima over map values."""
-    m = table(spark, sf_dir, "events").groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_id", "value"))).alias("m"))
-    values = F.transform(F.array_sort(F.map_entries("m")), lambda e: e["value"])
-    return m.select("user_id", F.size(F.map_keys(F.map_filter("m", lambda _, v: v > 30))).cast("long").alias("strong"), F.array_max(F.map_values("m")).alias("most"), F.round(S.gtex_score(values), 6).alias("level"))
+    """SC5, SC7, SC8, AG17: counts, maxima and the level over the values of a user, with no map of them all."""
+    value = F.col("value")
+    sums = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(value > 30).alias("strong"), F.max(value).alias("most"), F.avg(value).alias("mean"))
+    return sums.select("user_id", "strong", "most", F.round(S.gtex_level(F.col("mean")), 6).alias("level"))
 
 
 @query("SELECT vec_id, round(1 - list_sum(list_transform(generate_series(1, len(a)), lambda i: a[i] * b[i])) / (sqrt(list_sum(list_transform(a, lambda x: x * x))) * sqrt(list_sum(list_transform(b, lambda x: x * x)))), 5) AS distance FROM (SELECT x.vec_id, x.embedding::DOUBLE[] AS a, y.embedding::DOUBLE[] AS b FROM embeddings x JOIN embeddings y ON y.vec_id = x.vec_id + 1)")

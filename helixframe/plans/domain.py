@@ -10,6 +10,7 @@ from helixframe.operators import relational as R
 from helixframe.plans import annotate as A
 from helixframe.plans import checks
 from helixframe.plans import evolution as E
+from helixframe.plans.biology import rounded
 from helixframe.plans.relational import table, tables
 from helixframe.sources import sinks
 from helixframe.streaming.tail import event_counts
@@ -74,7 +75,7 @@ def insert_new_rows(spark, sf_dir):
 def update_from_arrays(spark, sf_dir):
     """SNK3: batches of parallel arrays."""
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
-    batches = customer.groupBy((F.col("k") % 50).alias("b")).agg(F.collect_list(F.struct("k", F.when(F.col("k") % 3 == 0, F.col("k") * 1.5).alias("v"))).alias("r"))
+    batches = customer.groupBy((F.floor(F.col("k") / 1000)).alias("b")).agg(F.collect_list(F.struct("k", F.when(F.col("k") % 3 == 0, F.col("k") * 1.5).alias("v"))).alias("r"))
     return R.update_from_arrays(customer, "k", batches.select(F.col("r.k").alias("k"), F.col("r.v").alias("v")))
 
 
@@ -127,16 +128,16 @@ def variant_names(spark, sf_dir):
 
 
 @query("""
-WITH g AS (SELECT p_partkey % 10 AS og, p_partkey % 4 AS sp, min(p_partkey) AS k FROM part WHERE p_partkey < 40 GROUP BY 1, 2), n AS (SELECT g.*, p_name AS s FROM g JOIN part ON p_partkey = k),
-w AS (SELECT og, max(length(s)) AS w, count(*) AS have FROM n GROUP BY 1 HAVING count(*) >= 2)
+WITH n AS (SELECT p_partkey // 4 AS og, p_partkey % 4 AS sp, p_name AS s FROM part),
+w AS (SELECT og, max(length(s)) AS w, count(*) AS have FROM n GROUP BY 1 HAVING count(*) >= 2 ORDER BY have DESC, og LIMIT 500)
 SELECT s.sp::VARCHAR AS species, string_agg(coalesce(n.s, repeat('-', w.w::INT)), '' ORDER BY w.og) AS sequence FROM w CROSS JOIN (SELECT unnest(generate_series(0, 3)) AS sp) s LEFT JOIN n ON n.og = w.og AND n.sp = s.sp GROUP BY 1
 """)
 def supermatrix(spark, sf_dir):
-    """SQ15, TK4: alignments joined per species, gaps where a group lacks one. Four neighbouring parts are a group of the aligned table here."""
+    """SQ15, TK4: alignments joined per species, gaps where a group lacks one; four neighbouring parts are a group, and five hundred groups make the matrix."""
     group, label = F.floor(F.col("p_partkey") / 4).alias("og"), (F.col("p_partkey") % 4).cast("string").alias("label")
     aligned = table(spark, sf_dir, "part").select(group, label, F.col("p_name").alias("seq"))
     species = spark.range(4).select(F.col("id").cast("string").alias("species"))
-    return A.supermatrix(aligned, species, 0.5, 1000)
+    return A.supermatrix(aligned, species, 0.5)
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN n = 0 THEN 0.0 ELSE round(least(1.0, pid / 100.0 * len / n), 6) END AS score FROM (SELECT *, l_quantity * 2 AS pid, l_partkey % 900 AS len, l_suppkey % 500 AS n FROM lineitem)")
@@ -223,17 +224,17 @@ def essentiality_calls(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS compound_id, l_discount * 10.137 AS hit, l_returnflag = 'N' AS lip, CASE WHEN l_linenumber > 1 THEN l_tax * 10.313 END AS sel, l_quantity / 51.7 AS tox, CASE WHEN l_linenumber <> 3 THEN l_quantity / 6.13 END AS sa FROM {_UNIQUE}),
-n AS (SELECT *, round((10.0 - sa) / 9.0, 4) AS san FROM c), o AS (SELECT compound_id, san AS sa_normalized, round(0.30 * hit + CASE WHEN lip THEN 0.15 ELSE 0 END + 0.20 * CASE WHEN sel IS NULL OR sel = 0 THEN 0.5 ELSE sel END + 0.20 * (1 - tox) + 0.15 * CASE WHEN san IS NULL OR san = 0 THEN 0.5 ELSE san END, 4) AS s FROM n)
+WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS compound_id, l_discount * 10 AS hit, l_returnflag = 'N' AS lip, CASE WHEN l_linenumber > 1 THEN l_tax * 10 END AS sel, l_quantity / 50 AS tox, CASE WHEN l_linenumber <> 3 THEN l_quantity / 6 END AS sa FROM {_UNIQUE}),
+n AS (SELECT *, {rounded("(10.0 - sa) / 9.0", 4)} AS san FROM c), o AS (SELECT compound_id, {rounded("0.30 * hit + CASE WHEN lip THEN 0.15 ELSE 0 END::DOUBLE + 0.20 * CASE WHEN sel IS NULL OR sel = 0 THEN 0.5 ELSE sel END + 0.20 * (1 - tox) + 0.15 * CASE WHEN san IS NULL OR san = 0 THEN 0.5 ELSE san END", 4)} AS s FROM n)
 SELECT compound_id, CASE WHEN s >= 0.65 THEN 'Lead' WHEN s >= 0.40 THEN 'Hit' WHEN s >= 0.25 THEN 'Fragment' ELSE 'Reject' END AS tier FROM o
 """)
 def compound_tiers(spark, sf_dir):
     """DS32, AN24."""
     line = _unique(spark, sf_dir)
     k = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")
-    compounds = line.select(k, (F.col("l_discount") * 10.137).alias("hit_score"))
-    sel, sa = F.when(F.col("l_linenumber") > 1, F.col("l_tax") * 10.313), F.when(F.col("l_linenumber") != 3, F.col("l_quantity") / 6.13)
-    properties = line.select(k.alias("compound_id"), (F.col("l_returnflag") == "N").alias("lipinski_pass"), sel.alias("selectivity_score"), (F.col("l_quantity") / 51.7).alias("tox21_score"), sa.alias("sa_score"))
+    compounds = line.select(k, (F.col("l_discount") * 10).alias("hit_score"))
+    sel, sa = F.when(F.col("l_linenumber") > 1, F.col("l_tax") * 10), F.when(F.col("l_linenumber") != 3, F.col("l_quantity") / 6)
+    properties = line.select(k.alias("compound_id"), (F.col("l_returnflag") == "N").alias("lipinski_pass"), sel.alias("selectivity_score"), (F.col("l_quantity") / 50).alias("tox21_score"), sa.alias("sa_score"))
     return A.compound_scores(compounds, properties).select("compound_id", F.col("compound_tier").alias("tier"))
 
 

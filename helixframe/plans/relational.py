@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixframe.functions.stats import average_rank, benjamini_hochberg, min_max, rank_product, rank_product_p
+from helixframe.functions.stats import average_ranks, benjamini_hochberg, min_max, rank_product, rank_product_p
 from helixframe.operators.relational import (
     dedup_first,
     duplicate_keys,
@@ -46,11 +46,11 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 # --- filters -----------------------------------------------------------------------------------
 
 
-@query("SELECT p_partkey, p_brand, p_type, p_retailprice FROM part WHERE p_brand = 'Brand#11' AND p_retailprice >= 1000 OR p_size IS NULL")
+@query("SELECT p_partkey, p_brand, p_type, p_retailprice FROM part WHERE p_brand = 'Brand#11' AND p_retailprice >= 900 OR p_size IS NULL")
 def filter_dynamic(spark, sf_dir):
     """FLT1, FLT13."""
     part = table(spark, sf_dir, "part")
-    keep = (F.col("p_brand") == "Brand#11") & (F.col("p_retailprice") >= 1000) | F.col("p_size").isNull()
+    keep = (F.col("p_brand") == "Brand#11") & (F.col("p_retailprice") >= 900) | F.col("p_size").isNull()
     return part.where(keep).select("p_partkey", "p_brand", "p_type", "p_retailprice")
 
 
@@ -153,11 +153,11 @@ def semi_filter(spark, sf_dir):
     return customer.join(orders.where("o_totalprice > 100000"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
 def anti_orphans(spark, sf_dir):
     """JN5, JN6, JN7: keys without a partner."""
-    customer, orders = tables(spark, sf_dir, "customer", "orders")
-    return customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    orders, line = tables(spark, sf_dir, "orders", "lineitem")
+    return orders.join(line, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
 
 
 @query("SELECT o_orderkey FROM orders o WHERE (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) = (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 5) AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
@@ -210,8 +210,9 @@ SELECT gene, count(*) AS matching FROM (SELECT DISTINCT d.gene, d.ordinal FROM d
 def range_exists_count(spark, sf_dir):
     """JN12, JN13: variants with a position within three residues and of one class, counted once each."""
     motifs, domains = _intervals(spark, sf_dir)
-    m = motifs.select(F.col("gene").alias("g"), F.col("m_start").alias("pos"), "k")
-    near = domains.join(m, (F.col("gene") == F.col("g")) & (F.abs(F.col("pos") - F.col("d_start")) <= 3) & (F.col("k") % 3 == F.col("ordinal") % 3), "left_semi")
+    # positions are spread over their reach, so the join is by equality
+    reach = motifs.select("gene", F.explode(F.sequence(F.col("m_start") - 3, F.col("m_start") + 3)).alias("d_start"), (F.col("k") % 3).cast("long").alias("kind")).distinct()
+    near = domains.withColumn("kind", F.col("ordinal") % 3).join(reach, ["gene", "d_start", "kind"], "left_semi")
     return near.select("gene", "ordinal").distinct().groupBy("gene").agg(F.count("*").alias("matching"))
 
 
@@ -399,7 +400,7 @@ def _genes(spark, sf_dir):
 @query(f"WITH {_GENES} SELECT gene, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM genes")
 def avg_rank(spark, sf_dir):
     """WN1."""
-    return _genes(spark, sf_dir).select("gene", average_rank(F.col("p").asc()).alias("r"))
+    return average_ranks(_genes(spark, sf_dir), {"r": (F.col("p"), False)}).select("gene", "r")
 
 
 _PHI = """0.5 * (1 + sign(z) * (1 - (((((1.061405429 * t - 1.453152027) * t) + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * exp(-(z * z) / 2)))"""
@@ -414,9 +415,9 @@ SELECT gene, round(rp, 10) AS rp, round(least(1.0, greatest(1e-15, {_PHI})), 6)
 """)
 def rank_product_pvalue(spark, sf_dir):
     """WN2, WN3."""
-    n = F.count("*").over(Window.partitionBy())
-    product = rank_product([average_rank(F.col("p").asc()), average_rank(F.col("n").desc())], n)
-    return _genes(spark, sf_dir).select("gene", product.alias("rp")).select("gene", F.round("rp", 10).alias("rp"), F.round(rank_product_p(F.col("rp"), 2), 6).alias("p"))
+    ranked = average_ranks(_genes(spark, sf_dir), {"rank_1": (F.col("p"), False), "rank_2": (F.col("n"), True)}, total="genes")
+    product = rank_product([F.col("rank_1"), F.col("rank_2")], F.col("genes"))
+    return ranked.select("gene", product.alias("rp")).select("gene", F.round("rp", 10).alias("rp"), F.round(rank_product_p(F.col("rp"), 2), 6).alias("p"))
 
 
 _BH = """

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from helixframe.functions import scores as S
-from helixframe.functions.stats import average_rank, benjamini_hochberg, rank_product_p
+from helixframe.functions.stats import average_ranks, benjamini_hochberg, rank_product_p
 from helixframe.operators.relational import upsert
 from helixframe.plans.api import Store
 
@@ -44,17 +43,16 @@ def evidence_layers(store: Store, trait_id: str = "") -> DataFrame:
 
 
 def rank_product_scores(layers: DataFrame) -> DataFrame:
-    """DS11: (gene_id, rank_p, q, active, tier, composite). Layers without any value above 0 are left out; genes bound the windows."""
+    """DS11: (gene_id, rank_p, q, active, tier, composite). Layers without any value above 0 are left out."""
     has = layers.agg(*[F.max((F.col(c) > 0).cast("int")).alias(c) for c in LAYERS[1:]]).first()
     used = ["selection", *[c for c in LAYERS[1:] if has[c]]]
-    n = F.count("*").over(Window.partitionBy())
-    product = F.lit(1.0)
+    ranked, product = average_ranks(layers, {f"{c}_rank": (F.col(c), c != "selection") for c in used}, total="genes"), F.lit(1.0)
     for c in used:
-        product = product * (average_rank(F.col(c).asc() if c == "selection" else F.col(c).desc()) / n)
+        product = product * (F.col(f"{c}_rank") / F.col("genes"))
     active = (F.col("selection") < 0.1).cast("int")
     for c in LAYERS[1:]:
         active = active + (F.col(c) > 0).cast("int")
-    ranked = layers.select("gene_id", active.alias("active"), product.alias("rp")).withColumn("rank_p", rank_product_p(F.col("rp"), len(used)))
+    ranked = ranked.select("gene_id", active.alias("active"), product.alias("rp")).withColumn("rank_p", rank_product_p(F.col("rp"), len(used)))
     q = benjamini_hochberg(ranked, "rank_p", "q", tie="gene_id")
     return q.select("gene_id", "rank_p", "q", "active", S.rank_product_tier(F.col("q"), F.col("active")).alias("tier"), F.round(1.0 - F.col("q"), 4).alias("composite_score"))
 

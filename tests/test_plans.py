@@ -124,6 +124,8 @@ def test_motif_scan(spark):
     assert {k: v for k, v in got.items() if k[0] == "bat|B1"} == want
     assert {r.og: r.motifs for r in A.motif_summary(A.scan_motifs(aligned)).collect()}.keys() == {"og1"}
     assert [r.og for r in A.identity_gate(aligned, 2, 85.0).collect()] == ["og1"]
+    paralogs = spark.createDataFrame([("o", "human|1", "ACDEFGHIKL"), ("o", "bat|1", "WWWWWWWWWW"), ("o", "bat|2", "YYYYYYYYYY")], "og string, label string, seq string")
+    assert [r.og for r in A.identity_gate(paralogs, 2, 85.0).collect()] == ["o"]  # sequences count, not species
     assert {r.label: r.identity for r in A.sequence_identities(aligned).collect()}["bat|B2"] == 100.0
     lineages = spark.createDataFrame([("bat", "Bats"), ("whale", "Cetaceans")], "species string, lineage string")
     assert A.lineage_gate(A.scan_motifs(aligned), lineages).count() == len(got)

@@ -62,9 +62,9 @@ def test_directions_contexts_stages(spark):
 
 
 def test_experiments(spark):
-    context = {"knockdown": "K", "repurposing": "test {drug} now", "in_vivo": "V", "organoid": "O"}
+    context = {"knockdown": "K", "repurposing": "test {drug} now", "in_vivo": "V", "organoid": "O", "screening": "S", "assay": "A"}
     row = lambda pocket, drugs, aav: value(spark, S.experiment_recommendations(context, F.lit(pocket).cast("double"), F.array(*map(F.lit, drugs)).cast("array<string>"), F.lit(aav)))
-    assert row(0.4, ["aspirin"], True) == ["K", "test aspirin now", "V"] and row(0.6, [], False)[1].startswith("Fragment") and row(None, [], False)[1].startswith("Protein") and row(None, [], False)[2] == "O"
+    assert row(0.4, ["aspirin"], True) == ["K", "test aspirin now", "V"] and row(0.6, [], False)[1] == "S" and row(None, [], False)[1] == "A" and row(None, [], False)[2] == "O"
 
 
 def test_phylogenetic_weight(spark):
@@ -100,5 +100,5 @@ def test_benjamini_hochberg(spark):
 
 def test_average_ranks(spark):
     rows = [(1, 5.0), (2, 3.0), (3, 5.0), (4, 1.0)]
-    got = spark.createDataFrame(rows, "i long, v double").select("i", stats.average_rank(F.col("v").asc()).alias("r"), stats.average_rank(F.col("v").desc()).alias("d")).collect()
+    got = stats.average_ranks(spark.createDataFrame(rows, "i long, v double"), {"r": (F.col("v"), False), "d": (F.col("v"), True)}).collect()
     assert {r.i: (r.r, r.d) for r in got} == {1: (3.5, 1.5), 2: (2.0, 3.0), 3: (3.5, 1.5), 4: (1.0, 4.0)}

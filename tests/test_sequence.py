@@ -31,6 +31,7 @@ def test_kmer_identity(spark):
     a, b = "MKTAYIAKQR" * 5, "MKTAYIWWQR" * 5
     x, y = ({s[i : i + 3] for i in range(len(s) - 2)} for s in (a, b))
     assert one(spark, (a, b), "a string, b string", Q.kmer_identity(F.col("a"), F.col("b"))) == pytest.approx(100 * len(x & y) / len(x | y))
+    assert one(spark, ("AB-CDEFGH", "ABCDEFGHI"), "a string, b string", Q.kmer_identity(F.col("a"), F.col("b"))) == pytest.approx(40.0)  # gaps count
     assert one(spark, ("AC", "AD"), "a string, b string", Q.kmer_identity(F.col("a"), F.col("b"))) == 50.0
     assert one(spark, ("", ""), "a string, b string", Q.kmer_identity(F.col("a"), F.col("b"))) == 0.0
 
