@@ -7,7 +7,8 @@ host's, with strengths found by the method of moments from the spread between gr
 near their prior. A document's own share is taken out of its path first; the path's mean is its prior, and
 the classifier's likelihood ratio its evidence.
 
-Hosts and paths come from the columns named: a URL's parts, or, for documents, source and language.
+Hosts and paths come from the columns named. Pages have URLs (page_documents); documents have none, and their
+source and language stand for them, the coarsest sites that the table knows.
 
 Defined results: a null text counts as empty; null hosts and paths count as empty ones; labels of unknown
 documents are ignored, several of one document are averaged, and null ones left out; without labels of both
@@ -18,6 +19,7 @@ table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +97,22 @@ def _strength(groups: DataFrame, k: str, n: str, mean: float) -> float:
     return float(min(1e4, max(1.0, error / between - 1))) if between > 0 else 1e4
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, classifier_p, host_p, path_p, quality_p, kept: one row per document. labels: (doc_id, quality 0 or 1)."""
-    table = cut(featured(docs, host, path))
+@dataclass(frozen=True)
+class Classifier:
+    """Weights of the features, intercept, and the share of good documents in the sample."""
+
+    weights: tuple[float, ...]
+    intercept: float
+    prior: float
+
+    def score(self) -> Column:
+        """Log odds from x."""
+        total = F.aggregate(F.zip_with("x", F.array(*[F.lit(v) for v in self.weights]), lambda a, b: a * b), F.lit(self.intercept), lambda s, v: s + v)
+        return F.greatest(F.lit(-20.0), F.least(F.lit(20.0), total))
+
+
+def fitted(table: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """The classifier of a bounded sample of the labelled rows of table (doc_id, x)."""
     truth = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("y"))
     known = cut(table.join(truth, "doc_id").select("x", "y", "doc_id").dropDuplicates(["doc_id"]))
     # a hash threshold first: else every task would send its own best `sample` rows
@@ -105,29 +120,43 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     near = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
     y = np.array([r["y"] for r in rows])
-    if len(y) and 0 < y.mean() < 1:
-        weights, intercept = fit(np.array([r["x"] for r in rows]), y)
-        prior = float(y.mean())
-    else:
-        weights, intercept, prior = np.zeros(N_FEATURES), 0.0, 0.5
-    score = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in weights]), lambda a, b: a * b), F.lit(intercept), lambda s, v: s + v)
-    score = F.greatest(F.lit(-20.0), F.least(F.lit(20.0), score))
-    scored = table.select("doc_id", "host", "path", score.alias("score")).withColumn("p", 1 / (1 + F.exp(-F.col("score"))))
+    if not len(y) or not 0 < y.mean() < 1:
+        return Classifier((0.0,) * N_FEATURES, 0.0, 0.5)
+    weights, intercept = fit(np.array([r["x"] for r in rows]), y)
+    return Classifier(tuple(map(float, weights)), float(intercept), float(y.mean()))
+
 
+def posteriors(table: DataFrame, model: Classifier, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, classifier_p, host_p, path_p, quality_p, kept of rows (doc_id, host, path, x)."""
+    scored = table.select("doc_id", "host", "path", model.score().alias("score")).withColumn("p", 1 / (1 + F.exp(-F.col("score"))))
     paths = cut(scored.groupBy("host", "path").agg(F.sum("p").alias("k"), F.count("*").alias("n")))
     hosts = cut(paths.groupBy("host").agg(F.sum("k").alias("host_k"), F.sum("n").alias("host_n")))
     total = hosts.agg(F.sum("host_k"), F.sum("host_n")).first()
-    mean = total[0] / total[1] if total[1] else prior
+    mean = total[0] / total[1] if total[1] else model.prior
     host_strength, path_strength = _strength(hosts, "host_k", "host_n", mean), _strength(paths, "k", "n", mean)
     sites = paths.join(hosts, "host").withColumn("host_p", (F.col("host_k") + host_strength * mean) / (F.col("host_n") + host_strength)).drop("host_k", "host_n")
     few = paths.limit(BROADCAST_PATHS + 1).count() <= BROADCAST_PATHS
     joined = scored.join(F.broadcast(sites) if few else sites, ["host", "path"])
     others = (F.col("k") - F.col("p") + path_strength * F.col("host_p")) / (F.col("n") - 1 + path_strength)
-    posterior = _odds(F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_p")))) + F.col("score") - float(np.log(prior / (1 - prior)))
+    posterior = _odds(F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_p")))) + F.col("score") - float(np.log(model.prior / (1 - model.prior)))
     out = joined.withColumn("path_p", others).withColumn("quality_p", 1 / (1 + F.exp(-posterior)))
     return out.select("doc_id", F.col("p").alias("classifier_p"), "host_p", "path_p", "quality_p", (F.col("quality_p") >= threshold).alias("kept"))
 
 
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, classifier_p, host_p, path_p, quality_p, kept: one row per document. labels: (doc_id, quality 0 or 1)."""
+    table = cut(featured(docs, host, path))
+    return posteriors(table, fitted(table, labels, sample), threshold)
+
+
+def page_documents(pages: DataFrame) -> DataFrame:
+    """(doc_id, host, path, text) of pages (page_id, url, html): the host in lower case, the first part of the path, and the text without markup."""
+    text = F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style)\\b.*?</\\1\\s*>", " "), "<[^>]*>", " ")
+    host = F.lower(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    path = F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)", 1)
+    return pages.select(F.col("page_id").alias("doc_id"), host.alias("host"), path.alias("path"), text.alias("text"))
+
+
 def op9_quality_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 

@@ -47,6 +47,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Delete the folder of a table that written() gave, which nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """body(value), where body may use the value many times and in lambdas: it is worked out once a row."""
     return F.transform(F.array(value), body)[0]

@@ -17,13 +17,14 @@ at most, so that a key or a name in another script does not decide, and noise al
 
 A language's band holds the held-out values within SPREAD quartile ranges of its quartiles,
 over all of its documents of at least MIN_WORDS words; below it lies repetitive text, above it noise.
+Quartiles come from counts of values rounded to STEP_DIGITS, so they are the same however rows are dealt out. A
+language's quartile range counts with its number of documents, the mean range of all languages with POOLED.
 A text of n characters strays further from its language the shorter it is, so its band is wider by the
 square root of 1 + EVEN_CHARS / n. With few documents a text's own part is missed more, so the band of a
 language of m documents is wider by 1 + EVEN_DOCUMENTS / m.
 
 Defined results: a null or empty text has no words and fails the base rules; a null language is a
-language of its own; languages with fewer than MIN_DOCUMENTS such documents reject by base rules only;
-repeated rows are judged one by one; an empty table gives an empty table. Characters beyond U+FFFF are
+language of its own; repeated rows are judged one by one; an empty table gives an empty table. Characters beyond U+FFFF are
 folded to sixteen bits.
 """
 
@@ -37,13 +38,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from helixframe.llm.common import cut, documents, small_batches, tasks_for
 
 ORDER = 4
 BITS = 16
 MIN_WORDS = 20
-MIN_DOCUMENTS = 50
+STEP_DIGITS = 3
+POOLED = 50
 # Chosen on the labels of sf0.1; README has the shares that are rejected.
 SPREAD = 0.9
 EVEN_CHARS = 4000
@@ -407,10 +410,16 @@ def base_failed() -> Column:
 
 def bands(scores: DataFrame, spread: float = SPREAD) -> DataFrame:
     """(band_lang, low, high, width) from (lang, n_words, log_held_out) of all documents: quartiles, and how far beyond them a long text may lie. One row for each language."""
-    q = F.percentile_approx("log_held_out", F.array(F.lit(0.25), F.lit(0.75)), 10000)
-    found = scores.where(F.col("n_words") >= MIN_WORDS).groupBy(F.col("lang").alias("band_lang")).agg(q.alias("q"), F.count("*").alias("documents")).where(F.col("documents") >= MIN_DOCUMENTS)
-    width = (F.col("q")[1] - F.col("q")[0]) * F.lit(spread) * (1 + F.lit(float(EVEN_DOCUMENTS)) / F.col("documents"))
-    return found.select("band_lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"), width.alias("width"))
+    values = scores.where((F.col("n_words") >= MIN_WORDS) & F.col("log_held_out").isNotNull()).groupBy(F.col("lang").alias("band_lang"), F.round("log_held_out", STEP_DIGITS).alias("value")).agg(F.count("*").alias("n"))
+    # a few thousand values for each language
+    by = Window.partitionBy("band_lang")
+    ranked = values.withColumns({"upto": F.sum("n").over(by.orderBy("value")), "documents": F.sum("n").over(by)})
+    at = lambda share: F.min(F.when(F.col("upto") >= share * F.col("documents"), F.col("value")))
+    found = cut(ranked.groupBy("band_lang", "documents").agg(at(0.25).alias("low"), at(0.75).alias("high")))
+    wide, m = F.col("high") - F.col("low"), F.col("documents")
+    pooled = found.agg((F.sum(wide * m) / F.sum(m)).alias("pooled"))
+    width = (m * wide + POOLED * F.col("pooled")) / (m + POOLED) * F.lit(spread) * (1 + F.lit(float(EVEN_DOCUMENTS)) / m)
+    return found.crossJoin(F.broadcast(pooled)).select("band_lang", "low", "high", width.alias("width"))
 
 
 def verdicts(rows: DataFrame, limits: DataFrame) -> DataFrame:
@@ -433,8 +442,8 @@ def quality_scores(docs: DataFrame) -> DataFrame:
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with their own columns."""
     models = model_arrays(count_grams(docs))
-    limits = cut(bands(scored(docs.select("lang", "text"), models).select("row.lang", "n_words", "log_held_out")))
-    rows = scored(docs, models)
+    rows = cut(scored(docs, models))  # texts are scored once; the bands need all scores
+    limits = cut(bands(rows.select("row.lang", "n_words", "log_held_out")))
     return verdicts(rows.withColumn("lang", F.col("row.lang")), limits).where("kept").select("row.*")
 
 

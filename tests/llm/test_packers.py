@@ -54,6 +54,32 @@ def test_costs_are_balanced():
     assert len(pieces) <= len(lengths) + len(costs)  # one cut for each sequence, as when texts are joined end to end
 
 
+@given(st.lists(st.integers(1, 90), max_size=50))
+@settings(max_examples=80, deadline=None)
+def test_assignment_equals_a_scan_of_all_sequences(lengths):
+    """Longest rest first, to the sequence of least cost that has room for it; where none has, cut at the one with most room."""
+    capacity, cost = 32, lambda n: n + n * n / packing.EVEN_LENGTH
+    want = [(d, k * capacity, capacity) for d, n in enumerate(lengths) for k in range(n // capacity)]
+    costs = [cost(capacity)] * len(want)
+    rests = sorted(((n % capacity, d) for d, n in enumerate(lengths) if n % capacity), key=lambda x: (-x[0], x[1]))
+    open_ = [[size, 0.0, []] for size in packing.room(sum(n for n, _ in rests), capacity)]
+    for n, d in rests:
+        start = lengths[d] - n
+        while n:
+            fits = [s for s in open_ if s[0] >= n]
+            s = min(fits, key=lambda s: s[1]) if fits else max(open_, key=lambda s: s[0])
+            part = min(n, s[0])
+            s[0], s[1] = s[0] - part, s[1] + cost(part)
+            s[2].append((d, start, part))
+            start, n = start + part, n - part
+    pieces, got = packing.pack(lengths, capacity)
+    by = {}
+    for d, start, n, seq, offset in pieces:
+        by.setdefault(seq, []).append((offset, (d, start, n)))
+    assert [[p for _, p in sorted(by[k])] for k in sorted(by)] == [[p] for p in want] + [s[2] for s in open_]
+    assert got.tolist() == pytest.approx(costs + [s[1] for s in open_])
+
+
 def test_query_pieces(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: encode(r.text, VOCABULARY) for r in docs.collect()}
