@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import written
+from helixframe.llm.common import cut, removed, written
 from helixframe.llm.line_dedup import dedup_lines
 from helixframe.llm.mixing import mixed
 from helixframe.llm.near_dedup import BROADCAST_IDS, near_groups
@@ -21,7 +21,10 @@ NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the perplexity band of their language keep."""
+    """Documents that the base rules and the perplexity band of their language keep.
+
+    Null and empty texts fail the base rules; a null language is one of its own; repeated rows are judged one by one.
+    """
     return good_documents(docs)
 
 
@@ -34,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id, once. Rows without a doc_id stay."""
     groups = near_groups(docs, NEAR_PERCENT).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept"))
-    odd = written(groups.where("doc_id IS NOT NULL AND (n > 1 OR NOT kept)"))
+    odd = cut(groups.where("doc_id IS NOT NULL AND (n > 1 OR NOT kept)"))
     gone, several = odd.where("NOT kept").select("doc_id"), odd.where("kept").select("doc_id")
     side = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
     left = docs.join(side(gone), "doc_id", "left_anti")
@@ -43,12 +46,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, in the order of the mixture: each file holds a stretch of it."""
+    """Every document, in the order of the mixture: each file holds a stretch of it.
+
+    A null source counts as the empty one; null and empty texts and repeated rows have a place each.
+    """
     placed = mixed(docs).select("row", "slot", "place")
     return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences. A null or empty text is the end id alone; a null doc_id stays null; repeated rows are packed one by one."""
     return pack_documents(docs)
 
 
@@ -58,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            removed(before)  # what the next stage was made from
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
