@@ -48,9 +48,9 @@ MIN_WORDS = 20
 STEP_DIGITS = 3
 POOLED = 50
 # Chosen on labels of tables of 1,000 to 50,000 documents; README has the shares that are rejected.
-SPREAD = 1.4
+SPREAD = 1.2
 EVEN_CHARS = 4000
-EVEN_DOCUMENTS = 600
+EVEN_DOCUMENTS = 650
 MOST_SURPRISE = 4.0
 MAX_GRAMS = 4_000_000
 #: Up to so many languages the table of their bands is broadcast (four numbers each).
