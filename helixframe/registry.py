@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules of queries.
-MODULES = ("relational", "biology", "domain", "annotations")
+MODULES = ("relational", "biology", "domain", "annotations", "landing")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
