@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.operators.relational import top_per_key
@@ -79,10 +80,22 @@ def search(store: Store, text: str, limit: int = 50) -> DataFrame:
     return found.select(F.col("id").alias("gene_id"), *columns)
 
 
-def pathways(store: Store, limit: int = 200) -> DataFrame:
-    """GET /research/pathways (AG22)."""
-    both = F.concat(F.coalesce("go_terms", F.array().cast("array<string>")), F.coalesce("pathway_ids", F.array().cast("array<string>")))
-    return store.gene.select(F.explode(both).alias("pathway")).distinct().orderBy("pathway").limit(limit)
+def pathways(store: Store, limit: int = 200, trait_id: str = "") -> DataFrame:
+    """GET /research/pathways (AG22, FLT4): (kind, pathway), go_terms and pathway_ids of genes in Tier1 or Tier2, the first of each."""
+    upper = store.candidate_score.where((F.col("trait_id") == trait_id) & F.col("tier").isin("Tier1", "Tier2")).select(F.col("gene_id").alias("id"))
+    genes = store.gene.join(upper, "id", "left_semi")
+    first = lambda kind: genes.select(F.explode(kind).alias("pathway")).distinct().orderBy("pathway").limit(limit).select(F.lit(kind).alias("kind"), "pathway")
+    return first("go_terms").unionByName(first("pathway_ids"))
+
+
+def traits(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """GET /research/traits (SRC3): presets of a JSON document that holds a list of objects; no rows where it is missing."""
+    try:
+        return spark.read.json(path, schema=fields, multiLine=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], fields)
 
 
 def pathway_convergence(store: Store, top: int = 50, min_candidates: int = 2) -> DataFrame:

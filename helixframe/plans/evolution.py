@@ -217,6 +217,24 @@ def divergence_proxy(pairs: DataFrame) -> DataFrame:
     return mean.select("og", (F.col("d") / 0.15).alias("omega"), F.greatest(F.lit(0.001), 1 - F.least(F.col("d") / 0.30, F.lit(1.0))).alias("p"))
 
 
+# Ranks of models where an orthogroup has several results, and states without a result.
+MODEL_RANK = {"paml_branch_site": 3, "paml_no_signal": 1, "proxy": 0}
+NO_RESULT = ("no_codon_alignment", "meme_failed", "skipped", "not_in_aligned")
+SELECTION_RESULT = "og string, status string, selection_model string, dnds_ratio double, dnds_pvalue double"
+
+
+def write_selection(results: DataFrame, path: str, batches: int) -> None:
+    """AN28: results (SELECTION_RESULT) as JSON lines, a folder for each batch of orthogroups."""
+    results.withColumn("batch", F.pmod(F.xxhash64("og"), F.lit(batches))).write.partitionBy("batch").json(path)
+
+
+def read_selection(spark: SparkSession, path: str) -> DataFrame:
+    """AN28: (og, selection_model, dnds_ratio, dnds_pvalue) of all batches: each orthogroup's result of the highest model, then the smallest p. A file or line that isn't JSON has no og and is left out."""
+    rows = spark.read.json(path, schema=SELECTION_RESULT, recursiveFileLookup=True).where(F.col("og").isNotNull() & ~F.coalesce("status", F.lit("")).isin(*NO_RESULT))
+    rank = F.coalesce(F.try_element_at(literal_map(MODEL_RANK), F.col("selection_model")), F.lit(0))
+    return dedup_first(rows, ["og"], [rank.desc(), F.col("selection_model"), F.col("dnds_pvalue"), F.col("dnds_ratio")]).drop("status")
+
+
 def pathway_enrichment(genes: DataFrame, background: int = 20000, fallback: int = 50, least: int = 2) -> DataFrame:
     """DS26, SC3: (pathway, genes, log_p, score, q). genes: (gene, pathways, convergence, is_candidate); pathway sizes are their gene counts in the table, or the fallback.
 

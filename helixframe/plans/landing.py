@@ -26,7 +26,7 @@ def query(sql: str):
     return add
 
 
-def _folder(df: DataFrame) -> str:
+def folder(df: DataFrame) -> str:
     """A new folder in the session's shared one; a folder of its own only where the session names none, as in tests."""
     context = df.sparkSession.sparkContext
     named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixframe-")
@@ -34,7 +34,7 @@ def _folder(df: DataFrame) -> str:
 
 
 def _text(df: DataFrame) -> str:
-    path = _folder(df)
+    path = folder(df)
     df.write.text(path)
     return path
 
@@ -71,7 +71,7 @@ def ortholog_load(spark, sf_dir):
     k = F.col("p_partkey")
     human = F.when(k % 5 != 0, F.concat_ws(", ", F.concat(F.lit("h"), k), F.when(k % 3 == 0, F.concat(F.lit("g"), k))))
     wide = table(spark, sf_dir, "part").select(F.lpad(k.cast("string"), 9, "0").alias("Orthogroup"), human.alias("human.reheadered"), F.concat(F.lit("b"), k).alias("bat.reheadered"), F.lit("z").alias("bat"))
-    path = _folder(wide)
+    path = folder(wide)
     wide.write.csv(path, sep="\t", header=True)
     long = readers.read_orthogroups(spark, path)
     gene_of = table(spark, sf_dir, "part").select(F.concat(F.lit("h"), k).alias("protein_id"), F.concat(F.lit("G"), F.floor(k / 2)).alias("gene_id"))
@@ -84,7 +84,7 @@ def constraint_scores(spark, sf_dir):
     """SRC14: canonical rows with a number, the smallest of a symbol."""
     size = F.col("p_size")
     rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("gene"), F.when(size % 2 == 0, "true").otherwise("false").alias("canonical"), F.when(size > 4, (size / 40).cast("string")).otherwise("NA").alias("lof.oe_ci.upper"))
-    path = _folder(rows)
+    path = folder(rows)
     rows.write.csv(path, sep="\t", header=True)
     return readers.read_constraint(spark, path)
 
@@ -108,7 +108,7 @@ def dependency_scores(spark, sf_dir):
     """SRC16, AN13, SC9: means of a matrix with a column for each gene, as scores by symbol."""
     total = lambda flag: F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity")))
     wide = table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("line")).agg((-total("A") / 1024).alias("AAA (1)"), (-total("R") / 1048576).alias("RRR (2)"))
-    path = _folder(wide)
+    path = folder(wide)
     wide.write.csv(path, header=True)
     genes = spark.createDataFrame([("G1", "AAA_HUMAN"), ("G2", "RRR"), ("G3", "none")], "gene_id string, gene_symbol string")
     return A.dependency_scores(genes, readers.read_dependency_matrix(spark, path))
@@ -140,7 +140,7 @@ def pocket_tables(spark, sf_dir):
     """SRC19: pockets with padded names and values, what isn't a number as 0."""
     score = F.when(F.col("s_suppkey") % 3 == 0, "x").otherwise((F.col("s_nationkey") / 4.0).cast("string"))
     rows = table(spark, sf_dir, "supplier").select(F.lit("pocket ").alias("name"), F.col("s_suppkey").alias(" rank"), F.concat(F.lit("  "), score).alias(" score"), F.lit("0.5 ").alias(" probability"))
-    path = _folder(rows)
+    path = folder(rows)
     rows.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return readers.read_pockets(spark, path).select("rank", "score", "probability")
 
@@ -157,7 +157,7 @@ def selection_files(spark, sf_dir):
 
     def files(body) -> str:
         rows = table(spark, sf_dir, "nation").select("n_nationkey", body.alias("value"))
-        path = _folder(rows)
+        path = folder(rows)
         rows.write.partitionBy("n_nationkey").text(path)
         return path
 
@@ -185,6 +185,6 @@ def registry_species(spark, sf_dir):
 def landed_rows(spark, sf_dir):
     """SRC23: what a remote source delivered as JSON lines, a record for each key."""
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
-    path = _folder(rows)
+    path = folder(rows)
     rows.write.json(path)
     return readers.landed(spark, path, "k").select("k", "name")

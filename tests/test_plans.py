@@ -50,7 +50,7 @@ def test_details_and_search(store):
     assert len(one.orthologs) == 2 and one.motifs[0].start_pos == 5 and one.disease_annotation.opentargets_score == 0.5
     assert api.candidate_detail(store, "none").count() == 0
     assert ids(api.search(store, " sYm3 ")) == ["g3"] and api.search(store, " ").count() == 0
-    assert [r.pathway for r in api.pathways(store).collect()] == ["GO:1", "R-0", "R-1"]
+    assert [tuple(r) for r in api.pathways(store).collect()] == [("go_terms", "GO:1"), ("pathway_ids", "R-0"), ("pathway_ids", "R-1")]
     assert len(api.scores(store, "g1").first().evidence) == 3 and api.species(store, "rat").first().is_control
 
 
