@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.functions import scores as S
 from helixframe.plans import annotate as A
 from helixframe.plans import evolution as E
 from helixframe.plans import scoring
@@ -31,6 +32,13 @@ def step(name: str, reads: tuple[str, ...], writes: tuple[str, ...]):
     return add
 
 
+@step("step3b", ("orthogroup_member", "protein", "gene_protein"), ("ortholog",))
+def orthologs(store: Store) -> dict[str, DataFrame]:
+    """One protein of each species in a gene's orthogroup."""
+    rows = A.load_orthologs(store.orthogroup_member, store.protein, store.gene_protein)
+    return {"ortholog": conform(rows.withColumn("id", F.concat_ws("|", "gene_id", "species_id")), "ortholog")}
+
+
 @step("step4", ("aligned",), ("scanned_motif", "ortholog_identity"))
 def motifs(store: Store) -> dict[str, DataFrame]:
     """Gate 1, identities, window scan."""
@@ -48,6 +56,21 @@ def likelihoods(store: Store) -> dict[str, DataFrame]:
     return {"motif_likelihood": A.motif_likelihoods(store.substitution, store.log_prob)}
 
 
+@step("step4d", ("motif_consequence", "motif_likelihood", "substitution", "gene"), ("motif_direction",))
+def directions(store: Store) -> dict[str, DataFrame]:
+    """Gain, loss or neutral, for motifs that both models have seen or only one."""
+    motifs = store.substitution.select("motif_id", "gene_id").distinct().join(store.motif_consequence, "motif_id", "left").join(store.motif_likelihood, "motif_id", "left")
+    return {"motif_direction": A.motif_directions(motifs, store.gene.select(F.col("id").alias("gene_id"), "loeuf"))}
+
+
+@step("step6", ("aligned",), ("selection_proxy",))
+def selection_proxy(store: Store) -> dict[str, DataFrame]:
+    """Divergence from the human sequence, where no test of selection has run."""
+    human = A.human_sequence(store.aligned)
+    pairs = store.aligned.where(~F.contains(F.lower("label"), F.lit("human"))).join(human, "og").select("og", F.col("human").alias("a"), F.col("seq").alias("b"))
+    return {"selection_proxy": A.selection_columns(E.divergence_proxy(pairs), "protein_divergence_proxy")}
+
+
 @step("step7", ("ortholog", "divergent_motif", "species"), ("convergence",))
 def convergence(store: Store) -> dict[str, DataFrame]:
     """Best window and phylogenetic weight of each gene."""
@@ -69,6 +92,19 @@ def score(store: Store) -> dict[str, DataFrame]:
     return {"candidate_score": conform(scoring.score_phase1(store), "candidate_score")}
 
 
+def _upper(store: Store, *tiers: str) -> DataFrame:
+    """Genes of some tiers, the ones that later annotation is worth."""
+    return store.candidate_score.where(F.col("tier").isin(*tiers)).select("gene_id").distinct()
+
+
+@step("step10b", ("candidate_score", "species", "promoter_pair"), ("regulatory_divergence",))
+def regulatory(store: Store) -> dict[str, DataFrame]:
+    """Promoter divergence of upper genes, per species."""
+    species = store.species.select(F.col("id").alias("species_id"), F.col("lineage_group").alias("lineage"))
+    rows = A.promoter_divergence(_upper(store, "Validated", "Tier1", "Tier2"), species, store.promoter_pair)
+    return {"regulatory_divergence": conform(rows.withColumn("id", F.concat_ws("|", "gene_id", "species_id")), "regulatory_divergence")}
+
+
 @step("step11d", ("gene", "candidate_score"), ("pathway_convergence",))
 def enrichment(store: Store) -> dict[str, DataFrame]:
     rows = store.gene.select(F.col("id").alias("gene_id"), "pathway_ids").join(store.candidate_score, "gene_id")
@@ -77,6 +113,41 @@ def enrichment(store: Store) -> dict[str, DataFrame]:
     return {"pathway_convergence": conform(found.select(F.col("pathway").alias("pathway_id"), F.col("genes").cast("int").alias("candidate_count"), F.col("log_p").alias("log_pvalue"), F.col("q").alias("adjusted_pvalue"), F.col("score").alias("pathway_score")), "pathway_convergence")}
 
 
+@step("step13", ("candidate_score", "protein_length", "coding_sequence"), ("gene_therapy_score",))
+def gene_therapy(store: Store) -> dict[str, DataFrame]:
+    """Vector size and guides of genes in the first tier."""
+    genes = _upper(store, "Validated", "Tier1")
+    sizes = A.aav_table(store.protein_length.join(genes, "gene_id", "left_semi"))
+    return {"gene_therapy_score": conform(A.crispr_table(genes, store.coding_sequence).join(sizes, "gene_id", "left"), "gene_therapy_score")}
+
+
+@step("step14", ("candidate_score", "network_degree", "constraint", "dependency", "tissue_expression"), ("safety_flag",))
+def safety(store: Store) -> dict[str, DataFrame]:
+    """Hubs, essential genes, dependency and breadth of expression of upper genes."""
+    rows = A.safety_flags(_upper(store, "Validated", "Tier1", "Tier2"), store.network_degree, store.constraint, store.dependency, store.tissue_expression)
+    return {"safety_flag": conform(rows, "safety_flag")}
+
+
+@step("step15", ("gene", "candidate_score"), ("candidate_score_final",))
+def rescore(store: Store) -> dict[str, DataFrame]:
+    """Phase 2 over whatever evidence is there; the scores of phase 1 stay in their own table."""
+    return {"candidate_score_final": conform(scoring.score_phase2(store), "candidate_score")}
+
+
+@step("step17", ("candidate_score_final", "gene_therapy_score", "drug_target", "safety_flag", "disease_annotation"), ("preclinical_readiness",))
+def readiness(store: Store) -> dict[str, DataFrame]:
+    """Readiness of upper genes, from one struct of each table."""
+    rows = store.candidate_score_final.where(F.col("tier").isin("Validated", "Tier1", "Tier2")).select("gene_id").distinct()
+    for name, table in (("therapy", store.gene_therapy_score), ("target", store.drug_target), ("safety", store.safety_flag), ("disease", store.disease_annotation)):
+        rows = rows.join(table.select("gene_id", F.struct("*").alias(name)), "gene_id", "left")
+    parts = S.readiness_parts()
+    scored = rows.select("gene_id", *[v.alias(k) for k, v in parts.items()])
+    columns = [F.col(k) for k in parts]
+    scored = scored.withColumn("overall_readiness_score", S.readiness_overall(*columns))
+    out = scored.withColumn("readiness_tier", S.readiness_tier(F.col("overall_readiness_score"))).withColumn("notes", S.readiness_notes(*columns))
+    return {"preclinical_readiness": conform(out, "preclinical_readiness")}
+
+
 @dataclass
 class Run:
     """A folder of tables, one Parquet folder each."""
@@ -101,7 +172,7 @@ class Run:
         """Run steps in order between two names; each is done, skipped as its tables exist, or lacks what it reads."""
         names = list(STEPS)
         span = names[names.index(first) if first else 0 : names.index(until) + 1 if until else None]
-        known = {n for reads, writes, _ in STEPS.values() for n in (*reads, *writes)} | {"evolution_score"}
+        known = {n for reads, writes, _ in STEPS.values() for n in (*reads, *writes)} | {"evolution_score", "disease_annotation", "drug_target", "nucleotide_score", "phylo_conservation_score"}
         for name in span:
             reads, writes, f = STEPS[name]
             if not force and all(map(self._exists, writes)):
