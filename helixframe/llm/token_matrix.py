@@ -128,6 +128,26 @@ def write_matrices(matrix: DataFrame, path: str) -> None:
     matrix.sortWithinPartitions("row_id").write.mode("overwrite").parquet(path)
 
 
+def binary_rows(matrix: DataFrame) -> DataFrame:
+    """Rows of a matrix with input_ids, position_ids and cu_seqlens as bytes: little-endian unsigned 32-bit numbers.
+
+    The first two have the same width in every row, so the rows of a file, put one after another, are its matrix.
+    n_tokens tells ids from padding, which has the number of the end id. A null array stays null.
+    """
+    packed = ("input_ids", "cu_seqlens", "position_ids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(n) for n in batch.schema.names]
+            for i, name in enumerate(batch.schema.names):
+                if name in packed:
+                    columns[i] = pa.array([None if not x.is_valid else x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() for x in columns[i]], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    fields = ", ".join(f"{n} {'binary' if n in packed else kind}" for n, kind in matrix.dtypes)
+    return matrix.mapInArrow(run, fields)
+
+
 def op6_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix(documents(spark, sf_dir))
 

@@ -142,3 +142,14 @@ def test_written_matrices(spark, edge, tmp_path):
 
 if __name__ == "__main__":
     pytest.main([__file__])
+
+
+def test_binary_rows(edge):
+    matrix = token_matrix.token_matrix(edge, row=64)
+    want = {r.row_id: r for r in matrix.collect()}
+    got = token_matrix.binary_rows(matrix).collect()
+    assert len(got) == len(want) > 0 and token_matrix.binary_rows(matrix.limit(0)).count() == 0
+    for r in got:
+        assert len(r.input_ids) == len(r.position_ids) == 4 * 64 and r.n_tokens == want[r.row_id].n_tokens and r.doc_ids == want[r.row_id].doc_ids
+        for name in ("input_ids", "position_ids", "cu_seqlens"):
+            assert np.frombuffer(r[name], "<u4").tolist() == want[r.row_id][name]
