@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules in the order of their operators.
-MODULES = ("pii", "packing", "near_dedup", "line_dedup", "mixing", "token_matrix", "sharding", "quality", "classifier", "fingerprints", "substrings")
+MODULES = ("pii", "packing", "near_dedup", "line_dedup", "mixing", "token_matrix", "sharding", "quality", "classifier", "fingerprints", "substrings", "merkle", "divergence")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
