@@ -31,6 +31,8 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 #: Terms of all groups that a task holds before it passes them on.
 HELD_TERMS = 500_000
+#: Up to so many groups their table is broadcast (two strings and three numbers each).
+BROADCAST_GROUPS = 10_000
 # Bytes that are no part of a term become spaces, A-Z becomes a-z; bytes of other characters are all above 7F.
 _TERM_BYTES = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
@@ -141,10 +143,6 @@ def source_divergences(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int =
     return _ranked(pair).unionByName(_ranked(term).where(F.col("rank") <= top)).select("lang", "source", "part", "item", F.col("value").cast("long").alias("value"), "rank")
 
 
-#: Up to so many groups their table is broadcast (two strings and three numbers each).
-BROADCAST_GROUPS = 10_000
-
-
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergences(documents(spark, sf_dir))
 
@@ -166,7 +164,7 @@ WITH docs AS (
   FROM (SELECT DISTINCT lang, source FROM docs) g
 ), shares AS (
   SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS c, 1 + 1000000000 * (coalesce(o.n, 0)::HUGEINT + 1) // (g.n + g.v) AS p,
-    1 + 1000000000 * (k.total::HUGEINT + 1) // (sum(coalesce(o.n, 0)) OVER (PARTITION BY g.lang, g.source) * 0 + (SELECT sum(total) FROM kept x WHERE x.lang = g.lang) + g.v) AS q
+    1 + 1000000000 * (k.total::HUGEINT + 1) // (sum(k.total) OVER (PARTITION BY g.lang, g.source) + g.v) AS q
   FROM grp g JOIN kept k USING (lang) LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
 ), pairs AS (
   SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
