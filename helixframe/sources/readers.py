@@ -122,29 +122,6 @@ def gene_coordinates(genes: DataFrame, index: DataFrame) -> DataFrame:
     return dedup_first(found, ["gene_id", "species_id"], [F.col("priority")]).drop("priority", "key")
 
 
-def extract_window(sequence: Column, start: Column, end: Column) -> Column:
-    """SRC12: 1-based inclusive window, clipped to the sequence; null where nothing is left."""
-    first, last = F.greatest(start, F.lit(1)), F.least(end, F.length(sequence))
-    return F.when(first <= last, F.substring(sequence, first, last - first + 1))
-
-
-def regions(located: DataFrame, genome: DataFrame, upstream: int = 5000, downstream: int = 2000) -> DataFrame:
-    """SRC13: (gene_id, species_id, region_type, chrom, start, end, sequence) of coding span, promoter and downstream flank.
-
-    located has coordinates; genome is (species_id, chrom, sequence). Contigs are joined by key, not broadcast.
-    """
-    plus = F.col("strand") == "+"
-    window = lambda kind, a, b: F.struct(F.lit(kind).alias("region_type"), a.alias("start"), b.alias("end"))
-    both = F.array(
-        window("cds", F.col("start"), F.col("end")),
-        window("promoter", F.when(plus, F.col("tss") - upstream).otherwise(F.col("tss") + 1), F.when(plus, F.col("tss") - 1).otherwise(F.col("tss") + upstream)),
-        window("downstream", F.when(plus, F.col("end") + 1).otherwise(F.col("start") - downstream), F.when(plus, F.col("end") + downstream).otherwise(F.col("start") - 1)),
-    )
-    rows = located.select("gene_id", "species_id", "chrom", F.explode(both).alias("w")).select("gene_id", "species_id", "chrom", "w.*")
-    cut = rows.join(genome, ["species_id", "chrom"]).withColumn("sequence", extract_window(F.col("sequence"), F.col("start"), F.col("end")))
-    return cut.where(F.col("sequence").isNotNull()).select("gene_id", "species_id", "region_type", "chrom", "start", "end", "sequence")
-
-
 # --- tables of scores --------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.operators import relational as R
-from helixframe.sources import readers, sinks
+from helixframe.sources import genome, readers, sinks
 
 
 def put(folder, name, text):
@@ -54,10 +54,41 @@ def test_gff_and_regions(spark, tmp_path):
     genes = spark.createDataFrame([("g1", "bat", "A_HUMAN", "bat|NP_1.2"), ("g2", "bat", "A_HUMAN", "bat|zz"), ("g3", "bat", "none", "zz")], "gene_id string, species_id string, gene_symbol string, protein_id string")
     located = readers.gene_coordinates(genes, index)
     assert {r.gene_id: r.start for r in located.collect()} == {"g1": 120, "g2": 105}
-    genome = spark.createDataFrame([("bat", "c1", "ACGT" * 60)], "species_id string, chrom string, sequence string")
-    regions = {(r.gene_id, r.region_type): r for r in readers.regions(located, genome, 50, 10).collect()}
-    assert regions["g1", "promoter"].start == 70 and regions["g1", "promoter"].sequence == ("ACGT" * 60)[69:119]
-    assert len(regions["g1", "cds"].sequence) == 61 and regions["g2", "promoter"].start == 201 and len(regions["g2", "promoter"].sequence) == 40
+    contig = "ACGTTGCAGG" * 24
+    blocks = genome.blocks_of(spark.createDataFrame([("bat", "c1", contig)], "species_id string, chrom string, sequence string"), 32)
+    regions = {(r.gene_id, r.region_type): r for r in genome.regions(located, blocks, 50, 10, 32).collect()}
+    assert regions["g1", "promoter"].start == 70 and regions["g1", "promoter"].sequence == contig[69:119]
+    assert regions["g1", "cds"].sequence == contig[119:180] and regions["g2", "promoter"].start == 201 and regions["g2", "promoter"].sequence == contig[200:240]
+
+
+def test_windows_over_borders_and_ends(spark):
+    contig = "".join("ACGT"[i * i % 7 % 4] for i in range(100))
+    blocks = genome.blocks_of(spark.createDataFrame([("a", "c", contig), ("a", "d", "TT"), ("b", "c", ""), ("b", "e", None)], "species_id string, chrom string, sequence string"), 16)
+    assert {r["bases"] for r in blocks.where("chrom = 'd'").collect()} == {"TT"} and blocks.where("species_id = 'b'").count() == 0
+    spans = [(1, 100), (16, 17), (17, 32), (-5, 3), (0, 0), (99, 400), (101, 200), (50, 49), (33, 33), (1, 16)]
+    windows = spark.createDataFrame([("a", "c", a, b) for a, b in spans + spans[:2]] + [("a", "none", 1, 5), ("b", "c", 1, 5), ("a", "d", 1, 9)], "species_id string, chrom string, start int, end int")
+    got = {(r.chrom, r.start, r.end): r.sequence for r in genome.cut_windows(windows, blocks, 16).collect()}
+    want = {("c", a, b): contig[max(a, 1) - 1 : max(b, 0)] for a, b in spans}
+    assert got == {k: v for k, v in want.items() if v} | {("d", 1, 9): "TT"}
+
+
+@pytest.mark.parametrize("split", ["40b", "64m"])
+def test_genome_in_blocks_however_it_is_split(spark, tmp_path, split):
+    """Contigs go on over splits; headers have comments; the last of two contigs with one id counts; lines may be empty."""
+    text = ">c1 first\nACGTAC\nGTTTGACCA\n\n" + "GATTACA\r\n" * 30 + ">empty\n>c2\n" + "A" * 70 + "\n>c3\nacgtn\n>c2 again\n" + "CCGG\n" * 9 + ">c4\nT"
+    (tmp_path / "g").mkdir()
+    put(tmp_path / "g", "a.fa", text)
+    put(tmp_path / "g", "b.fa", ">d1\nGG\nTT\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = genome.read_genome(spark, str(tmp_path / "g"), "bat", 16).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {"c1": "ACGTACGTTTGACCA" + "GATTACA" * 30, "c2": "CCGG" * 9, "c3": "acgtn", "c4": "T", "d1": "GGTT"}
+    assert {(r.chrom, r.block): r.bases for r in got} == {(c, i // 16): s[i : i + 16] for c, s in want.items() for i in range(0, len(s), 16)}
+    genome.write_genome(spark.createDataFrame(got), str(tmp_path / "blocks"))
+    assert spark.read.parquet(str(tmp_path / "blocks")).count() == len(got)
 
 
 def test_score_tables(spark, tmp_path):
