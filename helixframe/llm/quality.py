@@ -10,18 +10,19 @@ Every gram of every language is in the arrays. They are dealt by the gram into a
 order of a piece near MAX_GRAMS grams; the driver gathers and broadcasts one piece after the other. With
 several pieces a task loads them one by one for each batch, so memory stays bounded and only time grows.
 
-The band judges a document by counts without its own (held-out): its grams leave the counts of every
+Texts that are equal within a language count once in the model, whatever ids they have. The band judges a document by
+counts without its own (held-out), so without those of all its copies: its grams leave the counts of every
 order, and a gram that no other text has leaves the continuation counts below it; discounts and the number
-of characters stay those of all texts. Copies of a document are other texts. A gram counts MOST_SURPRISE
+of characters stay those of all texts. A gram counts MOST_SURPRISE
 at most, so that a key or a name in another script does not decide, and noise all through does.
 
 A language's band holds the held-out values within SPREAD quartile ranges of its quartiles,
 over all of its documents of at least MIN_WORDS words; below it lies repetitive text, above it noise.
 Quartiles come from counts of values rounded to STEP_DIGITS, so they are the same however rows are dealt out. A
-language's quartile range counts with its number of documents, the mean range of all languages with POOLED.
+quartile range counts as LEAST_SHARE of the mean range of all documents at least, for languages of a few alike texts.
 A text of n characters strays further from its language the shorter it is, so its band is wider by the
-square root of 1 + EVEN_CHARS / n. With few documents a text's own part is missed more, so the band of a
-language of m documents is wider by 1 + EVEN_DOCUMENTS / m.
+square root of 1 + EVEN_CHARS / n. Verdicts depend on how values lie, not on how many there are: the same rows
+several times over get the same verdicts.
 
 Defined results: a null or empty text has no words and fails the base rules; a null language is a
 language of its own; repeated rows are judged one by one; an empty table gives an empty table. Characters beyond U+FFFF are
@@ -46,11 +47,10 @@ ORDER = 4
 BITS = 16
 MIN_WORDS = 20
 STEP_DIGITS = 3
-POOLED = 50
-# Chosen on labels of tables of 1,000 to 50,000 documents; README has the shares that are rejected.
-SPREAD = 1.2
-EVEN_CHARS = 4000
-EVEN_DOCUMENTS = 650
+LEAST_SHARE = 0.5
+# Chosen on half of the labels of one table; README has the shares that are rejected of the others.
+SPREAD = 1.5
+EVEN_CHARS = 3000
 MOST_SURPRISE = 4.0
 MAX_GRAMS = 4_000_000
 #: Up to so many languages the table of their bands is broadcast (four numbers each).
@@ -130,7 +130,7 @@ def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def count_grams(docs: DataFrame, held: int = 2_000_000) -> DataFrame:
-    """(lang, gram, n) over all texts. A task adds up its own, and passes them on at `held` entries a language."""
+    """(lang, gram, n) over all distinct texts of each language. A task adds up its own, and passes them on at `held` entries a language."""
     small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,8 @@ def count_grams(docs: DataFrame, held: int = 2_000_000) -> DataFrame:
         for lang, (codes, counts) in own.items():
             yield out(lang, codes, counts)
 
-    return docs.select("lang", "text").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # tasks drop their own copies first, so a text that a third of all rows have is sent once a task
+    return docs.select("lang", "text").where("text <> ''").distinct().mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 # --- the model ---------------------------------------------------------------------------------
@@ -418,7 +419,7 @@ def bands(scores: DataFrame, spread: float = SPREAD) -> DataFrame:
     found = cut(ranked.groupBy("band_lang", "documents").agg(at(0.25).alias("low"), at(0.75).alias("high")))
     wide, m = F.col("high") - F.col("low"), F.col("documents")
     pooled = found.agg((F.sum(wide * m) / F.sum(m)).alias("pooled"))
-    width = (m * wide + POOLED * F.col("pooled")) / (m + POOLED) * F.lit(spread) * (1 + F.lit(float(EVEN_DOCUMENTS)) / m)
+    width = F.greatest(wide, F.lit(LEAST_SHARE) * F.col("pooled")) * F.lit(spread)
     return found.crossJoin(F.broadcast(pooled)).select("band_lang", "low", "high", width.alias("width"))
 
 

@@ -1,6 +1,7 @@
 """The pipeline's stages on their own inputs, against brute force, and on edge cases."""
 
 import pytest
+from pyspark.sql import functions as F
 from test_native import brute_dedup
 from test_near_dedup import brute
 
@@ -70,3 +71,19 @@ def test_edges(spark, sf_dir, edge, empty, edge_rows, name):
     if name == "near_dedup":  # one of the two rows of document 1, not its equal 6; rows without an id stay
         ids = [r.doc_id for r in out.collect()]
         assert ids.count(1) == 1 and 6 not in ids and ids.count(None) == 2 and len(ids) == len(edge_rows) - 2
+
+
+def test_near_dedup_loses_no_text(spark, sf_dir):
+    """Rows with one doc_id and other texts are no copies; the same rows stay however they are dealt out."""
+    text = lambda seed: " ".join(f"w{seed}x{i}" for i in range(40))
+    rows = [(1, text(1), "en"), (1, text(2), "en"), (1, text(2), "de"), (2, text(1) + " more", "en"), (3, text(3), "en"), (3, text(3), "en"), (4, text(3), "en"), (5, text(4), "en"), (6, text(5), "en"), (6, text(4), "en"), (None, text(4), "en"), (1 << 62, text(6), "en"), ((1 << 62) + 1, text(6), "en"), (9, "", "en"), (9, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("row", F.lit("clash"))
+    got = [sorted(map(tuple, pipeline.near_dedup(spark, docs.repartition(n, "text", "lang"), sf_dir).drop("row").collect()), key=str) for n in (1, 7)]
+    assert got[0] == got[1]
+    kept = [(d, t) for d, t, _ in got[0]]
+    # text 1: id 2 is its document's alone; text 2: one of the two rows of id 1; text 4: id 5; text 6: one of two
+    assert sorted((x for x in kept if x[1]), key=str) == sorted([(1, text(2)), (2, text(1) + " more"), (3, text(3)), (5, text(4)), (6, text(5)), (None, text(4)), (1 << 62, text(6))], key=str)
+    assert sum(not t for _, t in kept) == 2
+    without = [(i, t, "en") for i, t in enumerate([text(1), text(1), text(2), None, ""])]
+    plain = pipeline.near_dedup(spark, spark.createDataFrame(without, "doc_id long, text string, lang string"), sf_dir)
+    assert sorted(r.doc_id for r in plain.collect()) == [0, 2, 3, 4]
