@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import cut, removed, written
+from helixframe.llm.common import cut, free_name, removed, written
 from helixframe.llm.line_dedup import dedup_lines
 from helixframe.llm.mixing import mixed
 from helixframe.llm.near_dedup import BROADCAST_IDS, near_groups
@@ -18,6 +18,8 @@ from helixframe.llm.quality import good_documents
 
 #: Shingle sets at least this alike, in percent, are near-duplicates here.
 NEAR_PERCENT = 80
+#: From here on near_dedup numbers rows whose doc_id is not theirs alone.
+OWN_IDS = 1 << 62
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +37,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id, once. Rows without a doc_id stay."""
-    groups = near_groups(docs, NEAR_PERCENT).groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept"))
-    odd = cut(groups.where("doc_id IS NOT NULL AND (n > 1 OR NOT kept)"))
-    gone, several = odd.where("NOT kept").select("doc_id"), odd.where("kept").select("doc_id")
+    """One document of each group of near-duplicates: the one with the smallest doc_id that is its own, else the first by doc_id and content.
+
+    Of rows that are alike in all columns one stays. Rows that share a doc_id and differ are documents of their own, so
+    each goes only if its text is near that of one that stays. Rows without a doc_id stay, and so do texts without a word.
+    """
     side = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
-    left = docs.join(side(gone), "doc_id", "left_anti")
-    once = left.join(side(several), "doc_id", "left_anti")
-    return once.unionByName(left.join(side(several), "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = cut(ids.where((F.col("n") > 1) | (F.col("doc_id") >= OWN_IDS)).select("doc_id"))
+    if not repeated.limit(1).count():
+        gone = cut(near_groups(docs, NEAR_PERCENT).where("NOT kept").select("doc_id"))
+        return docs.join(side(gone), "doc_id", "left_anti").select(*docs.columns)
+    repeated = side(repeated)
+    row, key, content = (free_name(x, docs.columns) for x in ("row", "key", "content"))
+    shared = docs.join(repeated, "doc_id", "left_semi").select(*docs.columns).distinct()
+    shared = cut(shared.withColumn(content, F.sha2(F.to_json(F.struct(*docs.columns)), 256)).repartitionByRange("doc_id", content).sortWithinPartitions("doc_id", content).drop(content))
+    alone = shared.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") == 1) & (F.col("doc_id") < OWN_IDS)).select("doc_id", F.lit(True).alias("alone"))
+    as_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)
+    placed = shared.select("doc_id", as_row, F.monotonically_increasing_id().alias(key)).join(alone, "doc_id", "left").select(F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col(key) + OWN_IDS).alias(key), row)
+    others = docs.join(repeated, "doc_id", "left_anti").select(F.col("doc_id").cast("long").alias(key), as_row)
+    rows = written(others.unionByName(placed))
+    gone = cut(near_groups(rows.select(F.col(key).alias("doc_id"), F.col(f"{row}.text").alias("text")), NEAR_PERCENT).where("NOT kept").select(F.col("doc_id").alias(key)))
+    return rows.join(side(gone), key, "left_anti").select(f"{row}.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
