@@ -34,13 +34,15 @@ from pyspark.sql import functions as F
 from helixframe.llm.common import WORD, documents, small_batches, tasks_for, written
 
 WINDOW = 35
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SEGMENT_BYTES = 32 << 20
 #: Cells of a segment in each row of the sketch: some twelve for each window of SEGMENT_BYTES of text.
 CELL_BITS = 26
 ROWS = 2
 #: Words whose hashes a task keeps.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
+#: Chunks in an Arrow batch: they are large.
+CHUNKS_A_BATCH = 2
 # Odd multipliers of the two halves of a window's hash, and of their last mixing.
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -304,6 +306,7 @@ def _answers(questions: DataFrame) -> DataFrame:
 def dedup_windows(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, segment_bytes: int = SEGMENT_BYTES, cell_bits: int = CELL_BITS) -> DataFrame:
     """The rows of docs without repeated windows, as (row, n_words, n_removed, kept): words that stay, joined by one space, where any go; else the text as it was."""
     chunks = chunked(docs, chunk_bytes)
+    small_batches(docs.sparkSession, CHUNKS_A_BATCH)
     segments = tasks_for(chunks.agg(F.sum("bytes")).first()[0] or 0, segment_bytes)
     masks = written(_merged(_sketches(chunks, segments, window, cell_bits), cell_bits))
     answers = written(_answers(_questions(chunks, masks, segments, window, cell_bits)))
