@@ -55,6 +55,8 @@ MOST_SURPRISE = 4.0
 MAX_GRAMS = 4_000_000
 #: Up to so many languages the table of their bands is broadcast (four numbers each).
 BROADCAST_LANGUAGES = 10_000
+#: Up to so many hashes of repeated texts are broadcast (8 bytes each); beyond, texts are shuffled to meet them.
+BROADCAST_HASHES = 2_000_000
 #: Grams that a task should have at least in the steps of the model.
 GRAMS_A_TASK = 50_000
 # Symbols that count, and white space.
@@ -129,6 +131,15 @@ def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return code[start], np.add.reduceat(n, start)
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(lang, text), each once; empty ones are left out. Only texts whose hash repeats are shuffled, once a task each."""
+    rows = docs.select("lang", "text", F.xxhash64("lang", "text").alias("hash")).where("text <> ''")
+    often = cut(rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    side = F.broadcast(often) if often.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES else often
+    several = rows.join(side, "hash", "left_semi").select("lang", "text").distinct()
+    return rows.join(side, "hash", "left_anti").select("lang", "text").unionByName(several)
+
+
 def count_grams(docs: DataFrame, held: int = 2_000_000) -> DataFrame:
     """(lang, gram, n) over all distinct texts of each language. A task adds up its own, and passes them on at `held` entries a language."""
     small_batches(docs.sparkSession)
@@ -159,8 +170,7 @@ def count_grams(docs: DataFrame, held: int = 2_000_000) -> DataFrame:
         for lang, (codes, counts) in own.items():
             yield out(lang, codes, counts)
 
-    # tasks drop their own copies first, so a text that a third of all rows have is sent once a task
-    return docs.select("lang", "text").where("text <> ''").distinct().mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return distinct_texts(docs).mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 # --- the model ---------------------------------------------------------------------------------
