@@ -16,6 +16,7 @@ class Store:
     """The tables a query reads, by name of the table."""
 
     tables: dict[str, DataFrame]
+    spark: SparkSession | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         try:

@@ -96,21 +96,22 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("file", "line", F.get("p", 0).alias("chrom"), F.get("p", 2).alias("kind"), start.alias("start"), end.alias("end"), F.get("p", 6).alias("strand"), attributes.alias("attributes")).where("start IS NOT NULL AND end IS NOT NULL")
 
 
-def gene_index(gff: DataFrame) -> DataFrame:
-    """SRC10: (key, chrom, start, end, strand, tss). Genes and transcripts by four attributes and Dbxref, the last line of a key counting; coding spans by protein id, with and without version, before those."""
+def gene_index(gff: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """SRC10: (key, chrom, start, end, strand, tss), for each value of the columns `by`. Genes and transcripts by four attributes and Dbxref, the last line of a key counting; coding spans by protein id, with and without version, before those."""
     a = lambda k: F.try_element_at("attributes", F.lit(k))
+    key = [*by, "key"]
     keys = F.concat(F.array(a("gene"), a("Name"), a("gene_name"), a("ID")), F.transform(F.split(F.coalesce(a("Dbxref"), F.lit("")), ","), lambda x: F.trim(x)))
-    genes = gff.where(F.col("kind").isin("gene", "mRNA", "transcript")).select(F.explode(F.filter(keys, lambda k: k.isNotNull() & (k != ""))).alias("key"), "line", "chrom", "start", "end", "strand")
-    genes = dedup_first(genes.withColumn("key", F.upper("key")), ["key"], [F.col("line").desc()])
-    cds = gff.where("kind = 'CDS'").select(F.upper(F.trim(a("protein_id"))).alias("key"), "line", "chrom", "start", "end", "strand").where("key <> ''")
-    spans = cds.groupBy("key").agg(F.min("line").alias("line"), F.min_by("chrom", "line").alias("chrom"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("strand", "line").alias("strand"))
-    bare = dedup_first(spans.withColumn("key", F.substring_index("key", ".", 1)), ["key"], [F.col("line")])
-    proteins = insert_missing(spans, bare.select(*spans.columns), ["key"])
-    found = insert_missing(proteins, genes.select(*proteins.columns), ["key"])
-    return found.select("key", "chrom", "start", "end", "strand", F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end")).alias("tss"))
+    genes = gff.where(F.col("kind").isin("gene", "mRNA", "transcript")).select(*by, F.explode(F.filter(keys, lambda k: k.isNotNull() & (k != ""))).alias("key"), "line", "chrom", "start", "end", "strand")
+    genes = dedup_first(genes.withColumn("key", F.upper("key")), key, [F.col("line").desc()])
+    cds = gff.where("kind = 'CDS'").select(*by, F.upper(F.trim(a("protein_id"))).alias("key"), "line", "chrom", "start", "end", "strand").where("key <> ''")
+    spans = cds.groupBy(*key).agg(F.min("line").alias("line"), F.min_by("chrom", "line").alias("chrom"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("strand", "line").alias("strand"))
+    bare = dedup_first(spans.withColumn("key", F.substring_index("key", ".", 1)), key, [F.col("line")])
+    proteins = insert_missing(spans, bare.select(*spans.columns), key)
+    found = insert_missing(proteins, genes.select(*proteins.columns), key)
+    return found.select(*key, "chrom", "start", "end", "strand", F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end")).alias("tss"))
 
 
-def gene_coordinates(genes: DataFrame, index: DataFrame) -> DataFrame:
+def gene_coordinates(genes: DataFrame, index: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """SRC11: genes (gene_id, species_id, gene_symbol, protein_id) with the coordinates of the first of six keys that the index has."""
     accession = F.element_at(F.split(F.coalesce("protein_id", F.lit("")), "\\|"), -1)
     symbol = F.coalesce("gene_symbol", F.lit(""))
@@ -118,7 +119,7 @@ def gene_coordinates(genes: DataFrame, index: DataFrame) -> DataFrame:
     tagged = lambda tag, x: F.when(x != "", F.concat(F.lit(tag), x))
     keys = F.array(accession, F.substring_index(accession, ".", 1), bare, symbol, tagged("GENEID:", accession), tagged("GENE:", bare))
     tried = genes.select("*", F.posexplode(keys).alias("priority", "key")).withColumn("key", F.upper("key")).where("key <> ''")
-    found = tried.join(index, "key")
+    found = tried.join(index, [*by, "key"])
     return dedup_first(found, ["gene_id", "species_id"], [F.col("priority")]).drop("priority", "key")
 
 

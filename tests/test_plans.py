@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from helixframe import schemas
 from helixframe.plans import annotate as A
 from helixframe.plans import api, checks, scoring
-from helixframe.plans.pipeline import Run
 
 
 def frame(spark, name, rows):
@@ -175,55 +174,6 @@ def test_gene_annotations(spark):
     assert A.conserved_expression(calls, ["liver"]).count() == 2
 
 
-def test_staged_run(spark, store, tmp_path):
-    folder = str(tmp_path / "store")
-    for name, df in store.tables.items():
-        if name != "candidate_score":
-            df.write.parquet(f"{folder}/{name}")
-    done = Run(spark, folder).go()
-    assert done["step9"] == done["step7"] == done["step7b"] == done["step11d"] == "done" and done["step4"] == "lacks aligned"
-    assert Run(spark, folder).go()["step9"] == "skipped"
-    assert Run(spark, folder).store({"candidate_score"}).candidate_score.count() == 5
-
-
-def test_later_steps(spark, store, tmp_path):
-    folder = str(tmp_path / "store")
-    landed = {
-        "aligned": spark.createDataFrame(ALIGNED, "og string, label string, seq string"),
-        "orthogroup_member": spark.createDataFrame([("og1", "human", "P1", 1), ("og1", "bat", "B1", 1), ("og1", "bat", "B2", 2)], "og_id string, species_id string, protein_id string, place int"),
-        "protein": spark.createDataFrame([("human", "P1", "MK"), ("bat", "B1", "MR")], "species_id string, protein_id string, sequence string"),
-        "gene_protein": spark.createDataFrame([("P1", "g1")], "protein_id string, gene_id string"),
-        "substitution": spark.createDataFrame([("m1", "g1", 3, "A", "V")], "motif_id string, gene_id string, position int, ref string, alt string"),
-        "motif_consequence": spark.createDataFrame([("m1", 0.9)], "motif_id string, consequence_score double"),
-        "motif_likelihood": spark.createDataFrame([("m1", -5.0)], "motif_id string, esm1v_score double"),
-        "promoter_pair": spark.createDataFrame([("g3", "bat", 0.4), ("g0", "bat", 0.4)], "gene_id string, species_id string, promoter_divergence double"),
-        "protein_length": spark.createDataFrame([("g3", 500), ("g0", 100)], "gene_id string, length int"),
-        "coding_sequence": spark.createDataFrame([("g3", "ACGTACGTACGTACGTACGAGG")], "gene_id string, sequence string"),
-        "network_degree": spark.createDataFrame([("g3", 51)], "gene_id string, degree int"),
-        "constraint": spark.createDataFrame([("g3", 0.95)], "gene_id string, pli double"),
-        "dependency": spark.createDataFrame([("g3", -1.0)], "gene_id string, chronos double"),
-        "tissue_expression": spark.createDataFrame([("g3", {"liver": 2.0, "skin": 0.5})], "gene_id string, tpm map<string,double>"),
-    }
-    kept = ("gene", "species", "candidate_score", "evolution_score", "disease_annotation", "drug_target")
-    for name, df in (landed | {k: store.tables[k] for k in kept}).items():
-        df.write.parquet(f"{folder}/{name}")
-    done = Run(spark, folder).go()
-    steps = ("step3b", "step4", "step4d", "step6", "step10b", "step13", "step14", "step15", "step17")
-    assert {k: done[k] for k in steps} == dict.fromkeys(steps, "done") and done["step9"] == "skipped"
-    rows = lambda name: Run(spark, folder).store({name}).tables[name].collect()
-    assert {(r.species_id, r.protein_id, r.is_one_to_one) for r in rows("ortholog")} == {("human", "P1", False), ("bat", "B1", False)}
-    assert [r.motif_direction for r in rows("motif_direction")] == ["functional_shift"]
-    assert {r.og: r.dnds_pvalue for r in rows("selection_proxy")} == {"og1": pytest.approx(1 - 5 / 56 / 0.30, abs=0.02), "og2": 1.0}
-    assert [(r.gene_id, r.lineage_count, r.regulatory_score) for r in rows("regulatory_divergence")] == [("g3", 1, 0.5)]
-    therapy = {r.gene_id: (r.gene_size_bp, r.crispr_sites) for r in rows("gene_therapy_score")}
-    assert therapy == {"g3": (1800, 1), "g4": (None, None)}
-    flags = {r.gene_id: (r.hub_risk, r.is_essential, r.gtex_tissue_count) for r in rows("safety_flag")}
-    assert flags["g3"] == (True, True, 1) and flags["g4"][:2] == (False, False)
-    want = {r.gene_id: r.composite_score for r in scoring.score_phase2(Run(spark, folder).store(set(kept) | {"regulatory_divergence", "safety_flag"})).collect()}
-    assert {r.gene_id: r.composite_score for r in rows("candidate_score_final")} == want
-    assert all(r.overall_readiness_score is not None and r.readiness_tier for r in rows("preclinical_readiness"))
-
-
 def test_selection_files(spark, tmp_path):
     from helixframe.plans import evolution as E
 
