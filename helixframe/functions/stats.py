@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from helixframe.functions.sequence import let
-from helixframe.operators.relational import settled
 
 # Coefficients of the Abramowitz-Stegun approximation 7.1.26 of erf, |error| <= 1.5e-7.
 ERF_P = 0.3275911
@@ -35,42 +34,41 @@ def chi_square_1_survival(statistic: Column) -> Column:
     return F.when(statistic <= 0, 1.0).otherwise(1.0 - erf(F.sqrt(statistic / 2.0)))
 
 
-#: Ranges of values that a ranking over a whole table is dealt to.
+#: Ranges of distinct values that a ranking over a whole table is dealt to.
 RANGES = 64
 
 
-def _bounds(value: Column) -> Column:
-    return F.percentile_approx(value, F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), 1000)
+def _before(distinct: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Distinct values (by, value, rank_size) with rank_range, and the rows before them and of all as rank_before and rank_total. Nulls come first.
 
-
-def _range_of(value: Column, bounds: str) -> Column:
-    """Equal values are in one range; nulls are in the first."""
-    return F.size(F.filter(bounds, lambda b: b < value))
-
-
-def _ranges(dealt: DataFrame, part: str) -> DataFrame:
-    """Each range with the rows before it and of all, RANGES rows at most."""
-    few = Window.orderBy(part)
-    before = F.coalesce(F.sum("rank_size").over(few.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return dealt.groupBy(part).agg(F.count("*").alias("rank_size")).withColumns({"rank_before": before, "rank_total": F.sum("rank_size").over(Window.partitionBy())}).drop("rank_size")
+    Values are dealt to ranges, of which only the sizes meet in one task: RANGES rows at most for each of `by`.
+    """
+    bounds = F.percentile_approx(F.col(value), F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), 1000)
+    dealt = distinct.join(F.broadcast(distinct.groupBy(*by).agg(bounds.alias("rank_bounds"))), by) if by else distinct.crossJoin(F.broadcast(distinct.agg(bounds.alias("rank_bounds"))))
+    dealt = dealt.withColumn("rank_range", F.coalesce(F.size(F.filter("rank_bounds", lambda x: x < F.col(value))), F.lit(0))).drop("rank_bounds")
+    past = lambda over: F.coalesce(F.sum("rank_size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = dealt.groupBy(*by, "rank_range").agg(F.sum("rank_size").alias("rank_size"))
+    sizes = sizes.select(*by, "rank_range", past(Window.partitionBy(*by).orderBy("rank_range")).alias("range_before"), F.sum("rank_size").over(Window.partitionBy(*by)).alias("rank_total"))
+    placed = dealt.withColumn("rank_before", past(Window.partitionBy(*by, "rank_range").orderBy(value))).join(sizes, [*by, "rank_range"])
+    return placed.withColumn("rank_before", F.col("rank_before") + F.col("range_before")).drop("range_before")
 
 
 def average_ranks(df: DataFrame, orders: dict[str, tuple[Column, bool]], total: str | None = None) -> DataFrame:
     """Add ranks over the whole table, ties sharing the mean of their places, and if named the number of rows. orders: by name, a value and whether it ranks in descending order.
 
-    Rows are dealt to ranges of each value, and only the ranges' sizes meet in one task.
+    Distinct values are counted first, those of all orders in one pass, and ranked by their counts; rows then take the rank
+    of their value. So a value that most rows have is one row of the ranking.
     """
-    df = settled(df)
     values = {out: (-v if down else v).cast("double") for out, (v, down) in orders.items()}
-    bounds = df.agg(*[_bounds(v).alias(f"{out}_bounds") for out, v in values.items()])
-    dealt = df.crossJoin(F.broadcast(bounds)).withColumns({f"{out}_range": _range_of(v, f"{out}_bounds") for out, v in values.items()}).drop(*[f"{out}_bounds" for out in values])
-    ranked = dealt
-    for k, (out, value) in enumerate(values.items()):
-        per = Window.partitionBy(f"{out}_range").orderBy(value)
-        own = F.rank().over(per) + (F.count("*").over(per.rangeBetween(0, 0)) - 1) / 2.0
-        ranked = ranked.withColumn(out, own).join(F.broadcast(_ranges(dealt, f"{out}_range")), f"{out}_range").withColumn(out, F.col("rank_before") + F.col(out))
-        ranked = (ranked.withColumn(total, F.col("rank_total")) if total and not k else ranked).drop(f"{out}_range", "rank_before", "rank_total")
-    return ranked
+    keyed = df.withColumns({f"{out}_value": v for out, v in values.items()})
+    pairs = F.array(*[F.struct(F.lit(out).alias("rank_of"), F.col(f"{out}_value").alias("rank_value")) for out in values])
+    distinct = keyed.select(F.explode(pairs).alias("x")).groupBy("x.rank_of", "x.rank_value").agg(F.count("*").alias("rank_size"))
+    ranks = _before(distinct, ["rank_of"], "rank_value")
+    out = keyed
+    for k, name in enumerate(values):
+        own = ranks.where(F.col("rank_of") == name).select(F.col("rank_value").alias("rank_key"), (F.col("rank_before") + (F.col("rank_size") + 1) / 2.0).alias(name), *([F.col("rank_total").alias(total)] if total and not k else []))
+        out = out.join(own, F.col(f"{name}_value").eqNullSafe(F.col("rank_key"))).drop(f"{name}_value", "rank_key")
+    return out
 
 
 def rank_product(ranks: list[Column], n: Column) -> Column:
@@ -84,25 +82,23 @@ def rank_product_p(product: Column, layers: Column | int) -> Column:
     return clamp(normal_cdf((F.log(product) + k) / F.sqrt(k)), 1e-15, 1.0)
 
 
-def benjamini_hochberg(df: DataFrame, p: str, out: str, by: list[str] | None = None, tie: str | None = None) -> DataFrame:
+def benjamini_hochberg(df: DataFrame, p: str, out: str, by: list[str] | None = None) -> DataFrame:
     """Add q values of p within groups: p * m / rank, running minimum from the largest p, at most 1. Null p stays null.
 
-    Without `by` rows are dealt to ranges of p, and only the ranges' sizes and least values meet in one task.
+    Equal p have equal q, that of the last of them, so it is worked out over distinct p and their counts, dealt to ranges of p.
     """
-    have, lack = df.where(F.col(p).isNotNull()), df.where(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double"))
-    up, down = [F.col(p).asc(), *([F.col(tie).asc()] if tie else [])], [F.col(p).desc(), *([F.col(tie).desc()] if tie else [])]
-    if by:
-        raw = F.col(p) * F.count("*").over(Window.partitionBy(*by)) / F.row_number().over(Window.partitionBy(*by).orderBy(*up))
-        least = F.min(out).over(Window.partitionBy(*by).orderBy(*down).rowsBetween(Window.unboundedPreceding, 0))
-        return have.withColumn(out, raw).withColumn(out, F.least(F.lit(1.0), least)).unionByName(lack)
-    have = settled(have)
-    dealt = have.crossJoin(F.broadcast(have.agg(_bounds(F.col(p)).alias("rank_bounds")))).withColumn("rank_range", _range_of(F.col(p), "rank_bounds")).drop("rank_bounds")
-    numbered = dealt.withColumn("rank_in", F.row_number().over(Window.partitionBy("rank_range").orderBy(*up))).join(F.broadcast(_ranges(dealt, "rank_range")), "rank_range")
-    raw = numbered.withColumn(out, F.col(p) * F.col("rank_total") / (F.col("rank_before") + F.col("rank_in")))
-    later = raw.groupBy("rank_range").agg(F.min(out).alias("rank_least")).select("rank_range", F.min("rank_least").over(Window.orderBy(F.desc("rank_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("rank_later"))
-    running = F.min(out).over(Window.partitionBy("rank_range").orderBy(*down).rowsBetween(Window.unboundedPreceding, 0))
-    done = raw.withColumn(out, running).join(F.broadcast(later), "rank_range").withColumn(out, F.least(F.lit(1.0), F.col(out), F.col("rank_later")))
-    return done.drop("rank_range", "rank_in", "rank_before", "rank_total", "rank_later").unionByName(lack)
+    by = by or []
+    distinct = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("rank_value")).agg(F.count("*").alias("rank_size"))
+    raw = _before(distinct, by, "rank_value").withColumn("rank_q", F.col("rank_value") * F.col("rank_total") / (F.col("rank_before") + F.col("rank_size")))
+    per = Window.partitionBy(*by)
+    later = raw.groupBy(*by, "rank_range").agg(F.min("rank_q").alias("least")).select(*by, "rank_range", F.min("least").over(per.orderBy(F.desc("rank_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("rank_later"))
+    running = F.min("rank_q").over(Window.partitionBy(*by, "rank_range").orderBy(F.desc("rank_value")).rowsBetween(Window.unboundedPreceding, 0))
+    qs = raw.withColumn("rank_q", running).join(later, [*by, "rank_range"]).select(*by, "rank_value", F.least(F.lit(1.0), F.col("rank_q"), F.col("rank_later")).alias(out))
+    same = F.col(p) == F.col("rank_value")
+    for c in by:
+        qs = qs.withColumnRenamed(c, f"rank_by_{c}")
+        same = same & F.col(c).eqNullSafe(F.col(f"rank_by_{c}"))
+    return df.join(qs, same, "left").drop("rank_value", *[f"rank_by_{c}" for c in by])
 
 
 def min_max(value: Column, by: WindowSpec, higher_is_better: bool = True) -> Column:

@@ -7,17 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to the session's checkpoint folder, for tables that a plan reads several times; df itself where the session names no folder."""
-    context = df.sparkSession.sparkContext
-    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir", None)
-    if named is None:
-        return df
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return df.checkpoint()
-
-
 def dedup_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order."""
     return top_per_key(df, keys, order, 1)

@@ -51,7 +51,7 @@ def _tiers(spark, sf_dir):
     product = rank_product([F.col(f"rank_{k}") for k in (1, 2, 3)], F.col("genes"))
     active = (F.col("p") < 0.4).cast("int") + (F.col("n") > 20).cast("int") + (F.col("w") > 0.6).cast("int")
     scored = ranked.select("gene", active.alias("layers"), product.alias("rp")).withColumn("rank_p", F.round(rank_product_p(F.col("rp"), 3), 9))
-    q = benjamini_hochberg(scored, "rank_p", "q", tie="gene").withColumn("q", F.round("q", 6))
+    q = benjamini_hochberg(scored, "rank_p", "q").withColumn("q", F.round("q", 6))
     return q.select("gene", "q", S.rank_product_tier(F.col("q"), F.col("layers")).alias("tier"))
 
 

@@ -247,7 +247,7 @@ def pathway_enrichment(genes: DataFrame, background: int = 20000, fallback: int
     joined = sums.crossJoin(F.broadcast(drawn)).crossJoin(F.broadcast(log_factorials(genes.sparkSession, background)))
     log_p = log10_hypergeometric_tail(F.col("genes"), F.coalesce(F.nullif("size", F.lit(0)), F.lit(fallback)), F.col("drawn"), F.lit(background), F.col("lf"))
     scored = joined.select("pathway", "genes", log_p.alias("log_p"), "total").withColumn("score", r4(-F.col("log_p") / 2 + F.col("total") / 2)).withColumn("p", F.pow(F.lit(10.0), F.col("log_p")))
-    return benjamini_hochberg(scored, "p", "q", tie="pathway").select("pathway", "genes", "log_p", "score", "q")
+    return benjamini_hochberg(scored, "p", "q").select("pathway", "genes", "log_p", "score", "q")
 
 
 def meme_branches(results: DataFrame, test_species: Column) -> DataFrame:

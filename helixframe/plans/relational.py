@@ -430,7 +430,7 @@ adjusted AS (SELECT gene, p, round(least(1.0, min(q) OVER (ORDER BY r DESC ROWS
 def bh_fdr(spark, sf_dir):
     """WN4, WN6."""
     ps = _genes(spark, sf_dir).select("gene", F.when(F.col("n") > 1, F.least(F.col("p"), F.lit(1.0))).alias("p"))
-    return benjamini_hochberg(ps, "p", "q", tie="gene").select("gene", "p", F.round("q", 6).alias("q"))
+    return benjamini_hochberg(ps, "p", "q").select("gene", "p", F.round("q", 6).alias("q"))
 
 
 @query("""

@@ -53,7 +53,7 @@ def rank_product_scores(layers: DataFrame) -> DataFrame:
     for c in LAYERS[1:]:
         active = active + (F.col(c) > 0).cast("int")
     ranked = ranked.select("gene_id", active.alias("active"), product.alias("rp")).withColumn("rank_p", rank_product_p(F.col("rp"), len(used)))
-    q = benjamini_hochberg(ranked, "rank_p", "q", tie="gene_id")
+    q = benjamini_hochberg(ranked, "rank_p", "q")
     return q.select("gene_id", "rank_p", "q", "active", S.rank_product_tier(F.col("q"), F.col("active")).alias("tier"), F.round(1.0 - F.col("q"), 4).alias("composite_score"))
 
 
@@ -75,7 +75,7 @@ def score_phase1(store: Store, trait_id: str = "", test_species: tuple[str, ...]
 
 def evolution_q_values(evolution: DataFrame) -> DataFrame:
     """WN6: q values of the p values of selection, to six places."""
-    return benjamini_hochberg(evolution, "dnds_pvalue", "meme_qvalue", tie="gene_id").withColumn("meme_qvalue", F.round("meme_qvalue", 6))
+    return benjamini_hochberg(evolution, "dnds_pvalue", "meme_qvalue").withColumn("meme_qvalue", F.round("meme_qvalue", 6))
 
 
 def control_fractions(motifs: DataFrame, orthologs: DataFrame, controls: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def test_benjamini_hochberg(spark):
         p, i = known[rank - 1]
         low = min(low, p * len(known) / rank)
         want[i] = low
-    got = stats.benjamini_hochberg(spark.createDataFrame(list(enumerate(ps)), "i long, p double"), "p", "q", tie="i").collect()
+    got = stats.benjamini_hochberg(spark.createDataFrame(list(enumerate(ps)), "i long, p double"), "p", "q").collect()
     assert all((r.q is None) == (want[r.i] is None) and (r.q is None or r.q == pytest.approx(want[r.i])) for r in got)
 
 
@@ -102,3 +102,29 @@ def test_average_ranks(spark):
     rows = [(1, 5.0), (2, 3.0), (3, 5.0), (4, 1.0)]
     got = stats.average_ranks(spark.createDataFrame(rows, "i long, v double"), {"r": (F.col("v"), False), "d": (F.col("v"), True)}).collect()
     assert {r.i: (r.r, r.d) for r in got} == {1: (3.5, 1.5), 2: (2.0, 3.0), 3: (3.5, 1.5), 4: (1.0, 4.0)}
+
+
+def test_rankings_over_ties_are_dealt_evenly(spark):
+    """Nearly all rows share one value: that value is one row of the ranking, and results are those of a plain one."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    p = np.where(rng.random(4000) < 0.95, 1.0, rng.random(4000).round(3))
+    group = rng.integers(0, 3, 4000)
+    df = spark.createDataFrame(pd.DataFrame({"i": np.arange(4000), "g": group, "p": p}))
+    got = stats.average_ranks(df, {"up": (F.col("p"), False), "down": (F.col("p"), True)}, total="n").toPandas().sort_values("i")
+    assert got.up.tolist() == pd.Series(p).rank().tolist() and got.down.tolist() == pd.Series(-p).rank().tolist() and set(got.n) == {4000}
+
+    def q_of(p):
+        order = np.argsort(p, kind="stable")
+        raw = p[order] * len(p) / np.arange(1, len(p) + 1)
+        out = np.empty(len(p))
+        out[order] = np.minimum(1, np.minimum.accumulate(raw[::-1])[::-1])
+        return out
+
+    whole = stats.benjamini_hochberg(df, "p", "q").toPandas().sort_values("i")
+    assert whole.q.to_numpy() == pytest.approx(q_of(p)) and list(whole.columns) == ["i", "g", "p", "q"]
+    parts = stats.benjamini_hochberg(df, "p", "q", by=["g"]).toPandas().sort_values("i")
+    for g in range(3):
+        assert parts.q[parts.g == g].to_numpy() == pytest.approx(q_of(p[group == g]))
