@@ -134,14 +134,14 @@ def read_constraint(spark: SparkSession, path: str, symbol: str = "gene", canoni
 
 
 def read_pathogenicity(spark: SparkSession, path: str, accessions: DataFrame | None = None) -> DataFrame:
-    """SRC15: (accession, position, alt, score) of a headerless table of variants; the accessions prune it before anything else."""
-    lines = spark.read.text(path).where(~F.startswith("value", F.lit("#"))).select(F.split("value", "\t").alias("p")).where(F.size("p") >= 9)
-    rows = lines.select(F.upper(F.get("p", 5)).alias("accession"), F.get("p", 7).alias("variant"), F.get("p", 8).try_cast("double").alias("score"))
+    """SRC15: (accession, position, alt, score) of a headerless table of variants, the last line of a variant; the accessions prune it before anything else."""
+    lines = spark.read.text(path).where(~F.startswith("value", F.lit("#"))).select(F.split("value", "\t").alias("p"), F.monotonically_increasing_id().alias("line")).where(F.size("p") >= 9)
+    rows = lines.select("line", F.upper(F.get("p", 5)).alias("accession"), F.get("p", 7).alias("variant"), F.get("p", 8).try_cast("double").alias("score"))
     if accessions is not None:
         rows = rows.join(accessions.select(F.upper("accession").alias("accession")).distinct(), "accession", "left_semi")
     part = lambda i: F.regexp_extract("variant", "^([A-Z])([0-9]+)([A-Z])$", i)
     parsed = rows.where(F.col("variant").rlike("^[A-Z][0-9]+[A-Z]$") & F.col("score").isNotNull())
-    return parsed.groupBy("accession", part(2).cast("int").alias("position"), part(3).alias("alt")).agg(F.last("score").alias("score"))
+    return parsed.groupBy("accession", part(2).cast("int").alias("position"), part(3).alias("alt")).agg(F.max_by("score", "line").alias("score"))
 
 
 def read_dependency_matrix(spark: SparkSession, path: str) -> DataFrame:
