@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from helixframe.functions import scores as S
 from helixframe.functions import sequence as Q
+from helixframe.functions.sequence import AMINO_CLASS
 from helixframe.functions.stats import average_ranks, benjamini_hochberg, rank_product, rank_product_p
 from helixframe.plans import evolution as E
 from helixframe.plans.scoring import PHASE2_WEIGHTS
@@ -251,7 +252,49 @@ def permutation_p(spark, sf_dir):
     return E.permutation_p(E.convergence(motifs, E.distance_map(_FAR)), labels)
 
 
-@query()
+_TREE = "((0,4)a,((1,5)b,(2,6)c)d,(3,7)e)r;"
+
+
+def _fitch_sql() -> tuple[str, str, str]:
+    """Columns of Fitch's two passes over _TREE, a set and a state for each node, and the list of the leaves' parents."""
+    tree = E.parse_newick(_TREE)
+    below = {i: [c for c, (_, p) in enumerate(tree) if p == i] for i in range(len(tree))}
+    up, down, leaves = [], [], []
+    for i in reversed(range(len(tree))):
+        kids = below[i]
+        if kids:
+            both = " & ".join(f"(CASE WHEN s{c} <> 0 THEN s{c} ELSE -1 END)" for c in kids)
+            any_ = " | ".join(f"s{c}" for c in kids)
+            up += [" + ".join(f"l{c}" for c in kids) + f" AS l{i}", " + ".join(f"(l{c} > 0)::INT" for c in kids) + f" AS k{i}", f"CASE WHEN ({any_}) <> 0 AND ({both}) <> 0 THEN {both} ELSE {any_} END AS s{i}"]
+        else:
+            up += [f"(max(bit) FILTER (species = '{tree[i][0]}') IS NOT NULL)::INT AS l{i}", f"0 AS k{i}", f"coalesce(max(bit) FILTER (species = '{tree[i][0]}'), 0) AS s{i}"]
+            leaves.append(f"{{'species': '{tree[i][0]}', 'parent': c{tree[i][1]}, 'live': l{i}}}")
+    for i, (_, parent) in enumerate(tree):
+        above = f"c{parent}" if parent >= 0 else "0::BIGINT"
+        down.append(f"CASE WHEN k{i} = 1 OR ({above} & s{i}) <> 0 OR s{i} = 0 THEN {above} ELSE s{i} & -s{i} END AS c{i}")
+    return ", ".join(up), ", ".join(down), ", ".join(leaves)
+
+
+_UP, _DOWN, _LEAVES = _fitch_sql()
+_KLASS = " ".join(f"WHEN '{k}' THEN {v}" for k, v in AMINO_CLASS.items())
+
+
+@query(f"""
+WITH letters AS (SELECT 'GAVLIFWYSTCNQHDEKRPM' AS t), rows AS (
+  SELECT l_orderkey * 10 + l_linenumber AS motif, l_partkey AS gene, (l_suppkey % 8)::VARCHAR AS species, (l_suppkey % 4)::VARCHAR AS lineage, l_linenumber + i AS pos,
+    substr(t, ((l_partkey + i) % 20 + 1)::INT, 1) AS h, substr(t, ((l_partkey + l_suppkey + i) % 20 + 1)::INT, 1) AS a
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey, letters, unnest(generate_series(0, 4)) AS u(i)
+), changed AS (SELECT *, 1::BIGINT << (ascii(a) - 32)::INT AS bit, CASE a {_KLASS} ELSE -1 END AS klass FROM rows WHERE h <> a),
+one AS (SELECT gene, pos, species, min(bit) AS bit FROM changed GROUP BY ALL),
+up AS (SELECT gene, pos, {_UP} FROM one GROUP BY gene, pos), down AS (SELECT *, {_DOWN} FROM up WHERE l0 >= 3),
+parents AS (SELECT gene, pos, unnest([{_LEAVES}], recursive := true) FROM down),
+kept AS (SELECT c.* FROM changed c JOIN parents p USING (gene, pos, species) WHERE p.parent <> c.bit),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gene, pos, lineage ORDER BY species, motif) AS r FROM kept) WHERE r = 1),
+kinds AS (SELECT gene, pos, klass, count(*) AS n FROM firsts GROUP BY ALL),
+totals AS (SELECT gene, pos, max(n) FILTER (klass >= 0) AS most FROM kinds GROUP BY gene, pos HAVING sum(n) >= 2),
+best AS (SELECT motif, max(most) AS most FROM rows JOIN totals USING (gene, pos) GROUP BY motif)
+SELECT m.motif, coalesce(most, 0)::BIGINT AS convergent_aa FROM (SELECT DISTINCT motif FROM rows) m LEFT JOIN best USING (motif)
+""")
 def parsimony(spark, sf_dir):
     """DS17, DS18: on letters made from the keys, and a fixed tree of the regions' species."""
     line, supplier = tables(spark, sf_dir, "lineitem", "supplier")
@@ -260,7 +303,7 @@ def parsimony(spark, sf_dir):
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("motif"), F.col("l_partkey").alias("gene"), F.col("l_linenumber").cast("int").alias("start"), F.concat(*[letter(F.col("l_partkey") + i, 20) for i in range(5)]).alias("human"),
         F.concat(*[letter(F.col("l_partkey") + F.col("l_suppkey") + i, 20) for i in range(5)]).alias("animal"), (F.col("l_suppkey") % 8).cast("string").alias("species"), (F.col("l_suppkey") % 4).cast("string").alias("lineage"),
     )
-    return E.convergent_positions(rows, "((0,4)a,((1,5)b,(2,6)c)d,(3,7)e);")
+    return E.convergent_positions(rows, _TREE)
 
 
 @query("""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions.scores import phylogenetic_weight, r4
-from helixframe.functions.sequence import AMINO_CLASS, letters, literal_map
+from helixframe.functions.sequence import AMINO_CLASS, let, letters, literal_map
 from helixframe.functions.stats import benjamini_hochberg, log10_hypergeometric_tail, log_factorials
 from helixframe.operators.relational import dedup_first
 
@@ -71,19 +72,36 @@ def shuffled_labels(spark: SparkSession, lineages: dict[str, str], iterations: i
     return spark.createDataFrame(rows, "iteration int, species string, lineage string")
 
 
-def permutation_p(best: DataFrame, labels: DataFrame) -> DataFrame:
+#: Labels (species times iterations) that are broadcast at a time, four bytes each.
+DEALT_LABELS = 20_000_000
+
+
+def permutation_p(best: DataFrame, labels: DataFrame, most: int = DEALT_LABELS) -> DataFrame:
     """DS16: share of dealings in which a gene's best window has at least its own number of lineages.
 
     Labels are dealt rather than windows; a table of species by iterations goes to the tasks as numbers, and a
-    gene's dealings are counted in one array, so no row is made for each gene and iteration.
+    gene's dealings are counted in one array, so no row is made for each gene and iteration. The table goes out in
+    stretches of iterations of at most `most` labels, one after the other, and hits add up.
     """
+    facts = labels.agg(F.count_distinct("species").alias("species"), F.sort_array(F.collect_set("iteration")).alias("iterations")).first()  # iterations are a parameter, a thousand
+    iterations, step = facts["iterations"], max(1, most // max(1, facts["species"]))
+    rows = best.select("gene", "n", "species")
+    parts = [_hits(rows, labels.where(F.col("iteration").between(iterations[i], iterations[min(i + step, len(iterations)) - 1]))) for i in range(0, len(iterations), step)]
+    if not parts:
+        return rows.select("gene", F.lit(1.0).alias("p"))
+    counted = parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).groupBy("gene", "n").agg(F.sum("hits").alias("hits"))
+    return counted.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("hits") / F.lit(len(iterations)))).alias("p"))
+
+
+def _hits(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(gene, n, hits) over the dealings in labels, which are broadcast."""
     own = labels.groupBy("species").agg(F.collect_list("iteration").alias("iterations"), F.collect_list("lineage").alias("lineages")).toArrow().to_pylist()
     columns = {i: k for k, i in enumerate(sorted({i for r in own for i in r["iterations"]}))}
     codes = {name: k for k, name in enumerate(sorted({x for r in own for x in r["lineages"]} - {"Primates"}), 1)}
     dealt = np.zeros((len(own), len(columns)), np.int32)  # 0 counts as no lineage
     for k, r in enumerate(own):
         dealt[k, [columns[i] for i in r["iterations"]]] = [codes.get(x, 0) for x in r["lineages"]]
-    shared = best.sparkSession.sparkContext.broadcast((dealt, {r["species"]: k for k, r in enumerate(own)}))
+    shared = rows.sparkSession.sparkContext.broadcast((dealt, {r["species"]: k for k, r in enumerate(own)}))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealt, places = shared.value
@@ -96,9 +114,7 @@ def permutation_p(best: DataFrame, labels: DataFrame) -> DataFrame:
                 hits.append(int((new.sum(axis=0) >= n).sum()))
             yield pa.RecordBatch.from_arrays([b.column("gene"), b.column("n"), pa.array(hits, pa.int64())], names=["gene", "n", "hits"])
 
-    rows = best.select("gene", "n", "species")
-    counted = rows.mapInArrow(count, rows.select("gene", "n").schema.add("hits", "long"))
-    return counted.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("hits") / F.lit(max(1, len(columns))))).alias("p"))
+    return rows.mapInArrow(count, rows.select("gene", "n").schema.add("hits", "long"))
 
 
 # --- parsimony ---------------------------------------------------------------------------------
@@ -130,57 +146,68 @@ def parse_newick(text: str) -> list[tuple[str, int]]:
     return nodes
 
 
-def pruned(tree: list[tuple[str, int]], keep: frozenset[str]) -> list[tuple[str, int]]:
-    """The tree over some leaves; inner nodes with one child go."""
+def state_bit(residue: Column) -> Column:
+    """A residue as one bit of a long, in the order of the characters; a gap as none."""
+    return F.when(residue == "-", F.lit(0).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(residue) - 32, F.lit(64)).cast("int")))
+
+
+def bit_state(bit: Column) -> Column:
+    return F.when(bit == 0, "-").otherwise(F.char((F.bit_count(bit - 1) + 32).cast("int")))
+
+
+def fitch_parents(states: Column, tree: list[tuple[str, int]]) -> Column:
+    """DS17: array of (species, parent): the parsimonious state of each leaf's parent, as bits; empty below three known leaves.
+
+    states: map of species to state_bit(). Sets of states are bits of longs. One pass over the nodes from the leaves up
+    gives each node the intersection of its children's sets, or their union where that is empty; one from the root down
+    takes the parent's state if the set has it, else the first. Children without known leaves don't count, and a node with one
+    child that does is passed through, as if it were pruned.
+    """
     children: dict[int, list[int]] = {}
     for i, (_, parent) in enumerate(tree):
         children.setdefault(parent, []).append(i)
-    out: list[tuple[str, int]] = []
-
-    def lives(i: int) -> bool:
-        return any(map(lives, children.get(i, []))) if i in children else tree[i][0] in keep
-
-    def add(i: int, parent: int) -> None:
-        below = [c for c in children.get(i, []) if lives(c)]
-        if len(below) == 1:
-            add(below[0], parent)
-            return
-        out.append((tree[i][0], parent))
-        own = len(out) - 1
-        for c in below:
-            add(c, own)
-
-    if lives(0):
-        add(0, -1)
-    return out
-
-
-def fitch_parents(tree: list[tuple[str, int]], states: dict[str, str]) -> dict[str, str]:
-    """DS17: the parsimonious state of each leaf's parent; empty below three known leaves."""
-    small = pruned(tree, frozenset(states))
-    leaves = {i for i in range(len(small))} - {p for _, p in small}
-    if len(leaves) < 3:
-        return {}
-    sets: list[set[str]] = [set() for _ in small]
-    for i in reversed(range(len(small))):
-        if i in leaves:
-            sets[i] = {states[small[i][0]]} - {"-"}
-            continue
-        below = [sets[c] for c, (_, p) in enumerate(small) if p == i and sets[c]]
-        sets[i] = (set.intersection(*below) or set.union(*below)) if below else set()
-    chosen: list[str] = []
-    for i, (_, parent) in enumerate(small):
-        above = chosen[parent] if parent >= 0 else "-"
-        chosen.append(above if above in sets[i] else min(sets[i]) if sets[i] else above)
-    return {small[i][0]: chosen[small[i][1]] for i in leaves if small[i][1] >= 0}
+    up = list(reversed(range(len(tree))))  # children before their parents
+    place = {node: k for k, node in enumerate(up)}
+    long = lambda x: F.lit(x).cast("long")
+    nodes = F.array(*[F.struct(F.lit(tree[i][0] if i not in children else None).cast("string").alias("leaf"), F.array(*[F.lit(place[c]) for c in children.get(i, [])]).cast("array<int>").alias("below")) for i in up])
+    entry = "array<struct<leaves:int,live:int,states:bigint>>"
+
+    def climb(done: Column, node: Column) -> Column:
+        known = F.map_contains_key(states, F.coalesce(node["leaf"], F.lit("")))
+        own = F.struct(known.cast("int").alias("leaves"), F.lit(0).alias("live"), F.coalesce(F.try_element_at(states, F.coalesce(node["leaf"], F.lit(""))), long(0)).alias("states"))
+        below = F.filter(F.transform(node["below"], lambda c: F.get(done, c)), lambda x: x["leaves"] > 0)
+        sets = F.filter(F.transform(below, lambda x: x["states"]), lambda x: x != 0)
+        both, any_ = F.aggregate(sets, long(-1), lambda x, y: x.bitwiseAND(y)), F.aggregate(sets, long(0), lambda x, y: x.bitwiseOR(y))
+        found = F.when((any_ != 0) & (both != 0), both).otherwise(any_)
+        inner = F.struct(F.aggregate(below, F.lit(0), lambda n, x: n + x["leaves"]).alias("leaves"), F.size(below).alias("live"), found.alias("states"))
+        return F.concat(done, F.array(F.when(node["leaf"].isNull(), inner).otherwise(own)))
+
+    # from the root down, places run backwards; a node's parent comes before it
+    down = [(len(tree) - 1 - place[i], i) for i in range(len(tree))]
+    order = F.array(*[F.struct(F.lit(place[i]).alias("at"), F.lit(place[tree[i][1]] if tree[i][1] >= 0 else -1).alias("above")) for _, i in sorted(down)])
+
+    def descend(sets: Column):
+        def step(chosen: Column, node: Column) -> Column:
+            above = F.coalesce(F.when(node["above"] >= 0, F.get(chosen, F.lit(len(tree) - 1) - node["above"])), long(0))
+            own = F.get(sets, node["at"])
+            first = own["states"].bitwiseAND(-own["states"])
+            kept = (own["live"] == 1) | (above.bitwiseAND(own["states"]) != 0) | (own["states"] == 0)
+            return F.concat(chosen, F.array(F.when(kept, above).otherwise(first)))
+
+        return F.aggregate(order, F.array().cast("array<bigint>"), step)
+
+    leaves = F.array(*[F.struct(F.lit(tree[i][0]).alias("species"), F.lit(len(tree) - 1 - place[tree[i][1]]).alias("above")) for i in range(len(tree)) if i not in children and tree[i][1] >= 0]).cast("array<struct<species:string,above:int>>")
+    parents = lambda chosen: F.transform(F.filter(leaves, lambda x: F.map_contains_key(states, x["species"])), lambda x: F.struct(x["species"].alias("species"), F.get(chosen, x["above"]).alias("parent")))
+    sets = F.aggregate(nodes, F.array().cast(entry), climb)
+    return let(sets, lambda s: F.when(F.get(s, F.lit(len(tree) - 1))["leaves"] >= 3, let(descend(s), parents)).otherwise(F.array().cast("array<struct<species:string,parent:bigint>>")))
 
 
 def convergent_positions(motifs: DataFrame, newick: str | None = None, skip: tuple[str, ...] = ("Primates", "Other")) -> DataFrame:
     """DS18: (motif, convergent_aa): the most lineages that share a class of substituted residue at one of its positions.
 
     motifs: (motif, gene, start, human, animal, species, lineage). With a tree, only residues that differ
-    from the parsimonious state of the parent count; each position goes through Fitch's algorithm by itself,
-    so no task holds more than one position of one gene.
+    from the parsimonious state of the parent count; each position goes through Fitch's algorithm by itself, and of
+    several residues of a species there the first letter is its state.
     """
     at = F.posexplode(F.arrays_zip(letters(F.col("human")).alias("h"), letters(F.col("animal")).alias("a")))
     residues = motifs.select("motif", "gene", "start", "species", F.coalesce("lineage", F.lit("Other")).alias("lineage"), at.alias("i", "pair"))
@@ -190,19 +217,9 @@ def convergent_positions(motifs: DataFrame, newick: str | None = None, skip: tup
     # of several residues of a lineage at a position, the first species' counts
     firsts = lambda rows: dedup_first(rows, ["gene", "pos", "lineage"], [F.col("species"), F.col("motif")])
     if newick:
-        tree = parse_newick(newick)
-        per = changed.groupBy("gene", "pos").agg(F.collect_list(F.struct("species", "a")).alias("states"))
-
-        def parents(batches: Iterator) -> Iterator:
-            for pdf in batches:
-                found = []
-                for gene, pos, states in zip(pdf["gene"], pdf["pos"], pdf["states"], strict=True):
-                    of = {s["species"]: s["a"] for s in states}
-                    found += [(gene, pos, s, p) for s, p in fitch_parents(tree, of).items()]
-                yield type(pdf)(found, columns=["gene", "pos", "species", "parent"])
-
-        gene_type = dict(motifs.dtypes)["gene"]
-        changed = changed.join(per.mapInPandas(parents, f"gene {gene_type}, pos int, species string, parent string"), ["gene", "pos", "species"]).where("parent <> a")
+        states = changed.groupBy("gene", "pos", "species").agg(F.min("a").alias("a")).groupBy("gene", "pos").agg(F.map_from_entries(F.collect_list(F.struct("species", state_bit(F.col("a"))))).alias("states"))
+        parents = states.select("gene", "pos", F.explode(fitch_parents(F.col("states"), parse_newick(newick))).alias("p")).select("gene", "pos", "p.species", "p.parent")
+        changed = changed.join(parents, ["gene", "pos", "species"]).where(F.col("parent") != state_bit(F.col("a")))
     kinds = firsts(changed).groupBy("gene", "pos", "klass").agg(F.count("*").alias("n"))
     totals = kinds.groupBy("gene", "pos").agg(F.sum("n").alias("lineages"), F.max(F.when(F.col("klass") >= 0, F.col("n"))).alias("most")).where("lineages >= 2")
     best = residues.join(totals, ["gene", "pos"]).groupBy("motif").agg(F.max("most").alias("most"))

@@ -8,17 +8,87 @@ from pyspark.sql import functions as F
 from helixframe.plans import evolution as E
 
 
-def test_newick_and_pruning():
+def pruned(tree, keep):
+    """The tree over some leaves; inner nodes with one child go."""
+    below = {}
+    for i, (_, parent) in enumerate(tree):
+        below.setdefault(parent, []).append(i)
+    out = []
+
+    def lives(i):
+        return any(map(lives, below[i])) if i in below else tree[i][0] in keep
+
+    def add(i, parent):
+        kids = [c for c in below.get(i, []) if lives(c)]
+        if len(kids) == 1:
+            return add(kids[0], parent)
+        out.append((tree[i][0], parent))
+        own = len(out) - 1
+        for c in kids:
+            add(c, own)
+
+    if lives(0):
+        add(0, -1)
+    return out
+
+
+def fitch(tree, states):
+    """Fitch's algorithm on the pruned tree with sets of letters."""
+    small = pruned(tree, frozenset(states))
+    leaves = {i for i in range(len(small))} - {p for _, p in small}
+    if len(leaves) < 3:
+        return {}
+    sets = [set() for _ in small]
+    for i in reversed(range(len(small))):
+        if i in leaves:
+            sets[i] = {states[small[i][0]]} - {"-"}
+        else:
+            below = [sets[c] for c, (_, p) in enumerate(small) if p == i and sets[c]]
+            sets[i] = (set.intersection(*below) or set.union(*below)) if below else set()
+    chosen = []
+    for i, (_, parent) in enumerate(small):
+        above = chosen[parent] if parent >= 0 else "-"
+        chosen.append(above if above in sets[i] else min(sets[i]) if sets[i] else above)
+    return {small[i][0]: chosen[small[i][1]] for i in leaves if small[i][1] >= 0}
+
+
+def native(spark, tree, cases):
+    rows = spark.createDataFrame([(k, list(c.items())) for k, c in enumerate(cases)], "k int, states array<struct<species:string,a:string>>")
+    states = F.map_from_entries(F.transform("states", lambda s: F.struct(s["species"], E.state_bit(s["a"]))))
+    found = rows.select("k", E.fitch_parents(states, tree).alias("p"))
+    assert "Python" not in found._jdf.queryExecution().toString()
+    named = found.select("k", F.transform("p", lambda p: F.struct(p["species"], E.bit_state(p["parent"]))).alias("p"))
+    return {r.k: {s: a for s, a in r.p} for r in named.collect()}
+
+
+def test_newick():
     tree = E.parse_newick("((a:1,b:2)x:0.5,(c,d)y)r;")
     assert [n for n, _ in tree] == ["r", "x", "a", "b", "y", "c", "d"] and [p for _, p in tree] == [-1, 0, 1, 1, 0, 4, 4]
-    assert E.pruned(tree, frozenset("acd")) == [("r", -1), ("a", 0), ("y", 0), ("c", 2), ("d", 2)]
+    assert pruned(tree, frozenset("acd")) == [("r", -1), ("a", 0), ("y", 0), ("c", 2), ("d", 2)]
 
 
-def test_fitch():
+def test_fitch(spark):
     tree = E.parse_newick("((a,b),(c,d));")
-    assert E.fitch_parents(tree, {"a": "K", "b": "K", "c": "R", "d": "K"}) == {"a": "K", "b": "K", "c": "K", "d": "K"}
-    assert E.fitch_parents(tree, {"a": "V", "b": "A", "c": "A", "d": "-"})["a"] == "A"
-    assert E.fitch_parents(tree, {"a": "K", "b": "R"}) == {}
+    got = native(spark, tree, [{"a": "K", "b": "K", "c": "R", "d": "K"}, {"a": "V", "b": "A", "c": "A", "d": "-"}, {"a": "K", "b": "R"}, {}])
+    assert got[0] == {"a": "K", "b": "K", "c": "K", "d": "K"} and got[1]["a"] == "A" and got[2] == got[3] == {}
+
+
+def test_fitch_equals_sets_of_letters_on_random_trees(spark):
+    rng = random.Random(9)
+
+    def grown(names):
+        """A random tree with nodes of one to four children."""
+        if len(names) == 1:
+            return names[0] if rng.random() < 0.8 else f"({names[0]})"
+        cuts = sorted(rng.sample(range(1, len(names)), min(len(names) - 1, rng.randint(1, 3))))
+        return "(" + ",".join(grown(names[a:b]) for a, b in zip([0, *cuts], [*cuts, len(names)], strict=True)) + ")"
+
+    for size in (3, 5, 9, 18):
+        names = [f"s{i}" for i in range(size)]
+        tree = E.parse_newick(grown(names) + ";")
+        cases = [{s: rng.choice("KRDE-") for s in rng.sample(names, rng.randint(0, size))} for _ in range(60)]
+        got = native(spark, tree, cases)
+        assert all(got[k] == fitch(tree, c) for k, c in enumerate(cases))
 
 
 def test_convergent_positions(spark):
@@ -30,7 +100,7 @@ def test_convergent_positions(spark):
     got = {r.motif: r.convergent_aa for r in E.convergent_positions(df).collect()}
     assert got == {1: 2, 2: 2, 3: 2, 4: 2, 5: 0, 6: 2}
     with_tree = {r.motif: r.convergent_aa for r in E.convergent_positions(df, "((s1,s2),(s3,s4));").collect()}
-    parents = E.fitch_parents(E.parse_newick("((s1,s2),(s3,s4));"), {"s1": "D", "s2": "E", "s3": "W"})
+    parents = fitch(E.parse_newick("((s1,s2),(s3,s4));"), {"s1": "D", "s2": "E", "s3": "W"})
     independent = [s for s, aa in (("s1", "D"), ("s2", "E"), ("s3", "W")) if parents[s] != aa]
     assert with_tree[1] == (len([s for s in independent if s != "s3"]) if len(independent) >= 2 else 0)
 
@@ -51,6 +121,8 @@ def test_permutation_equals_python(spark):
         dealt = dict(zip(names, labels, strict=True))
         hits += len({dealt[s] for s in ("s0", "s1", "s3")} - {"Primates"}) >= 2
     assert got["g"] == pytest.approx(hits / 200) and got["h"] == 1.0
+    parts = {r.gene: r.p for r in E.permutation_p(E.convergence(motifs), E.shuffled_labels(spark, lineages, 200, 42), most=6 * 70).collect()}
+    assert parts == got  # in three stretches
 
 
 def test_proxy_and_branches(spark):
