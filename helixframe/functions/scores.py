@@ -54,9 +54,14 @@ def selection(model: Column, omega: Column, p: Column, fel: Column, busted: Colu
     return F.when(model == BRANCH_SITE, site).otherwise(other)
 
 
+def disease_id(x: Column) -> Column:
+    """SC4: EFO_0000001 as EFO:0000001."""
+    return F.upper(F.replace(x, F.lit("_"), F.lit(":")))
+
+
 def disease(has_row: Column, association: Column, gwas_p: Column, loeuf: Column, pli: Column, drug_phase: Column, indications: Column, phenotype_ids: Column, variants: Column, variant_p: Column) -> Column:
     """DS3."""
-    upper = lambda ids: F.transform(ids, lambda x: F.upper(F.replace(x, F.lit("_"), F.lit(":"))))
+    upper = lambda ids: F.transform(ids, disease_id)
     known = (F.size(indications) > 0) & (F.size(phenotype_ids) > 0)
     credit = F.when(known & ~F.arrays_overlap(upper(indications), upper(phenotype_ids)), 0.08).otherwise(0.20)
     constraint = F.when(loeuf.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - loeuf))).otherwise(capped(pli))

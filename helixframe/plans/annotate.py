@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +13,9 @@ from helixframe.functions import scores as S
 from helixframe.functions import sequence as Q
 from helixframe.operators.relational import dedup_first, overlap_join, top_per_key, upsert
 
+#: Gene ids of a batch to their sequences.
+SequenceProvider = Callable[[pa.Array], "pa.Array | list[str | None]"]
+
 # --- orthologs and motifs ----------------------------------------------------------------------
 
 
@@ -118,13 +124,14 @@ def codon_alignments(proteins: DataFrame, cds: DataFrame, coverage: float = 0.60
     rows over half gaps, over one twentieth of ambiguous bases, and repeats of an earlier label. Groups must keep
     a share and a number of their sequences.
     """
-    residues = Q.letters(F.col("seq"))
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
-    step = lambda s, c: F.when(c == "-", F.struct(s["at"].alias("at"), F.concat(s["out"], F.array(F.lit("---"))).alias("out"))).otherwise(F.struct((s["at"] + 3).alias("at"), F.concat(s["out"], F.array(F.substring(F.col("cds"), s["at"], F.lit(3)))).alias("out")))
+    placed = F.transform(Q.letters(F.col("seq")), lambda c, i: F.struct(i.alias("i"), c.alias("c")))
+    coded = F.transform(F.filter(placed, lambda x: x["c"] != "-"), lambda x, j: F.struct(x["i"].alias("i"), F.substring(F.col("cds"), j * 3 + 1, F.lit(3)).alias("codon")))
+    gaps = F.transform(F.filter(placed, lambda x: x["c"] == "-"), lambda x: F.struct(x["i"].alias("i"), F.lit("---").alias("codon")))
+    codons = F.transform(F.sort_array(F.concat(coded, gaps)), lambda x: x["codon"])
     need = F.length(F.translate("seq", "-", "")) * 3
     joined = proteins.join(cds, ["og", "label"], "left")
     size = proteins.groupBy("og").agg(F.count("*").alias("all"))
-    back = joined.where(F.length("cds") >= need).select("og", "label", F.aggregate(residues, start, step, lambda s: s["out"]).alias("codons"))
+    back = joined.where(F.length("cds") >= need).select("og", "label", codons.alias("codons"))
     stops = F.exists(F.slice("codons", 1, F.greatest(F.size("codons") - 1, F.lit(0))), lambda c: F.upper(F.translate(c, "-", "")).isin("TAA", "TAG", "TGA"))
     clean = back.where(~stops)
     per = Window.partitionBy("og")
@@ -254,6 +261,26 @@ def pocket_proximity(positions: DataFrame, pockets: DataFrame, window: int = 5)
     return positions.select("gene_id").distinct().join(hit, "gene_id", "left").select("gene_id", F.coalesce("hit", F.lit(False)).alias("proximal"))
 
 
+# --- places on chromosomes ---------------------------------------------------------------------
+
+
+def chromosome_map(genes: DataFrame, places: DataFrame) -> DataFrame:
+    """AN19: (gene_id, chrom, start), 0-based, of genes by symbol; of several places the first. places: (symbol, chrom, start)."""
+    symbols = genes.select("gene_id", F.upper(Q.symbol_before_underscore(F.col("gene_symbol"))).alias("symbol"))
+    known = places.where("chrom IS NOT NULL AND start IS NOT NULL").withColumn("symbol", F.upper("symbol"))
+    return dedup_first(symbols.join(known, "symbol"), ["gene_id"], [F.col("chrom"), F.col("start")]).select("gene_id", "chrom", F.col("start").cast("int").alias("start"))
+
+
+def conservation_near_start(chromosomes: DataFrame, track: DataFrame, reach: int = 100) -> DataFrame:
+    """AN19: (gene_id, phylop_score): mean of a track over the bases from a gene's start on. track: (chrom, pos, value), 0-based.
+
+    Places are dealt to bins as wide as the reach, so a gene meets two bins of the track.
+    """
+    near = chromosomes.select("gene_id", "chrom", "start", F.explode(F.array(*[F.floor((F.col("start") + d) / reach) for d in (0, reach - 1)])).alias("bin")).distinct()
+    hits = near.join(track.withColumn("bin", F.floor(F.col("pos") / reach)), ["chrom", "bin"]).where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + reach))
+    return hits.groupBy("gene_id").agg(F.round(F.avg("value"), 4).alias("phylop_score"))
+
+
 # --- gene annotations --------------------------------------------------------------------------
 
 
@@ -455,9 +482,32 @@ def tractability_tier(items: Column) -> Column:
     return F.coalesce(small, F.when(has("Clinical Precedence", "AB"), F.lit("B")))
 
 
-def crispr_table(genes: DataFrame, sequences: DataFrame) -> DataFrame:
-    """UDF2, SQ22: (gene_id, crispr_sites, crispr_efficiency, offtarget_risk) from whatever provides (gene_id, sequence); null where it has none."""
-    guides = genes.select("gene_id").join(sequences, "gene_id", "left").withColumn("g", Q.scored_guides(F.col("sequence")))
+def provided_sequences(genes: DataFrame, provider: SequenceProvider) -> DataFrame:
+    """UDF2: (gene_id, sequence) from a user's function, which gets the gene ids of a batch and gives as many sequences or nulls.
+
+    It runs in Spark tasks, on Arrow arrays. What it gives is checked, and an exception names the first gene of its batch.
+    """
+
+    def provide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("gene_id")
+            first = ids[0].as_py() if len(ids) else None
+            try:
+                found = provider(ids)
+                found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found if isinstance(found, pa.Array) else pa.array(found, pa.string())
+                if not (pa.types.is_string(found.type) or pa.types.is_null(found.type)) or len(found) != len(ids):
+                    raise TypeError(f"{len(ids)} texts or nulls expected, got {len(found)} of type {found.type}")
+            except Exception as error:
+                raise ValueError(f"sequence provider failed on the batch of {len(ids)} genes from {first!r}: {error}") from error
+            yield pa.RecordBatch.from_arrays([ids, found.cast(pa.string())], names=["gene_id", "sequence"])
+
+    return genes.select(F.col("gene_id").cast("string").alias("gene_id")).mapInArrow(provide, "gene_id string, sequence string")
+
+
+def crispr_table(genes: DataFrame, sequences: DataFrame | SequenceProvider) -> DataFrame:
+    """UDF2, SQ22: (gene_id, crispr_sites, crispr_efficiency, offtarget_risk) from a table (gene_id, sequence) or a function that provides sequences; null where it has none."""
+    found = sequences if isinstance(sequences, DataFrame) else provided_sequences(genes.distinct(), sequences)
+    guides = genes.select("gene_id").join(found, "gene_id", "left").withColumn("g", Q.scored_guides(F.col("sequence")))
     return guides.select("gene_id", F.col("g.sites").alias("crispr_sites"), F.col("g.mean_efficiency").alias("crispr_efficiency"), F.col("g.risk").alias("offtarget_risk"))
 
 

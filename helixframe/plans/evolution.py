@@ -10,6 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import Row, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
 
 from helixframe.functions.scores import phylogenetic_weight, r4
 from helixframe.functions.sequence import AMINO_CLASS, let, letters, literal_map
@@ -241,17 +244,67 @@ SELECTION_RESULT = "og string, status string, selection_model string, dnds_ratio
 
 
 def write_selection(results: DataFrame, path: str, batches: int) -> None:
-    """AN28: results (SELECTION_RESULT) as JSON lines, a folder for each batch of orthogroups."""
-    results.withColumn("batch", F.pmod(F.xxhash64("og"), F.lit(batches))).write.partitionBy("batch").json(path)
+    """AN28: results (SELECTION_RESULT) as JSON lines with the name og_id, a folder for each batch of orthogroups."""
+    results.withColumnRenamed("og", "og_id").withColumn("batch", F.pmod(F.xxhash64("og_id"), F.lit(batches))).write.partitionBy("batch").json(path)
 
 
 def read_selection(spark: SparkSession, path: str) -> DataFrame:
-    """AN28: (og, selection_model, dnds_ratio, dnds_pvalue) of all batches: each orthogroup's result of the highest model, then the smallest p. A file or line that isn't JSON has no og and is left out."""
-    rows = spark.read.json(path, schema=SELECTION_RESULT, recursiveFileLookup=True).where(F.col("og").isNotNull() & ~F.coalesce("status", F.lit("")).isin(*NO_RESULT))
+    """AN28: (og, selection_model, dnds_ratio, dnds_pvalue) of all batches: each orthogroup's result of the highest model, then the smallest p.
+
+    A result names its orthogroup as og_id or og; else the folder of its file is the name. A line that isn't JSON is left out.
+    """
+    raw = spark.read.schema(f"og_id string, {SELECTION_RESULT}, broken string").option("columnNameOfCorruptRecord", "broken").json(path, recursiveFileLookup=True)
+    folder = F.regexp_extract(F.input_file_name(), "([^/]+)/[^/]+$", 1)
+    named = raw.withColumn("og", F.coalesce(F.nullif("og_id", F.lit("")), F.nullif("og", F.lit("")), folder)).where("broken IS NULL").drop("og_id", "broken")
+    rows = named.where(~F.coalesce("status", F.lit("")).isin(*NO_RESULT))
     rank = F.coalesce(F.try_element_at(literal_map(MODEL_RANK), F.col("selection_model")), F.lit(0))
     return dedup_first(rows, ["og"], [rank.desc(), F.col("selection_model"), F.col("dnds_pvalue"), F.col("dnds_ratio")]).drop("status")
 
 
+@udtf
+class OrthogroupProxy:
+    """UDF3: the worker of one orthogroup as a table function: orthogroup_proxy(TABLE(aligned) PARTITION BY og).
+
+    It takes the rows (og, label, seq) of a group, as many as there are species, and gives (og, sequences, omega, p).
+    """
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument) -> AnalyzeResult:
+        if not rows.isTable or not {"og", "label", "seq"} <= {f.name for f in rows.dataType.fields}:
+            raise ValueError("a table with og, label and seq is expected")
+        schema = StructType().add("og", "string").add("sequences", "long").add("omega", "double").add("p", "double")
+        return AnalyzeResult(schema, partitionBy=[PartitioningColumn("og")], orderBy=[OrderingColumn("label")])
+
+    def __init__(self):
+        self.rows: list[tuple[str, str, str]] = []
+
+    def eval(self, row: Row) -> None:
+        self.rows.append((row["og"], row["label"], row["seq"]))
+
+    def terminate(self) -> Iterator[tuple]:
+        human = next((seq for _, label, seq in self.rows if "human" in label.lower()), None)
+        shares = []
+        for _, label, seq in self.rows:
+            if human is not None and "human" not in label.lower():
+                pairs = [(a, b) for a, b in zip(human, seq, strict=False) if a != "-" and b != "-"]
+                if pairs:
+                    shares.append(sum(a != b for a, b in pairs) / len(pairs))
+        if shares:
+            d = sum(shares) / len(shares)
+            yield self.rows[0][0], len(self.rows), d / 0.15, max(0.001, 1 - min(d / 0.30, 1.0))
+
+
+def register_functions(spark: SparkSession) -> None:
+    """UDF3: make the table functions known to SQL."""
+    spark.udtf.register("orthogroup_proxy", OrthogroupProxy)
+
+
+def named_pathways(pathways: DataFrame, names: DataFrame, sizes: DataFrame, fallback: int = 50) -> DataFrame:
+    """SC13: pathways with pathway_name, the id where none is known, and gene_count, the fallback where none or nought is known. names: (pathway_id, name); sizes: (pathway_id, size)."""
+    joined = pathways.join(names, "pathway_id", "left").join(sizes, "pathway_id", "left")
+    return joined.select(*pathways.columns, F.coalesce(F.nullif("name", F.lit("")), F.col("pathway_id")).alias("pathway_name"), F.coalesce(F.nullif("size", F.lit(0)), F.lit(fallback)).cast("int").alias("gene_count"))
+
+
 def pathway_enrichment(genes: DataFrame, background: int = 20000, fallback: int = 50, least: int = 2) -> DataFrame:
     """DS26, SC3: (pathway, genes, log_p, score, q). genes: (gene, pathways, convergence, is_candidate); pathway sizes are their gene counts in the table, or the fallback.
 

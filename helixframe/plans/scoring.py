@@ -86,6 +86,17 @@ def control_fractions(motifs: DataFrame, orthologs: DataFrame, controls: DataFra
     return genes.join(hits, "gene_id", "left").crossJoin(F.broadcast(total)).select("gene_id", F.when(F.col("controls") > 0, F.round(F.coalesce("n", F.lit(0)) / F.col("controls"), 4)).alias("control_divergence_fraction"))
 
 
+def expression_scores(scores: DataFrame, trait_id: str = "") -> DataFrame:
+    """DS10: (gene_id, expression_score) of a trait as stored, 0 where it is unknown."""
+    return scores.where(F.col("trait_id") == trait_id).select("gene_id", F.coalesce("expression_score", F.lit(0.0)).alias("expression_score"))
+
+
+def trait_disease_ids(traits: DataFrame, trait_id: str) -> DataFrame:
+    """DS13, SC4: one row with the ids of a trait's diseases, upper-case with a colon; none for an unknown trait. traits: (trait_id, disease_ids)."""
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("trait_id") == trait_id, F.col("disease_ids"))))))
+    return traits.agg(F.transform(ids, S.disease_id).alias("phenotype_ids"))
+
+
 def score_phase2(store: Store, weights: dict[str, float] = PHASE2_WEIGHTS, trait_id: str = "", first: float = 0.70, second: float = 0.40, phenotype_ids: tuple[str, ...] = (), test_species: tuple[str, ...] = (), compat: bool = True) -> DataFrame:
     """DS12: candidate_score rows of phase 2.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules of queries.
-MODULES = ("relational", "biology", "domain", "annotations", "landing", "surface", "genomes", "storage")
+MODULES = ("relational", "biology", "domain", "annotations", "landing", "surface", "genomes", "storage", "evidence")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}

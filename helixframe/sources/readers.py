@@ -190,12 +190,12 @@ def read_codeml(spark: SparkSession, path: str) -> DataFrame:
 
 def read_wig_means(spark: SparkSession, path: str, low: float = -30.0, high: float = 30.0, every_token: bool = False) -> DataFrame:
     """SRC21: (file, mean) of the last token of each line, or of every token, within bounds."""
-    lines = spark.read.text(path).select(_file().alias("file"), F.trim("value").alias("v")).where("v <> ''")
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), _file().alias("file"), F.trim("value").alias("v")).where("v <> ''")
     lines = lines.where(~F.col("v").rlike("^(#|fixedStep|variableStep|track)"))
     tokens = F.split("v", "\\s+")
-    values = lines.select("file", F.explode(tokens if every_token else F.slice(tokens, -1, 1)).alias("t"))
-    numbers = values.select("file", F.col("t").try_cast("double").alias("x")).where(F.col("x").between(low, high))
-    return numbers.groupBy("file").agg(F.round(F.avg("x"), 4).alias("mean"))
+    values = lines.select("path", "file", F.explode(tokens if every_token else F.slice(tokens, -1, 1)).alias("t"))
+    numbers = values.select("path", "file", F.col("t").try_cast("double").alias("x")).where(F.col("x").between(low, high))
+    return numbers.groupBy("path", "file").agg(F.round(F.avg("x"), 4).alias("mean")).drop("path")
 
 
 # --- results of selection tests, JSON ----------------------------------------------------------

@@ -180,11 +180,41 @@ def test_selection_files(spark, tmp_path):
     results = [("a", "ok", "proxy", 1.0, 0.01), ("a", "ok", "paml_branch_site", 2.0, 0.5), ("b", "skipped", "proxy", 1.0, 0.1), ("c", None, "other", 3.0, 0.2), ("c", "ok", "paml_no_signal", 1.0, None)]
     E.write_selection(spark.createDataFrame(results, E.SELECTION_RESULT), str(tmp_path / "r"), 4)
     (tmp_path / "r" / "broken.json").write_text("{not json")
+    for folder, text in (("OG7", '{"selection_model": "proxy", "dnds_ratio": 7.0}'), ("OG8", '{"og": "named", "dnds_ratio": 8.0}'), ("OG9", '{"og_id": "", "status": "meme_failed"}')):
+        (tmp_path / "r" / folder).mkdir()
+        (tmp_path / "r" / folder / "result.json").write_text(text)
     got = {r.og: (r.selection_model, r.dnds_ratio) for r in E.read_selection(spark, str(tmp_path / "r")).collect()}
-    assert got == {"a": ("paml_branch_site", 2.0), "c": ("paml_no_signal", 1.0)}
+    assert got == {"a": ("paml_branch_site", 2.0), "c": ("paml_no_signal", 1.0), "OG7": ("proxy", 7.0), "named": (None, 8.0)}
     assert api.traits(spark, str(tmp_path / "none.json"), "id string").count() == 0
 
 
+def test_sequences_from_a_function(spark):
+    """UDF2: a table or a function give the same guides; what a function gives is checked, and its failure names a gene."""
+    genes = spark.createDataFrame([(f"g{i}",) for i in range(5)], "gene_id string").coalesce(1)
+    known = {"g1": "ACGTACGTACGTACGTACGAGG", "g3": "TTTT"}
+    table = spark.createDataFrame(list(known.items()), "gene_id string, sequence string")
+    rows = lambda df: {r.gene_id: tuple(r)[1:] for r in df.collect()}
+    assert rows(A.crispr_table(genes, lambda ids: [known.get(i) for i in ids.to_pylist()])) == rows(A.crispr_table(genes, table))
+    for bad, why in ((lambda ids: 1 // 0, "ZeroDivision|division"), (lambda ids: ["A"], "5 texts or nulls expected, got 1"), (lambda ids: [1] * len(ids), "Expected")):
+        with pytest.raises(Exception, match=f"(?s)from 'g0'.*({why})"):
+            A.crispr_table(genes, bad).collect()
+
+
+def test_table_function_of_an_orthogroup(spark):
+    from helixframe.plans import evolution as E
+
+    E.register_functions(spark)
+    rows = spark.createDataFrame([("a", "human|1", "AC-DE"), ("a", "bat|1", "AW-DE"), ("a", "rat|1", "AC-D-"), ("b", "bat|1", "AAAA"), ("c", "human|1", "--"), ("c", "bat|1", "AA")], "og string, label string, seq string")
+    rows.createOrReplaceTempView("aligned_rows")
+    got = {r.og: (r.sequences, r.omega, r.p) for r in spark.sql("SELECT * FROM orthogroup_proxy(TABLE(aligned_rows))").collect()}
+    human = A.human_sequence(rows)
+    pairs = rows.where("NOT contains(label, 'human')").join(human, "og").select("og", F.col("human").alias("a"), F.col("seq").alias("b"))
+    want = {r.og: (r.omega, r.p) for r in E.divergence_proxy(pairs).collect() if r.omega is not None}
+    assert set(got) == set(want) == {"a"} and got["a"][0] == 3 and got["a"][1:] == pytest.approx(want["a"])
+    with pytest.raises(Exception, match="a table with og"):
+        spark.sql("SELECT * FROM orthogroup_proxy(TABLE(SELECT 1 AS x))").collect()
+
+
 def test_guides_peptides_and_ligands(spark):
     genes = spark.createDataFrame([("a",), ("b",)], "gene_id string")
     sequences = spark.createDataFrame([("a", "ACGTACGTACGTACGTACGAGG")], "gene_id string, sequence string")
