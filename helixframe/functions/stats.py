@@ -82,23 +82,49 @@ def rank_product_p(product: Column, layers: Column | int) -> Column:
     return clamp(normal_cdf((F.log(product) + k) / F.sqrt(k)), 1e-15, 1.0)
 
 
+def _grouped(df: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """Distinct non-null values and their counts, of each group: (rank_group, rank_value, rank_size). A struct of group columns compares equal where both are null."""
+    return df.where(value.isNotNull()).groupBy(F.struct(F.lit(0), *by).alias("rank_group"), value.alias("rank_value")).agg(F.count("*").alias("rank_size"))
+
+
 def benjamini_hochberg(df: DataFrame, p: str, out: str, by: list[str] | None = None) -> DataFrame:
     """Add q values of p within groups: p * m / rank, running minimum from the largest p, at most 1. Null p stays null.
 
     Equal p have equal q, that of the last of them, so it is worked out over distinct p and their counts, dealt to ranges of p.
     """
+    by, key = by or [], ["rank_group"]
+    raw = _before(_grouped(df, by, F.col(p)), key, "rank_value").withColumn("rank_q", F.col("rank_value") * F.col("rank_total") / (F.col("rank_before") + F.col("rank_size")))
+    per = Window.partitionBy(*key)
+    later = raw.groupBy(*key, "rank_range").agg(F.min("rank_q").alias("least")).select(*key, "rank_range", F.min("least").over(per.orderBy(F.desc("rank_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("rank_later"))
+    running = F.min("rank_q").over(Window.partitionBy(*key, "rank_range").orderBy(F.desc("rank_value")).rowsBetween(Window.unboundedPreceding, 0))
+    qs = raw.withColumn("rank_q", running).join(later, [*key, "rank_range"]).select(*key, "rank_value", F.least(F.lit(1.0), F.col("rank_q"), F.col("rank_later")).alias(out))
+    return df.join(qs, (F.col(p) == F.col("rank_value")) & (F.struct(F.lit(0), *by) == F.col("rank_group")), "left").drop("rank_value", "rank_group")
+
+
+def exact_percentiles(df: DataFrame, value: str, shares: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """AG6: interpolated percentiles of each group, by name; exact, without a group's values in one buffer.
+
+    Distinct values are counted, dealt to ranges and numbered by their counts; a percentile then picks the one or two
+    values that lie at its place. Nulls don't count; a group of nulls alone has null percentiles.
+    """
     by = by or []
-    distinct = df.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("rank_value")).agg(F.count("*").alias("rank_size"))
-    raw = _before(distinct, by, "rank_value").withColumn("rank_q", F.col("rank_value") * F.col("rank_total") / (F.col("rank_before") + F.col("rank_size")))
-    per = Window.partitionBy(*by)
-    later = raw.groupBy(*by, "rank_range").agg(F.min("rank_q").alias("least")).select(*by, "rank_range", F.min("least").over(per.orderBy(F.desc("rank_range")).rowsBetween(Window.unboundedPreceding, -1)).alias("rank_later"))
-    running = F.min("rank_q").over(Window.partitionBy(*by, "rank_range").orderBy(F.desc("rank_value")).rowsBetween(Window.unboundedPreceding, 0))
-    qs = raw.withColumn("rank_q", running).join(later, [*by, "rank_range"]).select(*by, "rank_value", F.least(F.lit(1.0), F.col("rank_q"), F.col("rank_later")).alias(out))
-    same = F.col(p) == F.col("rank_value")
-    for c in by:
-        qs = qs.withColumnRenamed(c, f"rank_by_{c}")
-        same = same & F.col(c).eqNullSafe(F.col(f"rank_by_{c}"))
-    return df.join(qs, same, "left").drop("rank_value", *[f"rank_by_{c}" for c in by])
+    placed = _before(_grouped(df, by, F.col(value)), ["rank_group"], "rank_value")
+    first, last = F.col("rank_before"), F.col("rank_before") + F.col("rank_size")
+    picks = []
+    for name, share in shares.items():
+        at = F.lit(share) * (F.col("rank_total") - 1)
+        for side, place in (("low", F.floor(at)), ("high", F.ceil(at))):
+            picks.append(F.max(F.when((first <= place) & (place < last), F.col("rank_value"))).alias(f"{name}_{side}"))
+    found = placed.groupBy("rank_group").agg(F.max("rank_total").alias("rank_total"), *picks)
+
+    def between(name: str, share: float) -> Column:
+        at = F.lit(share) * (F.col("rank_total") - 1)
+        low, high = F.floor(at), F.ceil(at)
+        return F.when(low == high, F.col(f"{name}_low").cast("double")).otherwise((high - at) * F.col(f"{name}_low") + (at - low) * F.col(f"{name}_high"))
+
+    values = found.select("rank_group", *[between(n, x).alias(n) for n, x in shares.items()])
+    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    return groups.join(values, F.struct(F.lit(0), *by) == F.col("rank_group"), "left").select(*by, *shares)
 
 
 def min_max(value: Column, by: WindowSpec, higher_is_better: bool = True) -> Column:

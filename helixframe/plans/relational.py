@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixframe.functions.stats import average_ranks, benjamini_hochberg, min_max, rank_product, rank_product_p
+from helixframe.functions.stats import average_ranks, benjamini_hochberg, exact_percentiles, min_max, rank_product, rank_product_p
 from helixframe.operators.relational import (
     dedup_first,
     duplicate_keys,
@@ -267,7 +267,8 @@ def filter_counts(spark, sf_dir):
 def percentile_report(spark, sf_dir):
     """AG6: exact, interpolated percentiles."""
     ps = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(*[F.round(F.percentile("l_quantity", p), 6).alias(k) for k, p in ps.items()])
+    found = exact_percentiles(table(spark, sf_dir, "lineitem"), "l_quantity", ps, ["l_returnflag"])
+    return found.select("l_returnflag", *[F.round(k, 6).alias(k) for k in ps])
 
 
 @query("SELECT quantile_cont(n, 0.5) AS median FROM (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1)")
@@ -275,7 +276,7 @@ def median_of_distinct(spark, sf_dir):
     """AG7: median of per-key distinct counts, without some keys."""
     orders, customer = tables(spark, sf_dir, "orders", "customer")
     kept = orders.join(customer.where("c_acctbal < 0"), F.col("o_custkey") == F.col("c_custkey"), "left_anti")
-    return kept.groupBy("o_custkey").agg(F.countDistinct("o_orderpriority").alias("n")).agg(F.percentile("n", 0.5).alias("median"))
+    return kept.groupBy("o_custkey").agg(F.countDistinct("o_orderpriority").alias("n")).transform(exact_percentiles, "n", {"median": 0.5})
 
 
 @query("SELECT l_shipyear, round(stddev_samp(l_extendedprice), 4) AS sd, round(avg(l_extendedprice), 4) AS mean FROM (SELECT *, year(l_shipdate) AS l_shipyear FROM lineitem) GROUP BY 1")

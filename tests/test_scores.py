@@ -128,3 +128,19 @@ def test_rankings_over_ties_are_dealt_evenly(spark):
     parts = stats.benjamini_hochberg(df, "p", "q", by=["g"]).toPandas().sort_values("i")
     for g in range(3):
         assert parts.q[parts.g == g].to_numpy() == pytest.approx(q_of(p[group == g]))
+
+
+def test_exact_percentiles(spark):
+    """As numpy has them, by group and over all, with ties, nulls, a null group, one value, and a group of nulls alone."""
+    rng = np.random.default_rng(6)
+    rows = [(None if g == 0 else f"g{g}", None if i % 11 == 0 else float(rng.integers(0, 40)) if g < 3 else float(rng.normal())) for g in range(5) for i in range(1, 200)] + [("one", 2.5), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    shares = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p73": 0.73, "p100": 1.0}
+    got = {r.g: tuple(r)[1:] for r in stats.exact_percentiles(df, "v", shares, ["g"]).collect()}
+    for g in {g for g, _ in rows}:
+        values = [v for x, v in rows if x == g and v is not None]
+        assert got[g] == (pytest.approx(tuple(np.quantile(values, list(shares.values())))) if values else (None,) * 5)
+    assert tuple(stats.exact_percentiles(df, "v", shares).first()) == pytest.approx(tuple(np.quantile([v for _, v in rows if v is not None], list(shares.values()))))
+    assert tuple(stats.exact_percentiles(df.where("false"), "v", {"p": 0.5}).first()) == (None,)
+    q = {(r.g, r.v): r.q for r in stats.benjamini_hochberg(df.where("v > 0 AND v < 1"), "v", "q", by=["g"]).collect()}
+    assert None not in q.values()
