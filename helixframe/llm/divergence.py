@@ -47,7 +47,7 @@ def count_terms(docs: DataFrame, held: int = HELD_TERMS) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             for (lang, source), (n, docs) in own.items():
                 terms = list(n)
-                columns = [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in terms], pa.int64())]
+                columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in terms], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
             own.clear()
 
