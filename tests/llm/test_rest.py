@@ -305,7 +305,7 @@ def test_bands_of_small_languages(spark):
 
 
 def test_clean_documents_stay(judged):
-    """Those that go are texts in two languages."""
+    """Of the eight that go six are texts in two languages."""
     good = judged[(judged.quality == 1) & ~judged.base_failed]
     assert good.kept.mean() >= 0.97
 
