@@ -67,10 +67,10 @@ def codon_alignments(spark, sf_dir):
     return _codons(spark, sf_dir)
 
 
-@query(f"WITH {_CODONS} SELECT og FROM alignments GROUP BY og HAVING count(*) >= 3 AND 5 * min(length(codons)) >= 300 AND sum(length(codons) - length(replace(codons, '-', ''))) <= 0.40 * sum(length(codons))")
+@query(f"WITH {_CODONS} SELECT og FROM alignments GROUP BY og HAVING count(*) >= 3 AND 12 * min(length(codons)) >= 300 AND sum(length(codons) - length(replace(codons, '-', ''))) <= 0.40 * sum(length(codons))")
 def codon_groups(spark, sf_dir):
-    """FLT10: groups that a test of selection can take; each alignment five times over, as names are short."""
-    return A.codon_alignments_pass(_codons(spark, sf_dir).withColumn("codons", F.repeat("codons", 5)))
+    """FLT10: groups that a test of selection can take; each alignment twelve times over, as names are short."""
+    return A.codon_alignments_pass(_codons(spark, sf_dir).withColumn("codons", F.repeat("codons", 12)))
 
 
 # --- files of tools ----------------------------------------------------------------------------

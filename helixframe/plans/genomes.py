@@ -15,8 +15,8 @@ from helixframe.sources import genome, readers
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
-#: Width of the blocks here: contigs of some thousand bases have several.
-WIDTH = 1024
+#: Width of the blocks here: contigs of some hundred bases have several.
+WIDTH = 128
 UPSTREAM, DOWNSTREAM = 1500, 600
 
 
