@@ -135,7 +135,7 @@ def min_max(value: Column, by: WindowSpec, higher_is_better: bool = True) -> Col
 
 
 def log10_hypergeometric_tail(k: Column, big_k: Column, n: Column, big_n: Column, log_factorials: Column) -> Column:
-    """log10 P(X >= k) for n draws from big_n with big_k marked, floored at -300.
+    """log10 P(X >= k) for n draws from big_n with big_k marked, floored at -300; NaN where more are drawn or marked than there are.
 
     log_factorials: array with ln(i!) at position i (from 0).
     """
@@ -149,7 +149,8 @@ def log10_hypergeometric_tail(k: Column, big_k: Column, n: Column, big_n: Column
     add = lambda ts, most: F.aggregate(ts, F.lit(0.0), lambda a, t: a + F.coalesce(F.exp(t - most), F.lit(0.0)))
     total = let(terms, lambda ts: let(F.array_max(ts), lambda most: most + F.log(add(ts, most))))
     found = F.when(k > top, -300.0).otherwise(total / F.lit(2.302585092994046))
-    return F.when(k <= 0, 0.0).otherwise(F.greatest(F.lit(-300.0), F.coalesce(found, F.lit(-300.0))))
+    undefined = (n > big_n) | (big_k > big_n)
+    return F.when(undefined, float("nan")).when(k <= 0, 0.0).otherwise(F.greatest(F.lit(-300.0), F.coalesce(found, F.lit(-300.0))))
 
 
 def log_factorials(spark: SparkSession, top: int) -> DataFrame:

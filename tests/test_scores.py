@@ -144,3 +144,9 @@ def test_exact_percentiles(spark):
     assert tuple(stats.exact_percentiles(df.where("false"), "v", {"p": 0.5}).first()) == (None,)
     q = {(r.g, r.v): r.q for r in stats.benjamini_hochberg(df.where("v > 0 AND v < 1"), "v", "q", by=["g"]).collect()}
     assert None not in q.values()
+
+
+def test_tail_beyond_the_background(spark):
+    table = stats.log_factorials(spark, 200)
+    tail = lambda k, big_k, n: table.select(stats.log10_hypergeometric_tail(F.lit(k), F.lit(big_k), F.lit(n), F.lit(200), F.col("lf")).alias("x")).first().x
+    assert math.isnan(tail(5, 50, 201)) and math.isnan(tail(5, 201, 50)) and tail(5, 200, 200) == 0.0
