@@ -131,7 +131,8 @@ def structure_atoms(spark, sf_dir):
     """SRC18: C-alpha atoms of fixed columns."""
     s = table(spark, sf_dir, "supplier")
     atom = F.when(F.col("s_suppkey") % 4 == 0, "CB").otherwise("CA")
-    line = F.format_string("ATOM  %5d  %s  ALA A%4d    %8.3f%8.3f%8.3f  1.00%6.2f", "s_suppkey", atom, "s_suppkey", F.col("s_acctbal") / 10, F.col("s_nationkey") / 8.0, F.lit(1.0), F.lit(50.25))
+    key = F.col("s_suppkey")
+    line = F.format_string("ATOM  %s  %s  ALA A%s    %8.3f%8.3f%8.3f  1.00%6.2f", readers.hybrid_36(key, 5), atom, readers.hybrid_36(key, 4), F.col("s_acctbal") / 10, F.col("s_nationkey") / 8.0, F.lit(1.0), F.lit(50.25))
     return readers.read_pdb_ca(spark, _text(s.select(line.alias("value")))).select("residue", "x", "y", "plddt")
 
 

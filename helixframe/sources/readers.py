@@ -163,11 +163,26 @@ def read_paf(spark: SparkSession, path: str) -> DataFrame:
     return dedup_first(rows, ["query"], [F.col("alignment_length").desc(), F.col("line")]).drop("line")
 
 
+def hybrid_36(n: Column, width: int) -> Column:
+    """Numbers for fixed columns: decimal while they fit, then in base 36 from A000, then from a000; an error beyond zzzz."""
+    first, letters = 10**width, 26 * 36 ** (width - 1)
+    coded = lambda past: F.conv((n - past + 10 * 36 ** (width - 1)).cast("string"), 10, 36)
+    lower = F.when(n < first + 2 * letters, F.lower(coded(first + letters))).otherwise(F.raise_error(F.concat(F.lit(f"no room in {width} columns for "), n.cast("string"))))
+    return F.when(n < first, F.lpad(n.cast("string"), width, " ")).when(n < first + letters, coded(first)).otherwise(lower)
+
+
+def from_hybrid_36(text: Column, width: int) -> Column:
+    first, letters = 10**width, 26 * 36 ** (width - 1)
+    value = F.conv(text, 36, 10).try_cast("int") - 10 * 36 ** (width - 1) + first
+    upper, lower = text.rlike(f"^[A-Z][0-9A-Z]{{{width - 1}}}$"), text.rlike(f"^[a-z][0-9a-z]{{{width - 1}}}$")
+    return F.when(upper, value).when(lower, value + letters).otherwise(text.try_cast("int"))
+
+
 def read_pdb_ca(spark: SparkSession, path: str) -> DataFrame:
-    """SRC18: (file, residue, x, y, z, plddt) of C-alpha atoms, by fixed columns."""
+    """SRC18: (file, residue, x, y, z, plddt) of C-alpha atoms, by fixed columns; residues over 9999 in hybrid base 36."""
     at = lambda a, n: F.trim(F.substring("value", a, n))
     atoms = spark.read.text(path).where((F.substring("value", 1, 4) == "ATOM") & (at(13, 4) == "CA"))
-    return atoms.select(_file().alias("file"), at(23, 4).try_cast("int").alias("residue"), *[at(s, 8).try_cast("double").alias(c) for c, s in (("x", 31), ("y", 39), ("z", 47))], at(61, 6).try_cast("double").alias("plddt")).where("residue IS NOT NULL AND x IS NOT NULL")
+    return atoms.select(_file().alias("file"), from_hybrid_36(at(23, 4), 4).alias("residue"), *[at(s, 8).try_cast("double").alias(c) for c, s in (("x", 31), ("y", 39), ("z", 47))], at(61, 6).try_cast("double").alias("plddt")).where("residue IS NOT NULL AND x IS NOT NULL")
 
 
 def read_pockets(spark: SparkSession, path: str) -> DataFrame:

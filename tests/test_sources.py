@@ -155,3 +155,14 @@ def test_alignments_and_dossiers(spark):
     table = [("Liver", "AAV8"), ("Heart", "AAV9"), ("Brain", "AAV9")]
     t = spark.createDataFrame([({"Liver_x": 5.0, "Heart": 9.0, "Brain": 7.0, "Skin": 1.0},)], "m map<string,double>")
     assert t.select(sinks.tissue_serotypes(F.col("m"), table).alias("s")).first().s == ["AAV9", "AAV8"]
+
+
+def test_residues_over_9999(spark, tmp_path):
+    from helixframe.plans import landing
+
+    keys = [1, 9_998, 9_999, 10_001, 59_999, 100_001, 359_999, 1_223_055, 1_223_057, 2_436_111]
+    spark.createDataFrame([(k, 12.34, 3) for k in keys], "s_suppkey long, s_acctbal double, s_nationkey int").write.parquet(str(tmp_path / "supplier.parquet"))
+    rows = landing.structure_atoms(spark, str(tmp_path)).collect()
+    assert sorted(r.residue for r in rows) == [k for k in keys if k % 4] and {(r.x, r.y, r.plddt) for r in rows} == {(1.234, 0.375, 50.25)}
+    coded = spark.createDataFrame([(9_999,), (10_000,), (1_223_055,), (1_223_056,)], "n long").select(readers.hybrid_36(F.col("n"), 4).alias("c"))
+    assert [r.c for r in coded.collect()] == ["9999", "A000", "ZZZZ", "a000"]
