@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -518,9 +519,54 @@ def peptide_columns(motifs: DataFrame) -> DataFrame:
     return motifs.withColumns({"half_life_min": half, "synthesisable": Q.synthesisable(F.col("animal_seq"), F.col("human_seq"))})
 
 
+#: Fingerprints of a gene that are compared at a time: compounds and drugs.
+COMPARED = (4096, 4096)
+
+
+def _blocks(rows: DataFrame, entry: Column, size: int, name: str) -> DataFrame:
+    """(gene_id, name): the distinct rows (gene_id, fingerprint, ...) of a gene as arrays of about `size` entries."""
+    sizes = rows.groupBy("gene_id").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64("fingerprint"), F.ceil(F.col("n") / size))
+    return rows.join(sizes, "gene_id").groupBy("gene_id", block.alias("block")).agg(F.sort_array(F.collect_list(entry)).alias(name)).drop("block")
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first of the most similar drugs of a block for each compound of a block, likeness in ten-thousandths."""
+    types = {"gene_id": pa.string(), "fingerprint": pa.list_(pa.int64()), "t": pa.int64(), "name": pa.string()}
+    for batch in batches:
+        for r in range(batch.num_rows):
+            gene, asked, drugs = (batch.column(c)[r].as_py() for c in ("gene_id", "compounds", "drugs"))
+            found = []
+            for width in {len(x) for x in asked}:
+                mine, theirs = [x for x in asked if len(x) == width], [d for d in drugs if len(d["fingerprint"]) == width]
+                if not theirs:
+                    continue
+                a, b = (np.array(x, np.int64).reshape(len(x), width).view(np.uint64) for x in (mine, [d["fingerprint"] for d in theirs]))
+                size_b = np.bitwise_count(b).sum(1, dtype=np.float64)
+                for at in range(0, len(a), 64):
+                    part = a[at : at + 64]
+                    both = np.zeros((len(part), len(b)))
+                    for k in range(width):
+                        both += np.bitwise_count(part[:, None, k] & b[None, :, k])
+                    either = np.bitwise_count(part).sum(1, dtype=np.float64)[:, None] + size_b - both
+                    t = np.floor((20000 * both + either) / np.maximum(2 * either, 1))  # rounded half up, exactly
+                    best = t.argmax(1)
+                    found += [(gene, x, int(t[n, j]), theirs[j]["name"]) for n, (x, j) in enumerate(zip(mine[at : at + 64], best.tolist(), strict=True))]
+            columns = list(zip(*found, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types.values(), strict=True)], names=list(types))
+
+
 def nearest_known_drug(compounds: DataFrame, drugs: DataFrame) -> DataFrame:
-    """AN24, SQ28: (id, tanimoto_to_known, nearest_known_drug), the first of the most similar drugs of the gene. Both have fingerprints of longs; the drugs of one target are few."""
-    listed = drugs.groupBy("gene_id").agg(F.sort_array(F.collect_list(F.struct("name", "fingerprint"))).alias("drugs"))
-    scored = compounds.join(listed, "gene_id", "left").select("id", F.transform("drugs", lambda d: F.struct(F.round(Q.tanimoto(F.col("fingerprint"), d["fingerprint"]), 4).alias("t"), d["name"].alias("name"))).alias("s"))
-    best = F.array_max(F.transform("s", lambda x: x["t"]))
-    return scored.select("id", best.alias("tanimoto_to_known"), F.get(F.filter("s", lambda x: x["t"] == best), 0)["name"].alias("nearest_known_drug"))
+    """AN24, SQ28: (id, tanimoto_to_known, nearest_known_drug), the first of the most similar drugs of the gene. Both have fingerprints of longs.
+
+    Distinct fingerprints of a gene are compared block by block, so neither a row for each pair nor all drugs of a gene meet in one row.
+    """
+    whole = F.col("gene_id").isNotNull() & F.col("fingerprint").isNotNull() & ~F.exists("fingerprint", lambda x: x.isNull())
+    asked = compounds.where(whole).select("gene_id", "fingerprint").distinct()
+    known = drugs.where(whole).groupBy("gene_id", "fingerprint").agg(F.min("name").alias("name"))
+    left, right = _blocks(asked, F.col("fingerprint"), COMPARED[0], "compounds"), _blocks(known, F.struct("name", "fingerprint"), COMPARED[1], "drugs")
+    tasks = 4 * compounds.sparkSession.sparkContext.defaultParallelism
+    pairs = left.join(right, "gene_id").repartition(tasks)  # a pair of blocks is work for a whole task, however few bytes it has
+    found = pairs.select(F.col("gene_id").cast("string"), "compounds", "drugs").mapInArrow(_nearest, "gene_id string, fingerprint array<long>, t long, name string")
+    best = found.groupBy("gene_id", "fingerprint").agg(F.min(F.struct((-F.col("t")).alias("t"), "name")).alias("best")).select("gene_id", "fingerprint", (-F.col("best.t") / 10000).alias("t"), "best.name")
+    return compounds.join(best.hint("merge"), ["gene_id", "fingerprint"], "left").select("id", F.col("t").alias("tanimoto_to_known"), F.col("name").alias("nearest_known_drug"))

@@ -241,3 +241,21 @@ def test_supermatrix_query_takes_all_parts(spark, tmp_path):
     # groups join in the order of their number
     want = {str(s): "".join(groups[g].get(s, "-" * max(map(len, groups[g].values()))) for g in sorted(groups)) for s in range(4)}
     assert {r.species: r.sequence for r in domain.supermatrix(spark, str(tmp_path)).collect()} == want
+
+
+def test_nearest_drug_over_blocks(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(A, "COMPARED", (5, 7))
+    rng = random.Random(3)
+    prints = lambda: [rng.getrandbits(63) - (1 << 62), rng.getrandbits(9)]
+    compounds = [("gh"[k % 2], f"c{k // 2}", prints()) for k in range(60)] + [("g", "short", [3]), ("g", "none", None), ("g", "zero", [0, 0]), ("i", "alone", [1, 1])]
+    drugs = [("gh"[k % 2], f"d{k}", prints()) for k in range(60)] + [("g", "copy", [3, 3]), ("g", "a copy", [3, 3]), ("g", "null", None)]
+    compounds.append(("g", "like", [3, 3]))
+    got = A.nearest_known_drug(spark.createDataFrame(compounds, "gene_id string, id string, fingerprint array<long>"), spark.createDataFrame(drugs, "gene_id string, name string, fingerprint array<long>"))
+    ones = lambda x, y, op: sum(bin(op(a, b) & (2**64 - 1)).count("1") for a, b in zip(x, y, strict=True))
+    want = []
+    for gene, key, x in compounds:
+        t = [(-((20000 * ones(x, y, int.__and__) + ones(x, y, int.__or__)) // max(1, 2 * ones(x, y, int.__or__))) / 10000, n) for g, n, y in drugs if g == gene and x and y and len(x) == len(y)]
+        want.append((key, -min(t)[0], min(t)[1]) if t else (key, None, None))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
