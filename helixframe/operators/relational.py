@@ -19,6 +19,17 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int, ran
     return out if rank else out.drop(name)
 
 
+def tasks_for(df: DataFrame, rows: int, each: int = 250_000) -> int:
+    """Tasks for so many rows, four for each core at least: adaptive execution would merge them by compressed bytes."""
+    return max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // each))
+
+
+def dealt_once(df: DataFrame, tasks: int, key: str) -> DataFrame:
+    """df dealt to tasks by one key; joins and groups by that and further keys then need no shuffle of their own."""
+    df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return df.repartition(tasks, key)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of more than one row, with their counts as n."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
