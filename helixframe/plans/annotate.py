@@ -303,11 +303,12 @@ def protective_variants(variants: DataFrame, divergent: DataFrame, traits: DataF
 
     variants: (gene_id, variant_id, hgvsp); divergent: (gene_id, position, animal_aa); traits: (gene_id, trait, pvalue). Positions are spread over the reach, so the join is by equality.
     """
+    Both joins are by sorting: the tables of genes are small as files, but not as rows, and would be broadcast by the size of their files.
     parsed = variants.withColumn("p", Q.hgvs_protein(F.col("hgvsp"))).where("p IS NOT NULL").select("gene_id", "variant_id", F.col("p.position").alias("position"), F.col("p.alt").alias("alt"))
     near = divergent.select("gene_id", "animal_aa", F.explode(F.sequence(F.col("position") - reach, F.col("position") + reach)).alias("position")).distinct()
-    hits = parsed.join(near, ["gene_id", "position"]).where(Q.similar_amino_acids(F.col("alt"), F.col("animal_aa"))).groupBy("gene_id").agg(F.countDistinct("variant_id").alias("protective_variant_count"))
+    hits = parsed.join(near.hint("merge"), ["gene_id", "position"]).where(Q.similar_amino_acids(F.col("alt"), F.col("animal_aa"))).groupBy("gene_id").agg(F.countDistinct("variant_id").alias("protective_variant_count"))
     best = dedup_first(traits.where("pvalue < 1.0"), ["gene_id"], [F.col("pvalue"), F.col("trait")])
-    return hits.join(best, "gene_id", "left").select("gene_id", "protective_variant_count", F.col("trait").alias("best_protective_trait"), F.col("pvalue").alias("protective_variant_pvalue"))
+    return hits.join(best.hint("merge"), "gene_id", "left").select("gene_id", "protective_variant_count", F.col("trait").alias("best_protective_trait"), F.col("pvalue").alias("protective_variant_pvalue"))
 
 
 def safety_flags(genes: DataFrame, degrees: DataFrame, constraint: DataFrame, depmap: DataFrame, tissues: DataFrame) -> DataFrame:
