@@ -75,7 +75,7 @@ def shuffled_labels(spark: SparkSession, lineages: dict[str, str], iterations: i
     return spark.createDataFrame(rows, "iteration int, species string, lineage string")
 
 
-#: Labels (species times iterations) that are broadcast at a time, four bytes each.
+#: Labels (species times iterations) that are broadcast at a time, a byte each for up to 255 lineages.
 DEALT_LABELS = 20_000_000
 
 
@@ -86,35 +86,56 @@ def permutation_p(best: DataFrame, labels: DataFrame, most: int = DEALT_LABELS)
     gene's dealings are counted in one array, so no row is made for each gene and iteration. The table goes out in
     stretches of iterations of at most `most` labels, one after the other, and hits add up.
     """
-    facts = labels.agg(F.count_distinct("species").alias("species"), F.sort_array(F.collect_set("iteration")).alias("iterations")).first()  # iterations are a parameter, a thousand
+    facts = labels.agg(F.count_distinct("species").alias("species"), F.sort_array(F.collect_set("iteration")).alias("iterations"), F.sort_array(F.collect_set("lineage")).alias("lineages")).first()  # iterations are a parameter, a thousand
     iterations, step = facts["iterations"], max(1, most // max(1, facts["species"]))
+    codes = {name: k for k, name in enumerate((x for x in facts["lineages"] if x != "Primates"), 1)}
     rows = best.select("gene", "n", "species")
-    parts = [_hits(rows, labels.where(F.col("iteration").between(iterations[i], iterations[min(i + step, len(iterations)) - 1]))) for i in range(0, len(iterations), step)]
-    if not parts:
+    stretches = [iterations[i : i + step] for i in range(0, len(iterations), step)]
+    if not stretches:
         return rows.select("gene", F.lit(1.0).alias("p"))
+    if len(stretches) > 1:  # each stretch reads the windows again
+        rows = rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.localCheckpoint()
+    parts = [_hits(rows, labels.where(F.col("iteration").between(x[0], x[-1])), x, codes) for x in stretches]
     counted = parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).groupBy("gene", "n").agg(F.sum("hits").alias("hits"))
     return counted.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("hits") / F.lit(len(iterations)))).alias("p"))
 
 
-def _hits(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(gene, n, hits) over the dealings in labels, which are broadcast."""
-    own = labels.groupBy("species").agg(F.collect_list("iteration").alias("iterations"), F.collect_list("lineage").alias("lineages")).toArrow().to_pylist()
-    columns = {i: k for k, i in enumerate(sorted({i for r in own for i in r["iterations"]}))}
-    codes = {name: k for k, name in enumerate(sorted({x for r in own for x in r["lineages"]} - {"Primates"}), 1)}
-    dealt = np.zeros((len(own), len(columns)), np.int32)  # 0 counts as no lineage
-    for k, r in enumerate(own):
-        dealt[k, [columns[i] for i in r["iterations"]]] = [codes.get(x, 0) for x in r["lineages"]]
-    shared = rows.sparkSession.sparkContext.broadcast((dealt, {r["species"]: k for k, r in enumerate(own)}))
+#: Species of genes that are looked up at a time.
+LOOKED_UP = 4096
+
+
+def _hits(rows: DataFrame, labels: DataFrame, iterations: list[int], codes: dict[str, int]) -> DataFrame:
+    """(gene, n, hits) over the dealings in labels, which come as numbers and are broadcast."""
+    code = F.coalesce(F.try_element_at(literal_map(codes), F.col("lineage")), F.lit(0)) if codes else F.lit(0)
+    own = labels.groupBy("species").agg(F.collect_list(F.col("iteration").cast("int")).alias("iterations"), F.collect_list(code.cast("short" if len(codes) < 1 << 15 else "int")).alias("codes")).toArrow()
+    dealt = np.zeros((own.num_rows + 1, len(iterations)), np.uint8 if len(codes) < 256 else np.int32)  # the first row is of no species, 0 counts as no lineage
+    done = 1
+    for b in own.to_batches(max_chunksize=1000):
+        row = np.repeat(np.arange(done, done + b.num_rows), b.column("codes").value_lengths().to_numpy())
+        dealt[row, np.searchsorted(iterations, b.column("iterations").flatten().to_numpy())] = b.column("codes").flatten().to_numpy()
+        done += b.num_rows
+    shared = rows.sparkSession.sparkContext.broadcast((dealt, {x: k for k, x in enumerate(own.column("species").to_pylist(), 1)}))
+    kinds = len(codes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealt, places = shared.value
+        # lineages are bits of words, 8 or 64 to a word; a window's are those of its species together
+        word, dtype = (8, np.uint8) if kinds <= 8 else (64, np.uint64)
+        bits = np.zeros((-(-kinds // word), kinds + 1), dtype)
+        for k in range(kinds):
+            bits[k // word, k + 1] = 1 << (k % word)
         for b in batches:
-            hits = []
-            for n, species in zip(b.column("n").to_pylist(), b.column("species").to_pylist(), strict=True):
-                at = [places[x] for x in set(species or []) if x in places]
-                found = np.sort(dealt[at], axis=0)
-                new = (found > 0) & (np.concatenate([np.full((1, dealt.shape[1]), True), found[1:] != found[:-1]]) if at else found > 0)
-                hits.append(int((new.sum(axis=0) >= n).sum()))
+            at = [[0, *(places[x] for x in set(species or []) if x in places)] for species in b.column("species").to_pylist()]
+            least, hits, i = b.column("n").to_numpy(zero_copy_only=False), np.zeros(len(at), np.int64), 0
+            while i < len(at):
+                until, size = i, 0
+                while until < len(at) and (until == i or size + len(at[until]) <= LOOKED_UP):
+                    size, until = size + len(at[until]), until + 1
+                first = np.cumsum([0] + [len(x) for x in at[i : until - 1]])
+                found = dealt[np.concatenate(at[i:until])]
+                lineages = sum((np.bitwise_count(np.bitwise_or.reduceat(w[found], first, axis=0)).astype(np.int32) for w in bits), np.zeros((until - i, dealt.shape[1]), np.int32))
+                hits[i:until] = (lineages >= least[i:until, None]).sum(axis=1)
+                i = until
             yield pa.RecordBatch.from_arrays([b.column("gene"), b.column("n"), pa.array(hits, pa.int64())], names=["gene", "n", "hits"])
 
     return rows.mapInArrow(count, rows.select("gene", "n").schema.add("hits", "long"))
