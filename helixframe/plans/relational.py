@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from helixframe.functions.stats import average_ranks, benjamini_hochberg, exact_percentiles, min_max, rank_product, rank_product_p
 from helixframe.operators.relational import (
+    dealt_once,
     dedup_first,
     duplicate_keys,
     half_open_bins,
@@ -225,7 +226,10 @@ def position_feature(spark, sf_dir):
     motifs, domains = _intervals(spark, sf_dir)
     spots = domains.select("gene", F.explode(F.sequence("d_start", "d_end")).alias("pos"), (F.col("ordinal") % 6).alias("priority")).groupBy("gene", "pos").agg(F.min("priority").alias("priority"))
     residues = motifs.select("motif", "k", "gene", F.explode(F.sequence("m_start", "m_end")).alias("pos"))
-    return residues.join(spots, ["gene", "pos"]).groupBy("motif", "k").agg(F.min("priority").alias("best"))
+    return residues.join(spots.hint("shuffle_hash"), ["gene", "pos"]).groupBy("motif", "k").agg(F.min("priority").alias("best"))
+    # lines are dealt by gene and only then spread over positions, so positions are never shuffled
+    tasks = tasks_for(motifs, motifs.count())
+    motifs, domains = dealt_once(motifs, tasks, "gene"), dealt_once(domains, tasks, "gene")
 
 
 @query("""
