@@ -19,6 +19,7 @@ from helixframe.operators.relational import (
     overlap_join,
     share_of_total,
     symmetric_lookup,
+    tasks_for,
     top_per_key,
 )
 
@@ -127,7 +128,9 @@ def motif_per_species(spark, sf_dir):
     """JN2, AG2, AG3: the central fact join, with counts and means."""
     line, supplier, nation, region = tables(spark, sf_dir, "lineitem", "supplier", "nation", "region")
     species = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined = line.join(species, F.col("l_suppkey") == F.col("s_suppkey"))
+    # dealt by both keys first, so that distinct parts are found in tasks of bounded size and once
+    lines = line.select("l_suppkey", "l_partkey", "l_discount").repartition(tasks_for(line, line.count(), 1_000_000), "l_suppkey", "l_partkey")
+    joined = lines.withColumnRenamed("l_suppkey", "s_suppkey").join(species, "s_suppkey")
     return joined.groupBy("r_name", "s_suppkey").agg(F.count("*").alias("motifs"), F.countDistinct("l_partkey").alias("genes"), F.round(F.avg("l_discount"), 6).alias("mean_divergence"))
 
 
@@ -224,12 +227,12 @@ SELECT motif, k, min(priority) AS best FROM (SELECT motif, k, gene, unnest(gener
 def position_feature(spark, sf_dir):
     """JN14: the best feature of a motif's residues."""
     motifs, domains = _intervals(spark, sf_dir)
-    spots = domains.select("gene", F.explode(F.sequence("d_start", "d_end")).alias("pos"), (F.col("ordinal") % 6).alias("priority")).groupBy("gene", "pos").agg(F.min("priority").alias("priority"))
-    residues = motifs.select("motif", "k", "gene", F.explode(F.sequence("m_start", "m_end")).alias("pos"))
-    return residues.join(spots.hint("shuffle_hash"), ["gene", "pos"]).groupBy("motif", "k").agg(F.min("priority").alias("best"))
     # lines are dealt by gene and only then spread over positions, so positions are never shuffled
     tasks = tasks_for(motifs, motifs.count())
     motifs, domains = dealt_once(motifs, tasks, "gene"), dealt_once(domains, tasks, "gene")
+    spots = domains.select("gene", F.explode(F.sequence("d_start", "d_end")).alias("pos"), (F.col("ordinal") % 6).alias("priority")).groupBy("gene", "pos").agg(F.min("priority").alias("priority"))
+    residues = motifs.select("motif", "k", "gene", F.explode(F.sequence("m_start", "m_end")).alias("pos"))
+    return residues.join(spots.hint("shuffle_hash"), ["gene", "pos"]).groupBy("motif", "k").agg(F.min("priority").alias("best"))
 
 
 @query("""
