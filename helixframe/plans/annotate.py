@@ -508,8 +508,10 @@ def provided_sequences(genes: DataFrame, provider: SequenceProvider) -> DataFram
 
 def crispr_table(genes: DataFrame, sequences: DataFrame | SequenceProvider) -> DataFrame:
     """UDF2, SQ22: (gene_id, crispr_sites, crispr_efficiency, offtarget_risk) from a table (gene_id, sequence) or a function that provides sequences; null where it has none."""
-    found = sequences if isinstance(sequences, DataFrame) else provided_sequences(genes.distinct(), sequences)
-    guides = genes.select("gene_id").join(found, "gene_id", "left").withColumn("g", Q.scored_guides(F.col("sequence")))
+    # ids are few bytes, so they are dealt to a number of tasks; guides are found where sequences are
+    spread = lambda df: df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, "gene_id")
+    found = sequences if isinstance(sequences, DataFrame) else provided_sequences(spread(genes.select("gene_id")).distinct(), sequences)
+    guides = spread(genes.select("gene_id")).join(found.select("gene_id", Q.scored_guides(F.col("sequence")).alias("g")).hint("merge"), "gene_id", "left")
     return guides.select("gene_id", F.col("g.sites").alias("crispr_sites"), F.col("g.mean_efficiency").alias("crispr_efficiency"), F.col("g.risk").alias("offtarget_risk"))
 
 
