@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from helixframe.functions import scores as S
 from helixframe.functions import sequence as Q
-from helixframe.operators.relational import dedup_first, overlap_join, top_per_key, upsert
+from helixframe.operators.relational import dedup_first, overlap_join, tasks_for, top_per_key, upsert
 
 #: Gene ids of a batch to their sequences.
 SequenceProvider = Callable[[pa.Array], "pa.Array | list[str | None]"]
@@ -161,12 +161,13 @@ def regulatory_divergence(regions: DataFrame, species: DataFrame, sharing: int =
     A position diverges if enough species and no control differ from human there, and converges if they are of several lineages.
     """
     keys = ["gene_id", "region_type"]
+    regions = regions.repartition(tasks_for(regions, regions.count(), 20_000), *keys)  # a text has many positions, which stay with their region
     human = regions.where("species_id = 'human' AND sequence <> ''").select(*keys, F.col("sequence").alias("human"))
-    others = regions.where("species_id <> 'human' AND sequence <> ''").join(F.broadcast(species), "species_id").join(human, keys)
+    others = regions.where("species_id <> 'human' AND sequence <> ''").join(F.broadcast(species), "species_id").join(human.hint("merge"), keys)
     spots = others.select(*keys, "species_id", F.coalesce("is_control", F.lit(False)).alias("control"), F.coalesce("lineage", F.lit("Unknown")).alias("lineage"), F.explode(Q.variant_positions(F.col("sequence"), F.col("human"))).alias("pos"))
     per = spots.groupBy(*keys, "pos").agg(F.countDistinct(F.when(~F.col("control"), F.col("species_id"))).alias("n"), F.countDistinct(F.when(~F.col("control"), F.col("lineage"))).alias("lineages"), F.max("control").alias("control"))
     counts = per.where((F.col("n") >= sharing) & ~F.col("control")).groupBy(*keys).agg(F.count("*").alias("divergent"), F.count_if(F.col("lineages") >= clusters).alias("convergent"))
-    return human.select(*keys).join(counts, keys, "left").select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("divergent", "convergent")])
+    return human.select(*keys).join(counts.hint("merge"), keys, "left").select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("divergent", "convergent")])
 
 
 def region_scores(alignments: DataFrame, divergence: DataFrame, species: DataFrame) -> DataFrame:
@@ -302,8 +303,8 @@ def protective_variants(variants: DataFrame, divergent: DataFrame, traits: DataF
     """JN12, AN20, SQ19, FLT12: (gene_id, protective_variant_count, best_protective_trait, protective_variant_pvalue).
 
     variants: (gene_id, variant_id, hgvsp); divergent: (gene_id, position, animal_aa); traits: (gene_id, trait, pvalue). Positions are spread over the reach, so the join is by equality.
-    """
     Both joins are by sorting: the tables of genes are small as files, but not as rows, and would be broadcast by the size of their files.
+    """
     parsed = variants.withColumn("p", Q.hgvs_protein(F.col("hgvsp"))).where("p IS NOT NULL").select("gene_id", "variant_id", F.col("p.position").alias("position"), F.col("p.alt").alias("alt"))
     near = divergent.select("gene_id", "animal_aa", F.explode(F.sequence(F.col("position") - reach, F.col("position") + reach)).alias("position")).distinct()
     hits = parsed.join(near.hint("merge"), ["gene_id", "position"]).where(Q.similar_amino_acids(F.col("alt"), F.col("animal_aa"))).groupBy("gene_id").agg(F.countDistinct("variant_id").alias("protective_variant_count"))

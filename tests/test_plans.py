@@ -259,3 +259,26 @@ def test_nearest_drug_over_blocks(spark, monkeypatch):
         t = [(-((20000 * ones(x, y, int.__and__) + ones(x, y, int.__or__)) // max(1, 2 * ones(x, y, int.__or__))) / 10000, n) for g, n, y in drugs if g == gene and x and y and len(x) == len(y)]
         want.append((key, -min(t)[0], min(t)[1]) if t else (key, None, None))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_protective_variants_broadcast_nothing(spark):
+    variants = spark.createDataFrame([("g", "v", "x:p.Ala5Val")], "gene_id string, variant_id string, hgvsp string")
+    divergent = spark.createDataFrame([("g", 4, "I")], "gene_id string, position int, animal_aa string")
+    found = A.protective_variants(variants, divergent, spark.createDataFrame([("g", "t", 0.5)], "gene_id string, trait string, pvalue double"))
+    assert [tuple(r) for r in found.collect()] == [("g", 1, "t", 0.5)]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_positions_are_not_shuffled(spark, sf_dir):
+    from helixframe.plans import relational
+
+    # lines and domains are dealt by gene, then the results of motifs; no exchange by position
+    plan = relational.position_feature(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_distinct_parts_are_dealt_by_both_keys(spark, sf_dir):
+    from helixframe.plans import relational
+
+    plan = relational.motif_per_species(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
