@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helixframe.operators.relational import dedup_first, insert_missing
+from helixframe.operators.relational import dedup_first, insert_missing, tasks_for
 
 
 def _file() -> Column:
@@ -99,15 +99,17 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
 def gene_index(gff: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """SRC10: (key, chrom, start, end, strand, tss), for each value of the columns `by`. Genes and transcripts by four attributes and Dbxref, the last line of a key counting; coding spans by protein id, with and without version, before those."""
     a = lambda k: F.try_element_at("attributes", F.lit(k))
-    key = [*by, "key"]
+    key, tasks = [*by, "key"], tasks_for(gff, gff.count(), 100_000)
+    dealt = lambda df: df.repartition(tasks, *key)
     keys = F.concat(F.array(a("gene"), a("Name"), a("gene_name"), a("ID")), F.transform(F.split(F.coalesce(a("Dbxref"), F.lit("")), ","), lambda x: F.trim(x)))
     genes = gff.where(F.col("kind").isin("gene", "mRNA", "transcript")).select(*by, F.explode(F.filter(keys, lambda k: k.isNotNull() & (k != ""))).alias("key"), "line", "chrom", "start", "end", "strand")
-    genes = dedup_first(genes.withColumn("key", F.upper("key")), key, [F.col("line").desc()])
+    genes = dedup_first(dealt(genes.withColumn("key", F.upper("key"))), key, [F.col("line").desc()])
     cds = gff.where("kind = 'CDS'").select(*by, F.upper(F.trim(a("protein_id"))).alias("key"), "line", "chrom", "start", "end", "strand").where("key <> ''")
-    spans = cds.groupBy(*key).agg(F.min("line").alias("line"), F.min_by("chrom", "line").alias("chrom"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("strand", "line").alias("strand"))
-    bare = dedup_first(spans.withColumn("key", F.substring_index("key", ".", 1)), key, [F.col("line")])
-    proteins = insert_missing(spans, bare.select(*spans.columns), key)
-    found = insert_missing(proteins, genes.select(*proteins.columns), key)
+    spans = dealt(cds).groupBy(*key).agg(F.min("line").alias("line"), F.min_by("chrom", "line").alias("chrom"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("strand", "line").alias("strand"))
+    bare = dedup_first(dealt(spans.withColumn("key", F.substring_index("key", ".", 1))), key, [F.col("line")])
+    known = lambda df: df.select(*key).distinct().hint("merge")
+    proteins = spans.unionByName(bare.select(*spans.columns).join(known(spans), key, "left_anti"))
+    found = proteins.unionByName(genes.select(*proteins.columns).join(known(dealt(proteins.select(*key))), key, "left_anti"))
     return found.select(*key, "chrom", "start", "end", "strand", F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end")).alias("tss"))
 
 
@@ -119,8 +121,10 @@ def gene_coordinates(genes: DataFrame, index: DataFrame, by: tuple[str, ...] = (
     tagged = lambda tag, x: F.when(x != "", F.concat(F.lit(tag), x))
     keys = F.array(accession, F.substring_index(accession, ".", 1), bare, symbol, tagged("GENEID:", accession), tagged("GENE:", bare))
     tried = genes.select("*", F.posexplode(keys).alias("priority", "key")).withColumn("key", F.upper("key")).where("key <> ''")
-    found = tried.join(index, [*by, "key"])
-    return dedup_first(found, ["gene_id", "species_id"], [F.col("priority")]).drop("priority", "key")
+    # six keys a gene are small as files, so the join would be a broadcast or a few tasks
+    tasks = tasks_for(genes, genes.count(), 20_000)
+    found = tried.repartition(tasks, *by, "key").join(index.repartition(tasks, *by, "key").hint("merge"), [*by, "key"])
+    return dedup_first(found.repartition(tasks, "gene_id", "species_id"), ["gene_id", "species_id"], [F.col("priority")]).drop("priority", "key")
 
 
 # --- tables of scores --------------------------------------------------------------------------
