@@ -304,7 +304,7 @@ def parsimony(spark, sf_dir):
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("motif"), F.col("l_partkey").alias("gene"), F.col("l_linenumber").cast("int").alias("start"), F.concat(*[letter(F.col("l_partkey") + i, 20) for i in range(5)]).alias("human"),
         F.concat(*[letter(F.col("l_partkey") + F.col("l_suppkey") + i, 20) for i in range(5)]).alias("animal"), (F.col("l_suppkey") % 8).cast("string").alias("species"), (F.col("l_suppkey") % 4).cast("string").alias("lineage"),
     )
-    return E.convergent_positions(rows, _TREE)
+    return E.convergent_positions(rows, _TREE, size=line.count())
 
 
 @query("""

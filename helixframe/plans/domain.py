@@ -178,7 +178,7 @@ def convergent_aa_classes(spark, sf_dir):
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("motif"), gene.alias("gene"), F.col("l_linenumber").cast("int").alias("start"), F.concat(*[letter(gene + i) for i in range(5)]).alias("human"),
         F.concat(*[letter(gene + k + i) for i in range(5)]).alias("animal"), (k % 8).cast("string").alias("species"), (k % 4).cast("string").alias("lineage"),
     )
-    return E.convergent_positions(rows)
+    return E.convergent_positions(rows, size=table(spark, sf_dir, "lineitem").count())
 
 
 # --- annotations -------------------------------------------------------------------------------

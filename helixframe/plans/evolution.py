@@ -17,7 +17,7 @@ from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, Par
 from helixframe.functions.scores import phylogenetic_weight, r4
 from helixframe.functions.sequence import AMINO_CLASS, let, letters, literal_map
 from helixframe.functions.stats import benjamini_hochberg, log10_hypergeometric_tail, log_factorials
-from helixframe.operators.relational import dedup_first
+from helixframe.operators.relational import dealt_once, dedup_first, tasks_for
 
 # Millions of years between lineages; other pairs take 100.
 DIVERGENCE = {
@@ -226,13 +226,46 @@ def fitch_parents(states: Column, tree: list[tuple[str, int]]) -> Column:
     return let(sets, lambda s: F.when(F.get(s, F.lit(len(tree) - 1))["leaves"] >= 3, let(descend(s), parents)).otherwise(F.array().cast("array<struct<species:string,parent:bigint>>")))
 
 
-def convergent_positions(motifs: DataFrame, newick: str | None = None, skip: tuple[str, ...] = ("Primates", "Other")) -> DataFrame:
+#: Nodes of a tree whose states are columns; the states of larger ones are arrays.
+COLUMN_NODES = 64
+
+
+def fitch_columns(residues: DataFrame, tree: list[tuple[str, int]]) -> DataFrame:
+    """DS17: (gene, pos, c0, c1, ...), each node's parsimonious state as fitch_parents() has it, of positions with three known leaves, and the leaves' own sets s0, s1, ... residues: (gene, pos, species, a)."""
+    children: dict[int, list[int]] = {}
+    for i, (_, parent) in enumerate(tree):
+        children.setdefault(parent, []).append(i)
+    long = F.lit(0).cast("long")
+    leaves = [i for i in range(len(tree)) if i not in children]
+    first = {i: F.min(F.when(F.col("species") == tree[i][0], F.ascii("a"))) for i in leaves}  # of several residues the first letter
+    rows = residues.groupBy("gene", "pos").agg(*[code.alias(f"s{i}") for i, code in first.items()])
+    bit = lambda code: F.coalesce(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code - 32, F.lit(64)).cast("int")), long)
+    known = reduce(lambda x, y: x + y, [F.col(f"s{i}").isNotNull().cast("int") for i in leaves])
+    rows = rows.where(known >= 3).select("gene", "pos", *[bit(F.col(f"s{i}")).alias(f"s{i}") for i in leaves])
+    for i in reversed(range(len(tree))):
+        if i in children:
+            sets = [F.col(f"s{c}") for c in children[i]]
+            both = reduce(lambda x, y: x.bitwiseAND(y), [F.when(s != 0, s).otherwise(F.lit(-1).cast("long")) for s in sets])
+            any_ = reduce(lambda x, y: x.bitwiseOR(y), sets)
+            rows = rows.withColumns({f"b{i}": both, f"a{i}": any_})
+            rows = rows.withColumn(f"s{i}", F.when((F.col(f"a{i}") != 0) & (F.col(f"b{i}") != 0), F.col(f"b{i}")).otherwise(F.col(f"a{i}"))).drop(f"a{i}", f"b{i}")
+    for i, (_, parent) in enumerate(tree):
+        if i in children:
+            own, above = F.col(f"s{i}"), F.col(f"c{parent}") if parent >= 0 else long
+            alone = reduce(lambda x, y: x + y, [(F.col(f"s{c}") != 0).cast("int") for c in children[i]]) == 1
+            rows = rows.withColumn(f"c{i}", F.when(alone | (above.bitwiseAND(own) != 0) | (own == 0), above).otherwise(own.bitwiseAND(-own)))
+    return rows.select("gene", "pos", *[f"s{i}" for i in leaves], *[f"c{i}" for i in range(len(tree)) if i in children])
+
+
+def convergent_positions(motifs: DataFrame, newick: str | None = None, skip: tuple[str, ...] = ("Primates", "Other"), size: int | None = None) -> DataFrame:
     """DS18: (motif, convergent_aa): the most lineages that share a class of substituted residue at one of its positions.
 
     motifs: (motif, gene, start, human, animal, species, lineage). With a tree, only residues that differ
     from the parsimonious state of the parent count; each position goes through Fitch's algorithm by itself, and of
-    several residues of a species there the first letter is its state.
+    several residues of a species there the first letter is its state. Motifs are dealt to tasks by their gene, so their
+    residues are never shuffled; size: how many motifs there are, where that is known without counting.
     """
+    motifs = dealt_once(motifs, tasks_for(motifs, motifs.count() if size is None else size), "gene")
     at = F.posexplode(F.arrays_zip(letters(F.col("human")).alias("h"), letters(F.col("animal")).alias("a")))
     residues = motifs.select("motif", "gene", "start", "species", F.coalesce("lineage", F.lit("Other")).alias("lineage"), at.alias("i", "pair"))
     residues = residues.select("motif", "gene", "species", "lineage", (F.col("start") + F.col("i")).alias("pos"), F.col("pair.h").alias("h"), F.upper("pair.a").alias("a"))
@@ -240,14 +273,21 @@ def convergent_positions(motifs: DataFrame, newick: str | None = None, skip: tup
     changed = residues.where(F.coalesce(usable, F.lit(False))).withColumn("klass", F.coalesce(F.try_element_at(literal_map(AMINO_CLASS), F.col("a")), F.lit(-1)))
     # of several residues of a lineage at a position, the first species' counts
     firsts = lambda rows: dedup_first(rows, ["gene", "pos", "lineage"], [F.col("species"), F.col("motif")])
-    if newick:
+    tree = parse_newick(newick) if newick else []
+    if tree and len(tree) <= COLUMN_NODES:
+        inner = {p for _, p in tree}
+        leaves = [(i, name, p) for i, (name, p) in enumerate(tree) if i not in inner and p >= 0]
+        parent = F.coalesce(F.lit(None).cast("long"), *[F.when(F.col("species") == name, F.col(f"c{p}")) for _, name, p in leaves])
+        changed = changed.join(fitch_columns(changed, tree).hint("shuffle_hash"), ["gene", "pos"]).where(parent != state_bit(F.col("a"))).select(*changed.columns)
+    elif tree:
         states = changed.groupBy("gene", "pos", "species").agg(F.min("a").alias("a")).groupBy("gene", "pos").agg(F.map_from_entries(F.collect_list(F.struct("species", state_bit(F.col("a"))))).alias("states"))
-        parents = states.select("gene", "pos", F.explode(fitch_parents(F.col("states"), parse_newick(newick))).alias("p")).select("gene", "pos", "p.species", "p.parent")
+        parents = states.select("gene", "pos", F.explode(fitch_parents(F.col("states"), tree)).alias("p")).select("gene", "pos", "p.species", "p.parent")
         changed = changed.join(parents, ["gene", "pos", "species"]).where(F.col("parent") != state_bit(F.col("a")))
     kinds = firsts(changed).groupBy("gene", "pos", "klass").agg(F.count("*").alias("n"))
     totals = kinds.groupBy("gene", "pos").agg(F.sum("n").alias("lineages"), F.max(F.when(F.col("klass") >= 0, F.col("n"))).alias("most")).where("lineages >= 2")
-    best = residues.join(totals, ["gene", "pos"]).groupBy("motif").agg(F.max("most").alias("most"))
-    return motifs.select("motif").distinct().join(best, "motif", "left").select("motif", F.coalesce("most", F.lit(0)).cast("long").alias("convergent_aa"))
+    best = residues.select("motif", "gene", "pos").join(totals.hint("shuffle_hash"), ["gene", "pos"]).select("motif", "most")
+    every = best.unionByName(motifs.select("motif", F.lit(None).cast("long").alias("most")))  # also motifs without residues
+    return every.groupBy("motif").agg(F.coalesce(F.max("most"), F.lit(0)).cast("long").alias("convergent_aa"))
 
 
 def divergence_proxy(pairs: DataFrame) -> DataFrame:

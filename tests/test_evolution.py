@@ -149,3 +149,24 @@ def test_permutation_query_deals_a_thousand(spark, sf_dir):
     got = {r.gene: r.p for r in biology.permutation_p(spark, sf_dir).collect()}
     assert got == want
     assert any(round(p * 1000) % 50 for p in got.values())
+
+
+def test_permutation_with_many_lineages_and_columns_of_states(spark):
+    lineages = {f"s{i}": f"l{i % 100}" for i in range(150)}
+    motifs = spark.createDataFrame([("g", 1, s, lineages[s]) for s in list(lineages)[:90]], "gene string, start int, species string, lineage string")
+    rng, labels, hits = random.Random(42), list(lineages.values()), 0
+    for _ in range(20):
+        rng.shuffle(labels)
+        hits += len(set(labels[:90])) >= 60
+    best = E.convergence(motifs).withColumn("n", F.lit(60))
+    assert E.permutation_p(best, E.shuffled_labels(spark, lineages, 20, 42)).first().p == pytest.approx(hits / 20)
+
+
+def test_states_in_columns_equal_states_in_arrays(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(k, f"g{k % 3}", rng.randrange(3), "AKDW", "".join(rng.choice("AKDRVW-") for _ in range(4)), f"s{rng.randrange(7)}", f"l{k % 4}") for k in range(120)] + [(999, "g0", 0, "", "", "s1", "l1")]
+    df = spark.createDataFrame(rows, "motif int, gene string, start int, human string, animal string, species string, lineage string")
+    tree = "((s0,(s1,s2)),((s3,s4),s5));"
+    columns = sorted(map(tuple, E.convergent_positions(df, tree).collect()))
+    monkeypatch.setattr(E, "COLUMN_NODES", 0)
+    assert columns == sorted(map(tuple, E.convergent_positions(df, tree).collect())) and len(columns) == 121 and any(n for _, n in columns)
