@@ -24,10 +24,10 @@ def tasks_for(df: DataFrame, rows: int, each: int = 250_000) -> int:
     return max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // each))
 
 
-def dealt_once(df: DataFrame, tasks: int, key: str) -> DataFrame:
-    """df dealt to tasks by one key; joins and groups by that and further keys then need no shuffle of their own."""
+def dealt_once(df: DataFrame, tasks: int, key: str, by_number: bool = False) -> DataFrame:
+    """df dealt to tasks by one key, which may be the task's number; joins and groups by that and further keys then need no shuffle of their own."""
     df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return df.repartition(tasks, key)
+    return df.repartitionById(tasks, key) if by_number else df.repartition(tasks, key)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

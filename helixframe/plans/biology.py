@@ -244,12 +244,7 @@ SELECT gene, round(avg((m >= n)::INT), 4) AS p FROM drawn GROUP BY gene
 def permutation_p(spark, sf_dir):
     """DS16, JN16: over a thousand dealings by hashes."""
     motifs = _motifs(spark, sf_dir)
-    species = motifs.select("species", "lineage").distinct()
-    order = Window.orderBy("species")  # one row for each species
-    spread = species.repartition(4 * spark.sparkContext.defaultParallelism, "species")  # few rows before they are multiplied
-    dealt = spread.select("species", F.explode(F.sequence(F.lit(0), F.lit(999))).alias("iteration"))
-    dealt = dealt.withColumn("r", F.row_number().over(Window.partitionBy("iteration").orderBy(F.md5(F.concat(F.col("iteration").cast("string"), "species")))))
-    labels = dealt.join(species.select("lineage", F.row_number().over(order).alias("r")), "r").select("iteration", "species", "lineage")
+    labels = E.hashed_labels(motifs.select("species", "lineage").distinct(), 1000)
     return E.permutation_p(E.convergence(motifs, E.distance_map(_FAR)), labels)
 
 

@@ -8,11 +8,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 from pyspark.sql.types import Row, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
+from pyspark.sql.window import Window
 
 from helixframe.functions.scores import phylogenetic_weight, r4
 from helixframe.functions.sequence import AMINO_CLASS, let, letters, literal_map
@@ -75,70 +77,126 @@ def shuffled_labels(spark: SparkSession, lineages: dict[str, str], iterations: i
     return spark.createDataFrame(rows, "iteration int, species string, lineage string")
 
 
-#: Labels (species times iterations) that are broadcast at a time, a byte each for up to 255 lineages.
-DEALT_LABELS = 20_000_000
+#: Parts that iterations are dealt to by their number. A task holds the labels of one, a byte each for up to 255 lineages.
+PARTS = 8
+#: Labels that are packed at a time, species in a row of packed labels, species of windows that are looked up at a time.
+PACKED_LABELS, PACKED_SPECIES, LOOKED_UP = 2_000_000, 8192, 4096
+_PACKED = "part int, names array<string>, iterations array<int>, lineages array<string>, codes binary"
 
 
-def permutation_p(best: DataFrame, labels: DataFrame, most: int = DEALT_LABELS) -> DataFrame:
+def hashed_labels(species: DataFrame, iterations: int) -> DataFrame:
+    """(iteration, species, lineage): the lineages, by their own species' names, dealt to the species by hashes of iteration and name.
+
+    Species go to each block of iterations before they are multiplied, so labels are ordered where they are made and not shuffled.
+    """
+    blocks = max(1, min(16 * PARTS, iterations))  # the iterations of a block are in one part
+    rows = species.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "species", "lineage")
+    rows = dealt_once(rows, blocks, "block", by_number=True)
+    own = rows.select("block", "lineage", F.row_number().over(Window.partitionBy("block").orderBy("species")).alias("r"))
+    dealt = rows.select("block", "species", F.explode(F.sequence("block", F.lit(iterations - 1), F.lit(blocks))).alias("iteration"))
+    order = F.md5(F.concat(F.col("iteration").cast("string"), "species"))
+    dealt = dealt.withColumn("r", F.row_number().over(Window.partitionBy("iteration", "block").orderBy(order)))
+    return dealt.join(own.hint("shuffle_hash"), ["block", "r"]).select("iteration", "species", "lineage")
+
+
+def permutation_p(best: DataFrame, labels: DataFrame, most: int = PACKED_LABELS) -> DataFrame:
     """DS16: share of dealings in which a gene's best window has at least its own number of lineages.
 
-    Labels are dealt rather than windows; a table of species by iterations goes to the tasks as numbers, and a
-    gene's dealings are counted in one array, so no row is made for each gene and iteration. The table goes out in
-    stretches of iterations of at most `most` labels, one after the other, and hits add up.
+    Labels are dealt rather than windows. They are packed to a byte each where they lie, `most` at a time, and meet the
+    windows in tasks of a part of the iterations and a share of the genes. There a gene's dealings are counted in
+    one array, so no row is made for each gene and iteration, and no label reaches the driver.
     """
-    facts = labels.agg(F.count_distinct("species").alias("species"), F.sort_array(F.collect_set("iteration")).alias("iterations"), F.sort_array(F.collect_set("lineage")).alias("lineages")).first()  # iterations are a parameter, a thousand
-    iterations, step = facts["iterations"], max(1, most // max(1, facts["species"]))
-    codes = {name: k for k, name in enumerate((x for x in facts["lineages"] if x != "Primates"), 1)}
-    rows = best.select("gene", "n", "species")
-    stretches = [iterations[i : i + step] for i in range(0, len(iterations), step)]
-    if not stretches:
-        return rows.select("gene", F.lit(1.0).alias("p"))
-    if len(stretches) > 1:  # each stretch reads the windows again
-        rows = rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.localCheckpoint()
-    parts = [_hits(rows, labels.where(F.col("iteration").between(x[0], x[-1])), x, codes) for x in stretches]
-    counted = parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).groupBy("gene", "n").agg(F.sum("hits").alias("hits"))
-    return counted.select("gene", F.when(F.col("n") < 1, 1.0).otherwise(r4(F.col("hits") / F.lit(len(iterations)))).alias("p"))
-
-
-#: Species of genes that are looked up at a time.
-LOOKED_UP = 4096
-
-
-def _hits(rows: DataFrame, labels: DataFrame, iterations: list[int], codes: dict[str, int]) -> DataFrame:
-    """(gene, n, hits) over the dealings in labels, which come as numbers and are broadcast."""
-    code = F.coalesce(F.try_element_at(literal_map(codes), F.col("lineage")), F.lit(0)) if codes else F.lit(0)
-    own = labels.groupBy("species").agg(F.collect_list(F.col("iteration").cast("int")).alias("iterations"), F.collect_list(code.cast("short" if len(codes) < 1 << 15 else "int")).alias("codes")).toArrow()
-    dealt = np.zeros((own.num_rows + 1, len(iterations)), np.uint8 if len(codes) < 256 else np.int32)  # the first row is of no species, 0 counts as no lineage
-    done = 1
-    for b in own.to_batches(max_chunksize=1000):
-        row = np.repeat(np.arange(done, done + b.num_rows), b.column("codes").value_lengths().to_numpy())
-        dealt[row, np.searchsorted(iterations, b.column("iterations").flatten().to_numpy())] = b.column("codes").flatten().to_numpy()
-        done += b.num_rows
-    shared = rows.sparkSession.sparkContext.broadcast((dealt, {x: k for k, x in enumerate(own.column("species").to_pylist(), 1)}))
-    kinds = len(codes)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealt, places = shared.value
-        # lineages are bits of words, 8 or 64 to a word; a window's are those of its species together
-        word, dtype = (8, np.uint8) if kinds <= 8 else (64, np.uint64)
-        bits = np.zeros((-(-kinds // word), kinds + 1), dtype)
-        for k in range(kinds):
-            bits[k // word, k + 1] = 1 << (k % word)
-        for b in batches:
-            at = [[0, *(places[x] for x in set(species or []) if x in places)] for species in b.column("species").to_pylist()]
-            least, hits, i = b.column("n").to_numpy(zero_copy_only=False), np.zeros(len(at), np.int64), 0
-            while i < len(at):
-                until, size = i, 0
-                while until < len(at) and (until == i or size + len(at[until]) <= LOOKED_UP):
-                    size, until = size + len(at[until]), until + 1
-                first = np.cumsum([0] + [len(x) for x in at[i : until - 1]])
-                found = dealt[np.concatenate(at[i:until])]
-                lineages = sum((np.bitwise_count(np.bitwise_or.reduceat(w[found], first, axis=0)).astype(np.int32) for w in bits), np.zeros((until - i, dealt.shape[1]), np.int32))
-                hits[i:until] = (lineages >= least[i:until, None]).sum(axis=1)
-                i = until
-            yield pa.RecordBatch.from_arrays([b.column("gene"), b.column("n"), pa.array(hits, pa.int64())], names=["gene", "n", "hits"])
-
-    return rows.mapInArrow(count, rows.select("gene", "n").schema.add("hits", "long"))
+    shares = max(1, -(-4 * best.sparkSession.sparkContext.defaultParallelism // PARTS))
+    packed = labels.where(F.col("species").isNotNull()).select(F.col("iteration").cast("int").alias("iteration"), "species", "lineage").mapInArrow(lambda batches: _pack(batches, most), _PACKED)
+    gene, n = (F.lit(None).cast(best.schema[c].dataType).alias(c) for c in ("gene", "n"))
+    tables = packed.select("part", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), gene, n, F.col("names").alias("species"), "iterations", "lineages", "codes")
+    part, share, none = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"), F.pmod(F.xxhash64("gene"), F.lit(shares)).cast("int").alias("share"), F.array()
+    # empty lists: of null ones Arrow's writer goes through the whole batch again at each row
+    windows = best.select(part, share, "gene", "n", F.coalesce("species", none).alias("species"), none.cast("array<int>").alias("iterations"), none.cast("array<string>").alias("lineages"))
+    both = tables.unionByName(windows, allowMissingColumns=True).withColumn("task", F.col("part") * shares + F.col("share")).drop("part", "share")
+    met = both.repartitionById(PARTS * shares, "task").sortWithinPartitions(F.col("codes").isNull()).drop("task")  # labels come first
+    counted = met.mapInArrow(_hits, best.select("gene", "n").schema.add("hits", "long").add("dealt", "long")).groupBy("gene", "n").agg(F.sum("hits").alias("hits"), F.sum("dealt").alias("dealt"))
+    return counted.select("gene", F.when((F.col("n") < 1) | (F.col("dealt") == 0), 1.0).otherwise(r4(F.col("hits") / F.col("dealt"))).alias("p"))
+
+
+def _pack(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Tables of species by iterations (_PACKED), their lineages by number: 0 is none, k the k-th of the row's."""
+    held: list[pa.RecordBatch] = []
+
+    def pack() -> Iterator[pa.RecordBatch]:
+        labels = pa.Table.from_batches(held)
+        held.clear()
+        iteration = labels["iteration"].to_numpy()
+        species, lineage = (labels[c].combine_chunks().dictionary_encode() for c in ("species", "lineage"))
+        place, names, lineages = species.indices.to_numpy(), species.dictionary, lineage.dictionary.to_pylist()
+        code = lineage.indices.fill_null(-1).to_numpy() + 1
+        for part in np.unique(iteration % PARTS).tolist():
+            own = iteration % PARTS == part
+            iterations, column = np.unique(iteration[own], return_inverse=True)
+            table = np.zeros((len(names), len(iterations)), np.uint8 if len(lineages) < 256 else np.uint32)
+            table[place[own], column] = code[own]
+            for i in range(0, len(names), PACKED_SPECIES):
+                row = {"part": part, "names": names[i : i + PACKED_SPECIES].to_pylist(), "iterations": iterations.tolist(), "lineages": lineages, "codes": table[i : i + PACKED_SPECIES].tobytes()}
+                yield pa.RecordBatch.from_pylist([row], _PACKED_ARROW)
+
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= most:
+            yield from pack()
+    if held:
+        yield from pack()
+
+
+_PACKED_ARROW = pa.schema([("part", pa.int32()), ("names", pa.list_(pa.string())), ("iterations", pa.list_(pa.int32())), ("lineages", pa.list_(pa.string())), ("codes", pa.binary())])
+
+
+def _table(packed: pa.Table) -> tuple[np.ndarray, pa.Array, int, int]:
+    """One table of rows of _PACKED: codes of lineages by species and iteration; the species, how many iterations and lineages there are."""
+    names, lists, kinds = packed["species"].combine_chunks(), packed["iterations"].to_pylist(), packed["lineages"].to_pylist()
+    places, ends = names.flatten().dictionary_encode(), np.cumsum(names.value_lengths().to_numpy())
+    columns = {x: k for k, x in enumerate(dict.fromkeys(x for r in lists for x in r))}
+    codes = {x: k for k, x in enumerate(dict.fromkeys(x for r in kinds for x in r if x != "Primates"), 1)}
+    # row 0 is of no species, 0 counts as no lineage; eight dealings are read as one word
+    table = np.zeros((len(places.dictionary) + 1, -(-len(columns) // 8) * 8), np.uint8 if len(codes) < 256 else np.uint32)
+    for place, iterations, lineages, own in zip(np.split(places.indices.to_numpy() + 1, ends[:-1]), lists, kinds, packed["codes"], strict=True):
+        found = np.frombuffer(own.as_buffer(), np.uint8 if len(lineages) < 256 else np.uint32).reshape(len(place), len(iterations))
+        at = np.ix_(place, [columns[x] for x in iterations])
+        # species and iterations may come in several rows, which leave each other's cells at 0
+        table[at] = np.maximum(table[at], np.array([0, *(codes.get(x, 0) for x in lineages)], table.dtype).take(found))
+    return table, places.dictionary, len(columns), len(codes)
+
+
+def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gene, n, hits, dealt) of windows over the dealings of the packed labels before them."""
+    packed: list[pa.RecordBatch] = []
+    table = None
+    for b in batches:
+        if table is None and b.column("codes").null_count < b.num_rows:
+            packed.append(b.filter(b.column("codes").is_valid()).select(["species", "iterations", "lineages", "codes"]))
+            b = b.filter(b.column("codes").is_null())
+        if not b.num_rows:
+            continue
+        if table is None:
+            table, names, dealt, kinds = _table(pa.Table.from_batches(packed)) if packed else (np.zeros((1, 0), np.uint8), pa.array([], pa.string()), 0, 0)
+            packed.clear()
+            # lineages are bits of bytes; a window's are those of its species together
+            bits = np.zeros((-(-kinds // 8), kinds + 1), np.uint8)
+            for k in range(kinds):
+                bits[k // 8, k + 1] = 1 << (k % 8)
+        species = b.column("species")
+        ends = np.cumsum(species.value_lengths().to_numpy().astype(np.int64) + 1)  # each window begins with no species
+        starts = np.concatenate([[0], ends[:-1]])
+        at, named = np.zeros(ends[-1], np.int64), np.ones(ends[-1], bool)
+        named[starts] = False
+        at[named] = pc.index_in(species.flatten(), value_set=names).fill_null(-1).to_numpy().astype(np.int64) + 1
+        least, hits, i = b.column("n").to_numpy(zero_copy_only=False), np.zeros(len(starts), np.int64), 0
+        while i < len(starts) and kinds:
+            until = max(i + 1, int(np.searchsorted(ends, starts[i] + LOOKED_UP, "right")))
+            found, first = table.take(at[starts[i] : ends[until - 1]], axis=0), starts[i:until] - starts[i]
+            lineages = sum(np.bitwise_count(np.bitwise_or.reduceat(w.take(found).view(np.uint64), first, axis=0).view(np.uint8)).astype(np.uint8 if kinds < 256 else np.int32) for w in bits)
+            hits[i:until] = (lineages[:, :dealt] >= least[i:until, None]).sum(axis=1)
+            i = until
+        yield pa.RecordBatch.from_arrays([b.column("gene"), b.column("n"), pa.array(hits), pa.array(np.full(len(hits), dealt, np.int64))], names=["gene", "n", "hits", "dealt"])
 
 
 # --- parsimony ---------------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 """Parsimony, permutation and enrichment against plain Python."""
 
+import hashlib
 import random
 
 import pytest
@@ -162,6 +163,43 @@ def test_permutation_with_many_lineages_and_columns_of_states(spark):
     assert E.permutation_p(best, E.shuffled_labels(spark, lineages, 20, 42)).first().p == pytest.approx(hits / 20)
 
 
+def test_permutation_brings_no_labels_to_the_driver(spark, monkeypatch):
+    species = spark.createDataFrame([(f"s{i}", f"l{i % 5}") for i in range(40)], "species string, lineage string")
+    best = spark.createDataFrame([(k, 1 + k % 5, [f"s{(7 * k + j) % 40}" for j in range(1 + k % 6)]) for k in range(50)], "gene long, n int, species array<string>")
+    want = {}
+    dealt = [dict(zip(sorted((f"s{i}" for i in range(40)), key=lambda s: hashlib.md5(f"{i}{s}".encode()).hexdigest()), [f"l{int(s[1:]) % 5}" for s in sorted(f"s{i}" for i in range(40))], strict=True)) for i in range(30)]
+    for r in best.collect():
+        want[r.gene] = round(sum(len({x[s] for s in r.species}) >= r.n for x in dealt) / 30, 4)
+
+    def refuse(*_):
+        raise AssertionError("labels go through the driver")
+
+    for place, name in ((type(spark.sparkContext), "broadcast"), (type(best), "toArrow"), (type(best), "collect"), (type(best), "first")):
+        monkeypatch.setattr(place, name, refuse)
+    spark.sparkContext.setJobGroup("permutation_p built", "")
+    built = E.permutation_p(best, E.hashed_labels(species, 30))
+    spark.sparkContext.setJobGroup("others", "")
+    monkeypatch.undo()
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("permutation_p built")
+    assert {r.gene: r.p for r in built.collect()} == want and len(set(want.values())) > 5
+
+
+def test_permutation_of_labels_in_pieces(spark):
+    rng = random.Random(3)
+    rows = [(i, f"s{k}", rng.choice([f"l{rng.randrange(400)}", f"l{rng.randrange(3)}", "Primates", None])) for i in range(-3, 37) for k in range(60) if rng.random() < 0.9]
+    rng.shuffle(rows)
+    labels = spark.createDataFrame(rows, "iteration int, species string, lineage string").repartition(5)
+    windows = [(k, rng.randrange(9), [f"s{rng.randrange(64)}" for _ in range(rng.randrange(12))]) for k in range(80)] + [(80, 1, None), (81, 0, None), (82, 1, []), (83, 40, [f"s{k}" for k in range(60)])]
+    best = spark.createDataFrame(windows, "gene long, n int, species array<string>")
+    dealt = {}
+    for i, s, lineage in rows:
+        dealt.setdefault(i, {})[s] = lineage
+    want = {g: 1.0 if n < 1 else round(sum(len({x.get(s) for s in species or []} - {"Primates", None}) >= n for x in dealt.values()) / 40, 4) for g, n, species in windows}
+    for most in (70, 2_000_000):
+        assert {r.gene: r.p for r in E.permutation_p(best, labels, most).collect()} == want
+    assert {r.p for r in E.permutation_p(best, labels.where("iteration > 99")).collect()} == {1.0}
+
+
 def test_states_in_columns_equal_states_in_arrays(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(k, f"g{k % 3}", rng.randrange(3), "AKDW", "".join(rng.choice("AKDRVW-") for _ in range(4)), f"s{rng.randrange(7)}", f"l{k % 4}") for k in range(120)] + [(999, "g0", 0, "", "", "s1", "l1")]
